@@ -143,6 +143,29 @@ def found_keywords(text: Column) -> Column:
     )
 
 
+def suitability(text: Column) -> Column:
+    """struct(is_valid, issues, relevant_keywords): is the text fit for matching?"""
+    short = F.length(text) < fixed.MIN_CONTENT_LENGTH
+    noisy = F.coalesce(
+        F.try_divide(control_count(text), F.length(text)) > fixed.MAX_CONTROL_RATIO,
+        F.lit(False),
+    )
+
+    def verdict(keywords: Column) -> Column:
+        issues = F.array(
+            F.when(short, fixed.SUITABILITY_TOO_SHORT),
+            F.when(noisy, fixed.SUITABILITY_CONTROL),
+            F.when(F.size(keywords) == 0, fixed.SUITABILITY_NO_KEYWORD),
+        )
+        return F.struct(
+            (~short & ~noisy).alias("is_valid"),
+            F.array_compact(issues).alias("issues"),
+            keywords.alias("relevant_keywords"),
+        )
+
+    return let(found_keywords(text), verdict)
+
+
 def sha256_16(text: Column) -> Column:
     """First 16 hex digits of the SHA-256 of the UTF-8 text."""
     return F.substring(F.sha2(F.encode(text, "UTF-8"), 256), 1, 16)

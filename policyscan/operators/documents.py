@@ -31,7 +31,7 @@ MATCH = (
 MATCHES = f"array<{MATCH}>"
 
 
-def _occurrences(text: Column, severities: Column) -> Column:
+def level_occurrences(text: Column, severities: Column) -> Column:
     """(position, index of level) of every level word in the text, in any case.
 
     Each piece of the lower-cased text starts with a level word; their lengths add
@@ -102,7 +102,7 @@ def pair_severities(hits: Column, severities: Column, text: Column) -> Column:
 
     def by_distance(found: Column, levels: Column) -> Column:
         return let(
-            _occurrences(text, levels),
+            level_occurrences(text, levels),
             lambda places: F.transform(
                 found,
                 lambda h, i: match(

@@ -13,8 +13,13 @@ from policyscan import fixed
 from policyscan.functions.ids import error_category
 from policyscan.functions.paths import path_key
 
-HAS_MATCHES = F.size("matches") > 0
-SUCCESS = F.col("checkov_id").isNotNull() & F.col("severity").isNotNull()
+
+def has_matches() -> Column:
+    return F.size("matches") > 0
+
+
+def succeeded() -> Column:
+    return F.col("checkov_id").isNotNull() & F.col("severity").isNotNull()
 
 
 def _mean(total: Column, count: Column) -> Column:
@@ -47,8 +52,8 @@ def summary_rates(results: DataFrame) -> DataFrame:
     return results.agg(
         F.count("*").alias("processed_files"),
         F.coalesce(F.sum(F.size("matches")), F.lit(0)).alias("total_matches"),
-        _mean(F.count_if(HAS_MATCHES), F.count("*")).alias("success_rate"),
-        F.coalesce(F.avg(F.when(HAS_MATCHES, F.col("confidence"))), F.lit(0.0)).alias(
+        _mean(F.count_if(has_matches()), F.count("*")).alias("success_rate"),
+        F.coalesce(F.avg(F.when(has_matches(), F.col("confidence"))), F.lit(0.0)).alias(
             "average_confidence"
         ),
     )
@@ -66,13 +71,13 @@ def processing_summary(results: DataFrame, failed: int | Column = 0) -> DataFram
     processed = F.col("content_hash") != ""
     return results.agg(
         F.count_if(processed).alias("files_processed"),
-        F.count_if(processed & HAS_MATCHES).alias("successful_extractions"),
+        F.count_if(processed & has_matches()).alias("successful_extractions"),
         F.lit(failed).cast("bigint").alias("failed_extractions")
         if isinstance(failed, int)
         else failed.cast("bigint").alias("failed_extractions"),
-        _mean(F.count_if(processed & HAS_MATCHES), F.count_if(processed)).alias("success_rate"),
+        _mean(F.count_if(processed & has_matches()), F.count_if(processed)).alias("success_rate"),
         F.coalesce(F.sum(F.size("matches")), F.lit(0)).alias("total_matches"),
-        F.coalesce(F.avg(F.when(HAS_MATCHES, F.col("confidence"))), F.lit(0.0)).alias(
+        F.coalesce(F.avg(F.when(has_matches(), F.col("confidence"))), F.lit(0.0)).alias(
             "average_confidence"
         ),
     )
@@ -87,10 +92,10 @@ def run_statistics(results: DataFrame, files_found: int | Column | None = None)
     return results.agg(
         found.cast("bigint").alias("total_files_found"),
         count.alias("total_files_processed"),
-        F.count_if(SUCCESS).alias("successful_extractions"),
-        F.count_if(~SUCCESS).alias("failed_extractions"),
-        F.round(_mean(F.count_if(SUCCESS) * 100, count), 2).alias("success_rate_percent"),
-        F.round(_mean(F.count_if(~SUCCESS) * 100, count), 2).alias("error_rate_percent"),
+        F.count_if(succeeded()).alias("successful_extractions"),
+        F.count_if(~succeeded()).alias("failed_extractions"),
+        F.round(_mean(F.count_if(succeeded()) * 100, count), 2).alias("success_rate_percent"),
+        F.round(_mean(F.count_if(~succeeded()) * 100, count), 2).alias("error_rate_percent"),
         F.count_if(F.size("errors") > 0).alias("files_with_errors"),
         F.count_if(F.size("warnings") > 0).alias("files_with_warnings"),
         F.coalesce(F.sum(size), F.lit(0)).alias("total_bytes_processed"),
@@ -102,17 +107,17 @@ def run_statistics(results: DataFrame, files_found: int | Column | None = None)
 
 def provider_counts(results: DataFrame) -> DataFrame:
     """Successful files per provider."""
-    return results.filter(SUCCESS).groupBy("provider").agg(F.count("*").alias("file_count"))
+    return results.filter(succeeded()).groupBy("provider").agg(F.count("*").alias("file_count"))
 
 
 def top_providers(results: DataFrame, limit: int = fixed.TOP_PROVIDERS) -> DataFrame:
     """Providers with the most successful files and their share; ties by first file."""
     counts = (
-        results.filter(SUCCESS)
+        results.filter(succeeded())
         .groupBy("provider")
         .agg(F.count("*").alias("file_count"), F.min(path_key(F.col("path"))).alias("first"))
     )
-    total = results.filter(SUCCESS).select(F.count("*")).scalar()
+    total = results.filter(succeeded()).select(F.count("*")).scalar()
     return (
         counts.orderBy(F.desc("file_count"), "first")
         .limit(limit)
@@ -173,17 +178,17 @@ def statistics_report(results: DataFrame) -> DataFrame:
 
     single = F.array(
         counter("extraction_summary", "total_files_processed", F.lit(1)),
-        counter("extraction_summary", "successful_extractions", SUCCESS.cast("int")),
-        counter("extraction_summary", "failed_extractions", (~SUCCESS).cast("int")),
+        counter("extraction_summary", "successful_extractions", succeeded().cast("int")),
+        counter("extraction_summary", "failed_extractions", (~succeeded()).cast("int")),
         counter("data_summary", "total_bytes_processed", F.greatest("file_size", F.lit(0))),
         counter("data_summary", "sized_files", (F.col("file_size") > 0).cast("int")),
-        counter("data_summary", "total_mappings_extracted", SUCCESS.cast("int")),
+        counter("data_summary", "total_mappings_extracted", succeeded().cast("int")),
         counter("quality_metrics", "files_with_errors", (F.size("errors") > 0).cast("int")),
         counter("quality_metrics", "files_with_warnings", (F.size("warnings") > 0).cast("int")),
     )
     one = F.lit(1)
     grouped = F.when(
-        SUCCESS,
+        succeeded(),
         F.array(
             counter("severity_distribution", F.col("severity"), one),
             counter("provider_distribution", F.col("provider"), one),

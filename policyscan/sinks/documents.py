@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from policyscan import fixed
-from policyscan.operators.statistics import HAS_MATCHES
+from policyscan.operators.statistics import has_matches
 
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
@@ -224,7 +224,7 @@ def summary_document(
     per_result = results.select(
         "confidence",
         F.size("matches").alias("n"),
-        HAS_MATCHES.alias("hit"),
+        has_matches().alias("hit"),
         *[
             F.size(F.filter("validation_issues", lambda i, level=level: i["level"] == level)).alias(
                 level

@@ -138,11 +138,6 @@ def in_path_order(files: DataFrame) -> DataFrame:
 
 # --- decoding -----------------------------------------------------------------
 
-# Hex of a UTF-16 text whose surrogates all come in pairs, per byte order.
-_PAIRED_LE = r"(?:..(?:[0-9A-C].|D[0-7]|[EF].)|..D[89AB]..D[C-F])*"
-_PAIRED_BE = r"(?:(?:[0-9A-C].|D[0-7]|[EF].)..|D[89AB]..D[C-F]..)*"
-
-
 def _utf8(content: Column) -> Column:
     """Text of valid UTF-8 bytes, else NULL."""
     return F.try_validate_utf8(content.cast("string"))
@@ -153,14 +148,31 @@ def decode_utf8_or_latin1(content: Column) -> Column:
     return newlines(F.coalesce(_utf8(content), F.decode(content, "ISO-8859-1")))
 
 
+def _is_utf16(content: Column, big_endian: bool) -> Column:
+    """Whole code units, and every high surrogate is followed by a low one."""
+    units = F.regexp_extract_all(F.hex(content), F.lit("[0-9A-F]{4}"), F.lit(0))
+    high_byte = 1 if big_endian else 3
+
+    def kind(unit: Column) -> Column:
+        byte = F.substring(unit, high_byte, 2)
+        return (
+            F.when(byte.between("D8", "DB"), "h").when(byte.between("DC", "DF"), "l").otherwise("")
+        )
+
+    surrogates = F.array_join(F.transform(units, kind), "")
+    return (F.octet_length(content) % 2 == 0) & (
+        F.replace(surrogates, F.lit("hl"), F.lit("")) == ""
+    )
+
+
 def _decode_or_null(content: Column, encoding: Column) -> Column:
     """Decode by a declared encoding; NULL when the bytes do not fit it."""
     code = F.hex(content)
 
-    def utf16(pattern: str, charset: str, skip: int = 1) -> Column:
-        body = F.substring(content, skip, 1 << 30) if skip > 1 else content
-        fits = F.rlike(F.hex(body), F.lit(rf"\A{pattern}\z"))
-        return F.when(fits, F.decode(body, charset))
+    def utf16(big_endian: bool, skip: int = 1) -> Column:
+        body = F.substring(content, skip, 1 << 30)
+        charset = "UTF-16BE" if big_endian else "UTF-16LE"
+        return F.when(_is_utf16(body, big_endian), F.decode(body, charset))
 
     ascii_only = ~F.rlike(F.decode(content, "ISO-8859-1"), F.lit(r"[^\x00-\x7f]"))
     return (
@@ -170,12 +182,12 @@ def _decode_or_null(content: Column, encoding: Column) -> Column:
         .when(encoding.isin("iso-8859-1", "latin-1"), F.decode(content, "ISO-8859-1"))
         .when(
             encoding == "utf-16",
-            F.when(F.startswith(code, F.lit("FEFF")), utf16(_PAIRED_BE, "UTF-16BE", 3))
-            .when(F.startswith(code, F.lit("FFFE")), utf16(_PAIRED_LE, "UTF-16LE", 3))
-            .otherwise(utf16(_PAIRED_LE, "UTF-16LE")),
+            F.when(F.startswith(code, F.lit("FEFF")), utf16(big_endian=True, skip=3))
+            .when(F.startswith(code, F.lit("FFFE")), utf16(big_endian=False, skip=3))
+            .otherwise(utf16(big_endian=False)),
         )
-        .when(encoding == "utf-16le", utf16(_PAIRED_LE, "UTF-16LE"))
-        .when(encoding == "utf-16be", utf16(_PAIRED_BE, "UTF-16BE"))
+        .when(encoding == "utf-16le", utf16(big_endian=False))
+        .when(encoding == "utf-16be", utf16(big_endian=True))
     )
 
 
