@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from policyscan import fixed
-from policyscan.functions.text import let, strip
+from policyscan.functions import sql
+from policyscan.functions.text import let, strip, strip_sql
 
 PARSED_ID = "struct<full_id:string,type:string,provider:string,number:string>"
 
@@ -37,13 +38,18 @@ def parse_id(identifier: Column) -> Column:
     return let(_canonical(identifier), parts).cast(PARSED_ID)
 
 
-def accept_id(identifier: Column) -> Column:
+def accept_sql(identifier: str) -> str:
     """The loose gate used while matching: strict or PREFIX_WORD_REST."""
+    full = f"upper({strip_sql(identifier)})"
+    return (
+        f"(length({identifier}) >= {fixed.MIN_ID_LENGTH} AND"
+        f" ({full} RLIKE {sql.string(fixed.LOOSE_ID)} OR {full} RLIKE {sql.string(fixed.STRICT_ID)}))"
+    )
 
-    def test(full: Column) -> Column:
-        return F.rlike(full, F.lit(fixed.LOOSE_ID)) | F.rlike(full, F.lit(fixed.STRICT_ID))
 
-    return (F.length(identifier) >= fixed.MIN_ID_LENGTH) & test(_canonical(identifier))
+def accept_id(identifier: str) -> Column:
+    """``accept_sql`` of a column."""
+    return F.expr(accept_sql(identifier))
 
 
 def parse_severity(level: Column) -> Column:

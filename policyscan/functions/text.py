@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from policyscan import fixed
+from policyscan.functions import sql
 
 SPACE = r"\s\x1c-\x1f"
 INLINE_SPACE = r"[\s\x1c-\x1f&&[^\n]]"
@@ -24,9 +25,16 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+_ENDS = rf"(?U)^[{SPACE}]+|(?<![{SPACE}])[{SPACE}]+\z"
+
+
 def strip(text: Column) -> Column:
     """Remove whitespace at both ends."""
-    return F.regexp_replace(text, rf"(?U)^[{SPACE}]+|(?<![{SPACE}])[{SPACE}]+\z", "")
+    return F.regexp_replace(text, _ENDS, "")
+
+
+def strip_sql(text: str) -> str:
+    return f"regexp_replace({text}, {sql.string(_ENDS)}, '')"
 
 
 def is_blank(text: Column) -> Column:
@@ -171,22 +179,22 @@ def sha256_16(text: Column) -> Column:
     return F.substring(F.sha2(F.encode(text, "UTF-8"), 256), 1, 16)
 
 
-def squeeze(text: Column) -> Column:
-    """Collapse whitespace runs to one space and strip both ends."""
-    return F.trim(F.regexp_replace(text, rf"(?U)[{SPACE}]+", " "))
-
-
-def shorten(text: Column, limit: int = fixed.CONTEXT_LIMIT) -> Column:
-    return F.when(
-        F.length(text) > limit, F.concat(F.substring(text, 1, limit), F.lit("..."))
-    ).otherwise(text)
+def context_sql(before: str, match: str, after: str) -> str:
+    """Readable surroundings of a match: 50 characters on both sides, whitespace runs
+    squeezed to one space, cut after 100 characters."""
+    window = (
+        f"concat(right({before}, {fixed.CONTEXT_WINDOW}), {match},"
+        f" substring({after}, 1, {fixed.CONTEXT_WINDOW}))"
+    )
+    runs = sql.string(rf"(?U)[{SPACE}]+")
+    limit = fixed.CONTEXT_LIMIT
+    return sql.bind(
+        f"trim(regexp_replace({window}, {runs}, ' '))",
+        "ctx",
+        f"CASE WHEN length(ctx) > {limit} THEN concat(substring(ctx, 1, {limit}), '...') ELSE ctx END",
+    )
 
 
-def match_context(before: Column, match: Column, after: Column) -> Column:
-    """Readable surroundings of a match: 50 characters on both sides, squeezed."""
-    window = F.concat(
-        F.right(before, F.lit(fixed.CONTEXT_WINDOW)),
-        match,
-        F.substring(after, 1, fixed.CONTEXT_WINDOW),
-    )
-    return let(squeeze(window), lambda context: shorten(context))
+def match_context(before: str, match: str, after: str) -> Column:
+    """``context_sql`` of three columns."""
+    return F.expr(context_sql(before, match, after))

@@ -12,14 +12,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from policyscan import fixed
+from policyscan.frames import compute_once
+from policyscan.functions import sql
 from policyscan.functions.ids import parse_id, parse_severity
 from policyscan.functions.text import let, process_gate, sha256_16
 from policyscan.operators.matching import (
     find_ids,
     find_severities,
-    fold_in_blocks,
     overall_confidence,
-    top_id,
+    rows_of,
+    severities_sql,
+    split_at_matches,
+    top_id_sql,
 )
 from policyscan.operators.patterns import Pattern
 from policyscan.operators.quality import ISSUES, result_issues
@@ -29,101 +33,74 @@ MATCH = (
     "end_position:int,context:string,pattern_name:string>"
 )
 MATCHES = f"array<{MATCH}>"
+_OCCURRENCE = "struct<position:int,level:int>"
 
 
-def level_occurrences(text: Column, severities: Column) -> Column:
+def level_occurrences_sql(text: str, severities: str) -> str:
     """(position, index of level) of every level word in the text, in any case.
 
-    Each piece of the lower-cased text starts with a level word; their lengths add
-    up to the positions.  The split point is zero-width, so overlapping words count.
+    Matches are zero-width, so words that overlap all count.
     """
     words = "|".join(name.lower() for name in fixed.SEVERITIES)
-    pieces = F.split(F.lower(text), f"(?={words})", -1)
-    item = "struct<position:int,level:int>"
-
-    def step(position: Column, piece: Column) -> tuple[Column, Column]:
-        level = F.array_position(
-            severities, F.upper(F.regexp_extract(piece, f"^({words})", 1))
-        ).cast("int")
-        found = F.when(
-            level > 0,
-            F.array(F.struct(position.alias("position"), (level - 1).alias("level"))),
-        )
-        return position + F.length(piece), F.coalesce(
-            found.cast(f"array<{item}>"), F.array().cast(f"array<{item}>")
-        )
+    pieces = split_at_matches(f"lower({text})", f"(?=({words}))", ["$1"])
+    start = "acc.state + length(item.gap)"
+    level = f"CAST(array_position({severities}, upper(item.word)) AS INT)"
+    return sql.fold(
+        rows_of(pieces, "gap", "word"),
+        "0",
+        _OCCURRENCE,
+        start,
+        f"CASE WHEN {level} > 0 THEN array({sql.struct(position=start, level=f'{level} - 1')})"
+        f" ELSE {sql.empty(f'array<{_OCCURRENCE}>')} END",
+    )
 
-    return fold_in_blocks(pieces, F.lit(0), f"array<{item}>", step)
 
+def level_occurrences(text: str, severities: str) -> Column:
+    return F.expr(level_occurrences_sql(text, severities))
 
-def nearest_severity(start: Column, occurrences: Column, severities: Column) -> Column:
-    """Level whose word is closest to ``start``; ties go to the earlier level."""
-    closest = F.array_min(
-        F.transform(
-            occurrences,
-            lambda o: F.struct(
-                F.abs(o["position"] - start).alias("distance"), o["level"].alias("level")
-            ),
-        )
+
+def _nearest_sql(start: str, occurrences: str, severities: str) -> str:
+    distance = sql.struct(distance=f"abs(o.position - {start})", level="o.level")
+    closest = f"array_min(transform({occurrences}, o -> {distance})).level"
+    return f"get({severities}, coalesce({closest}, 0))"
+
+
+def nearest_severities(hits: str, occurrences: str, severities: str) -> Column:
+    """(checkov_id, severity) per hit: the level written closest to the hit's start.
+
+    Ties go to the earlier level.
+    """
+    pair = sql.struct(
+        checkov_id="h.checkov_id",
+        severity=_nearest_sql("h.start_position", occurrences, severities),
     )
-    return F.get(severities, F.coalesce(closest["level"], F.lit(0)))
+    return F.expr(f"transform({hits}, h -> {pair})")
 
 
-def pair_severities(hits: Column, severities: Column, text: Column) -> Column:
+def pair_severities(hits: str, severities: str, text: str) -> Column:
     """Give every ranked hit a severity.
 
     Hit i takes severity i; with a single severity all hits take it; any other hit
     takes the level written closest to it.
     """
 
-    def match(hit: Column, severity: Column) -> Column:
-        return F.struct(
-            hit["checkov_id"].alias("checkov_id"),
-            severity.alias("severity"),
-            *[
-                hit[name].alias(name)
-                for name in (
-                    "confidence",
-                    "start_position",
-                    "end_position",
-                    "context",
-                    "pattern_name",
-                )
-            ],
-        ).cast(MATCH)
-
-    def in_order(found: Column, levels: Column) -> Column:
-        return F.transform(
-            found,
-            lambda h, i: match(
-                h, F.when(F.size(levels) == 1, levels[0]).otherwise(F.get(levels, i))
-            ),
+    def match(severity: str) -> str:
+        rest = ("confidence", "start_position", "end_position", "context", "pattern_name")
+        return sql.struct(
+            checkov_id="h.checkov_id", severity=severity, **{n: f"h.{n}" for n in rest}
         )
 
-    def by_distance(found: Column, levels: Column) -> Column:
-        return let(
-            level_occurrences(text, levels),
-            lambda places: F.transform(
-                found,
-                lambda h, i: match(
-                    h,
-                    F.when(i < F.size(levels), F.get(levels, i)).otherwise(
-                        nearest_severity(h["start_position"], places, levels)
-                    ),
-                ),
-            ),
-        )
-
-    return let(
-        hits,
-        lambda found: let(
-            severities,
-            lambda levels: F.when(
-                (F.size(levels) < 2) | (F.size(found) <= F.size(levels)),
-                in_order(found, levels),
-            ).otherwise(by_distance(found, levels)),
-        ),
+    turn = f"get({severities}, CASE WHEN size({severities}) = 1 THEN 0 ELSE i END)"
+    in_order = f"transform({hits}, (h, i) -> {match(turn)})"
+    nearest = _nearest_sql("h.start_position", "places", severities)
+    either = f"CASE WHEN i < size({severities}) THEN get({severities}, i) ELSE {nearest} END"
+    by_distance = sql.bind(
+        level_occurrences_sql(text, severities),
+        "places",
+        f"transform({hits}, (h, i) -> {match(either)})",
     )
+    simple = f"size({severities}) < 2 OR size({hits}) <= size({severities})"
+    return F.expr(f"CASE WHEN {simple} THEN {in_order} ELSE {by_distance} END")
 
 
 def primary_mapping(results: DataFrame) -> DataFrame:
@@ -155,18 +132,6 @@ RESULT_COLUMNS = [
 ]
 
 
-def compute_once(frame: DataFrame, **columns: Column) -> DataFrame:
-    """Add columns behind a generator.
-
-    Spark pushes a filter on a projected column below the projection, which runs the
-    column's expression once for the filter and once more for the value.  It does
-    not push through a generator, so here each text is matched exactly once.
-    """
-    names = [c for c in frame.columns if c not in columns]
-    row = F.struct(*[value.alias(name) for name, value in columns.items()])
-    return frame.select(*names, F.inline(F.array(row)))
-
-
 def process_documents(
     documents: DataFrame,
     patterns: str | list[Pattern] = "config",
@@ -191,13 +156,15 @@ def process_documents(
     else:
         found = compute_once(
             gated,
-            hits=find_ids(F.col("content"), patterns),
-            severities=find_severities(F.col("content"), patterns),
+            hits=find_ids("content", patterns),
+            severities=find_severities("content", patterns),
         )
     text, hits, severities = F.col("content"), F.col("hits"), F.col("severities")
     matched = compute_once(
         found,
-        matches=F.coalesce(pair_severities(hits, severities, text), F.array().cast(MATCHES)),
+        matches=F.coalesce(
+            pair_severities("hits", "severities", "content"), F.array().cast(MATCHES)
+        ),
         confidence=F.coalesce(overall_confidence(hits, severities), F.lit(0.0)),
         content_hash=F.coalesce(sha256_16(text), F.lit("")),
     ).drop("content", "hits", "severities")
@@ -231,28 +198,28 @@ def found_mappings(
     with the first severity, so no pairing, context or issue is computed, and texts
     without a severity are left before their identifiers are ranked.
     """
-    text = F.col("content")
+    mapping = F.expr(
+        sql.bind(
+            f"get({severities_sql('content', patterns)}, 0)",
+            "severity",
+            "CASE WHEN severity IS NOT NULL THEN "
+            + sql.struct(raw=top_id_sql("content", patterns), severity="severity")
+            + " END",
+        )
+    )
     none = F.array().cast("array<struct<checkov_id:string,severity:string>>")
 
-    def mapping(severity: Column) -> Column:
+    def parsed(pair: Column) -> Column:
         return let(
-            parse_id(top_id(text, patterns)),
-            lambda parsed: F.when(
-                parsed.isNotNull(),
-                F.array(
-                    F.struct(
-                        parsed["full_id"].alias("checkov_id"), severity.alias("severity")
-                    )
-                ),
+            parse_id(pair["raw"])["full_id"],
+            lambda full: F.when(
+                full.isNotNull(),
+                F.array(F.struct(full.alias("checkov_id"), pair["severity"].alias("severity"))),
             ).otherwise(none),
         )
 
-    found = let(
-        F.get(find_severities(text, patterns), F.lit(0)),
-        lambda severity: F.when(severity.isNotNull(), mapping(severity)).otherwise(none),
-    )
-    gated = F.when(process_gate(text, min_content_length), found).otherwise(none)
-    return documents.select("path", F.inline(gated))
+    gate = process_gate(F.col("content"), min_content_length)
+    return documents.select("path", F.inline(F.when(gate, let(mapping, parsed)).otherwise(none)))
 
 
 def result_mappings(results: DataFrame) -> DataFrame:

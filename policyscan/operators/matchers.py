@@ -12,20 +12,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from policyscan.operators.matching import HITS, find_severities, rank_hits
+from policyscan.frames import compute_once
+from policyscan.operators.matching import HITS, find_ids, find_severities, rank_hits
 
 
 def regex_matcher(patterns) -> Callable[[DataFrame], DataFrame]:
     """The built-in matching over a pattern table of one's own."""
-    from policyscan.operators.documents import compute_once
-    from policyscan.operators.matching import find_ids
-
     def match(documents: DataFrame) -> DataFrame:
-        text = F.col("content")
         return compute_once(
             documents,
-            hits=find_ids(text, patterns),
-            severities=find_severities(text, patterns),
+            hits=find_ids("content", patterns),
+            severities=find_severities("content", patterns),
         )
 
     return match
@@ -55,12 +52,11 @@ def text_matcher(
                 lambda t: None if t is None else [dict(zip(fields, row)) for row in find(t)]
             )
 
-        text = F.col("content")
         return documents.withColumns(
             {
-                "hits": rank_hits(hits(text)),
-                "severities": find_severities(text, severity_patterns),
+                "hits": hits(F.col("content")),
+                "severities": find_severities("content", severity_patterns),
             }
-        )
+        ).withColumn("hits", rank_hits("hits"))
 
     return match

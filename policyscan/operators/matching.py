@@ -4,6 +4,8 @@ Nothing here shuffles.  A document's matches are an array built next to its text
 every regex runs over the whole text, positions are running sums over the gaps
 between matches, and duplicates are removed by sorting, so the work stays close to
 linear in the text and in the number of matches.
+
+``text``, ``hits`` and ``severities`` are column names or SQL expressions.
 """
 
 from __future__ import annotations
@@ -14,8 +16,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from policyscan import fixed
-from policyscan.functions.ids import accept_id, parse_severity
-from policyscan.functions.text import let, match_context
+from policyscan.functions import sql
+from policyscan.functions.ids import accept_sql
+from policyscan.functions.text import context_sql
 from policyscan.operators.patterns import REGEX_FLAGS, Pattern, resolve
 
 HIT = (
@@ -24,254 +27,172 @@ HIT = (
 )
 HITS = f"array<{HIT}>"
 _SPAN = "struct<id:string,start:int,stop:int,before:string,match:string,after:string>"
-_BLOCK = 256
 _MARK, _MARK_STAND_IN = "\uffff", "\ufffe"
 
 
-def _empty(type_name: str) -> Column:
-    return F.array().cast(type_name)
-
-
-def fold_in_blocks(items: Column, state: Column, emitted: str, step) -> Column:
-    """Running fold over an array that keeps what ``step`` emits.
-
-    ``step(state, item)`` returns (next state, array of emitted values).  Appending
-    to one long array would copy it again and again, so emitted values are gathered
-    per block of items and the blocks are joined at the end.
-    """
-
-    def over(block: Column, start: Column) -> Column:
-        def advance(acc: Column, item: Column) -> Column:
-            following, values = step(acc["state"], item)
-            return F.struct(
-                following.alias("state"), F.concat(acc["out"], values).alias("out")
-            )
-
-        return F.aggregate(
-            block, F.struct(start.alias("state"), _empty(emitted).alias("out")), advance
-        )
-
-    def blocks_of(whole: Column) -> Column:
-        last = F.floor((F.size(whole) - 1) / _BLOCK).cast("int")
-        return F.transform(
-            F.sequence(F.lit(0), last), lambda b: F.slice(whole, b * _BLOCK + 1, _BLOCK)
-        )
-
-    def advance_block(acc: Column, block: Column) -> Column:
-        return let(
-            over(block, acc["state"]),
-            lambda done: F.struct(
-                done["state"].alias("state"),
-                F.concat(acc["out"], F.array(done["out"])).alias("out"),
-            ),
-        )
-
-    def long_fold(whole: Column) -> Column:
-        return F.flatten(
-            F.aggregate(
-                blocks_of(whole),
-                F.struct(state.alias("state"), _empty(f"array<{emitted}>").alias("out")),
-                advance_block,
-                lambda acc: acc["out"],
-            )
-        )
-
-    return let(
-        items,
-        lambda whole: F.when(F.size(whole) <= _BLOCK, over(whole, state)["out"]).otherwise(
-            long_fold(whole)
-        ),
-    )
-
+def split_at_matches(text: str, regex: str, groups: list[str]) -> str:
+    """SQL array of gap, groups of match 1, gap, groups of match 2, …, tail.
 
-def _parts(text: Column, pattern: Pattern) -> Column:
-    """(gap before, match, id, text after) of every match of a pattern.
-
-    One regex pass wraps each match in marks, together with its captured id and,
-    through a look-ahead group, the characters that follow it; splitting at the mark
+    One regex pass wraps the groups of each match in marks; splitting at the mark
     then yields everything in order.  The mark is a Unicode noncharacter; should a
     text hold it, its neighbour stands in so that positions stay the same.
     """
-    clean = F.when(
-        F.contains(text, F.lit(_MARK)), F.translate(text, _MARK, _MARK_STAND_IN)
-    ).otherwise(text)
-    marked = F.regexp_replace(
-        clean,
-        f"{REGEX_FLAGS}(?:{pattern.pattern})(?=(.{{0,{fixed.TABLE_WINDOW}}}))",
-        _MARK + _MARK.join(["$0", "$1", f"${pattern.groups + 1}"]) + _MARK,
+    mark = sql.string(_MARK)
+    clean = (
+        f"CASE WHEN contains({text}, {mark}) THEN"
+        f" translate({text}, {mark}, {sql.string(_MARK_STAND_IN)}) ELSE {text} END"
     )
+    wrapped = sql.string(_MARK + _MARK.join(groups) + _MARK)
+    return f"split(regexp_replace({clean}, {sql.string(regex)}, {wrapped}), {mark}, -1)"
 
-    def part(pieces: Column, i: Column) -> Column:
-        return F.struct(
-            F.get(pieces, i * 4).alias("gap"),
-            F.get(pieces, i * 4 + 1).alias("match"),
-            F.get(pieces, i * 4 + 2).alias("id"),
-            F.get(pieces, i * 4 + 3).alias("after"),
-        )
 
-    return let(
-        F.split(marked, _MARK, -1),
-        lambda pieces: F.when(
-            F.size(pieces) > 1,
-            F.transform(
-                F.sequence(F.lit(0), ((F.size(pieces) - 1) / 4 - 1).cast("int")),
-                lambda i: part(pieces, i),
-            ),
-        ).otherwise(_empty("array<struct<gap:string,match:string,id:string,after:string>>")),
-    )
+def rows_of(pieces: str, *names: str) -> str:
+    """SQL array of structs from the pieces: (gap, group, …) per match, tail left out."""
+    width = len(names)
+    fields = sql.struct(**{n: f"get(pieces, i * {width} + {at})" for at, n in enumerate(names)})
+    last = f"CAST((size(pieces) - 1) / {width} - 1 AS INT)"
+    none = sql.empty("array<struct<" + ",".join(f"{n}:string" for n in names) + ">>")
+    rows = f"transform(sequence(0, {last}), i -> {fields})"
+    return sql.bind(pieces, "pieces", f"CASE WHEN size(pieces) > 1 THEN {rows} ELSE {none} END")
 
 
-def _spans(text: Column, pattern: Pattern) -> Column:
-    """Accepted matches of one pattern with up to 100 characters on both sides."""
-    window = fixed.TABLE_WINDOW
-
-    def step(state: Column, part: Column) -> tuple[Column, Column]:
-        before = F.right(F.concat(state["tail"], part["gap"]), F.lit(window))
-        start = state["stop"] + F.length(part["gap"])
-        stop = start + F.length(part["match"])
-        span = F.struct(
-            part["id"].alias("id"),
-            start.alias("start"),
-            stop.alias("stop"),
-            before.alias("before"),
-            part["match"].alias("match"),
-            part["after"].alias("after"),
-        ).cast(_SPAN)
-        following_state = F.struct(
-            stop.alias("stop"),
-            F.right(F.concat(before, part["match"]), F.lit(window)).alias("tail"),
-        )
-        kept = F.when(accept_id(part["id"]), F.array(span)).otherwise(
-            _empty(f"array<{_SPAN}>")
-        )
-        return following_state, kept
+def _spans(text: str, pattern: Pattern) -> str:
+    """Accepted matches of one pattern with up to 100 characters on both sides.
 
-    start_state = F.struct(F.lit(0).alias("stop"), F.lit("").alias("tail"))
-    spans = fold_in_blocks(_parts(text, pattern), start_state, f"array<{_SPAN}>", step)
-    return F.slice(spans, 1, 1) if pattern.first_match_only else spans
+    The characters after a match come from a look-ahead group, so they are not
+    consumed and the next match may start among them.
+    """
+    window = fixed.TABLE_WINDOW
+    pieces = split_at_matches(
+        text,
+        f"{REGEX_FLAGS}(?:{pattern.pattern})(?=(.{{0,{window}}}))",
+        ["$0", "$1", f"${pattern.groups + 1}"],
+    )
+    before = f"right(concat(acc.state.tail, item.gap), {window})"
+    start = "acc.state.stop + length(item.gap)"
+    stop = f"{start} + length(item.match)"
+    span = sql.struct(
+        id="item.id", start=start, stop=stop, before=before, match="item.match", after="item.after"
+    )
+    spans = sql.fold(
+        rows_of(pieces, "gap", "match", "id", "after"),
+        sql.struct(stop="0", tail="''"),
+        _SPAN,
+        sql.struct(stop=stop, tail=f"right(concat({before}, item.match), {window})"),
+        f"CASE WHEN {accept_sql('item.id')} THEN array({span})"
+        f" ELSE {sql.empty(f'array<{_SPAN}>')} END",
+    )
+    return f"slice({spans}, 1, 1)" if pattern.first_match_only else spans
 
 
-def match_confidence(pattern: Pattern, surroundings: Column | None) -> Column:
+def _confidence(pattern: Pattern, surroundings: str) -> str:
     """Score of an accepted match; a table nearby raises it."""
     plain, boosted = pattern.confidence(False), pattern.confidence(True)
-    if plain == boosted or surroundings is None:
-        return F.lit(plain)
-    in_table = F.contains(surroundings, F.lit("|")) | F.contains(
-        F.lower(surroundings), F.lit("table")
+    if plain == boosted:
+        return sql.double(plain)
+    return sql.bind(
+        surroundings,
+        "around",
+        "CASE WHEN contains(around, '|') OR contains(lower(around), 'table')"
+        f" THEN {sql.double(boosted)} ELSE {sql.double(plain)} END",
     )
-    return F.when(in_table, F.lit(boosted)).otherwise(F.lit(plain))
 
 
-def pattern_hits(text: Column, pattern: Pattern) -> Column:
+def _pattern_hits(text: str, pattern: Pattern) -> str:
     """Accepted matches of one identifier pattern, in text order."""
-
-    def hit(span: Column) -> Column:
-        around = F.concat(span["before"], span["match"], span["after"])
-        return F.struct(
-            span["id"].alias("checkov_id"),
-            match_confidence(pattern, around).alias("confidence"),
-            span["start"].alias("start_position"),
-            span["stop"].alias("end_position"),
-            match_context(span["before"], span["match"], span["after"]).alias("context"),
-            F.lit(pattern.name).alias("pattern_name"),
-        ).cast(HIT)
-
-    found = F.transform(_spans(text, pattern), hit)
-    return _where_needed(text, pattern, found, _empty(HITS))
+    hit = sql.struct(
+        checkov_id="s.id",
+        confidence=_confidence(pattern, "concat(s.before, s.match, s.after)"),
+        start_position="s.start",
+        end_position="s.stop",
+        context=context_sql("s.before", "s.match", "s.after"),
+        pattern_name=sql.string(pattern.name),
+    )
+    found = f"transform({_spans(text, pattern)}, s -> {hit})"
+    return _where_needed(text, pattern, found, sql.empty(HITS))
 
 
-def _captured(text: Column, pattern: Pattern) -> Column:
-    return F.regexp_extract_all(text, F.lit(pattern.regex), F.lit(1))
+def _captured(text: str, pattern: Pattern) -> str:
+    return f"regexp_extract_all({text}, {sql.string(pattern.regex)}, 1)"
 
 
-def _where_needed(text: Column, pattern: Pattern, found: Column, otherwise: Column) -> Column:
+def _where_needed(text: str, pattern: Pattern, found: str, otherwise: str) -> str:
     """Skip the regex for texts without the literal that every match contains."""
     if not pattern.needs:
         return found
-    return F.when(F.contains(text, F.lit(pattern.needs)), found).otherwise(otherwise)
+    needed = f"contains({text}, {sql.string(pattern.needs)})"
+    return f"CASE WHEN {needed} THEN {found} ELSE {otherwise} END"
 
 
-def all_hits(text: Column, patterns: list[Pattern]) -> Column:
-    """Accepted matches of every identifier pattern, strongest pattern first."""
-    found = [pattern_hits(text, p) for p in patterns]
-    return F.concat(*found) if found else _empty(HITS)
+def _all_hits(text: str, patterns: list[Pattern]) -> str:
+    found = ", ".join(_pattern_hits(text, p) for p in patterns)
+    return f"CAST(concat({found}) AS {HITS})" if found else sql.empty(HITS)
 
 
-def dedup_hits(hits: Column) -> Column:
+def _first_per_id(items: str) -> str:
+    first = "i = 0 OR x.id <> get(items, i - 1).id"
+    return sql.bind(items, "items", f"filter(items, (x, i) -> {first})")
+
+
+def _distinct(hits: str) -> str:
     """One hit per identifier: the most confident, on a tie the first found.
 
     The result keeps the order in which identifiers were first found.  Sorting
     twice (by score within an identifier, by sequence within an identifier) lines
     both answers up without comparing all pairs.
     """
+    scored = sql.struct(id="h.checkov_id", score="-h.confidence", seq="i", hit="h")
+    placed = sql.struct(id="h.checkov_id", seq="i")
+    by_score = _first_per_id(f"array_sort(transform(found, (h, i) -> {scored}))")
+    by_sequence = _first_per_id(f"array_sort(transform(found, (h, i) -> {placed}))")
+    zipped = f"zip_with({by_score}, {by_sequence}, (x, y) -> {sql.struct(slot='y.seq', hit='x.hit')})"
+    distinct = f"transform(array_sort({zipped}), p -> p.hit)"
+    return sql.bind(hits, "found", f"CASE WHEN size(found) <= 1 THEN found ELSE {distinct} END")
 
-    def distinct(found: Column) -> Column:
-        by_score = F.array_sort(
-            F.transform(
-                found,
-                lambda h, i: F.struct(
-                    h["checkov_id"].alias("id"),
-                    (-h["confidence"]).alias("score"),
-                    i.alias("seq"),
-                    h.alias("hit"),
-                ),
-            )
-        )
-        by_sequence = F.array_sort(
-            F.transform(
-                found, lambda h, i: F.struct(h["checkov_id"].alias("id"), i.alias("seq"))
-            )
-        )
-        placed = F.zip_with(
-            _first_per_id(by_score),
-            _first_per_id(by_sequence),
-            lambda best, first: F.struct(first["seq"].alias("slot"), best["hit"].alias("hit")),
-        )
-        return F.transform(F.array_sort(placed), lambda p: p["hit"])
 
-    return let(
-        hits, lambda found: F.when(F.size(found) <= 1, found).otherwise(distinct(found))
-    )
+def _ranked(hits: str) -> str:
+    """Most confident first; equal scores keep their order."""
+    keyed = sql.struct(score="-h.confidence", slot="i", hit="h")
+    return f"transform(array_sort(transform({hits}, (h, i) -> {keyed})), k -> k.hit)"
 
 
-def _first_per_id(sorted_items: Column) -> Column:
-    return let(
-        sorted_items,
-        lambda items: F.filter(
-            items, lambda item, i: (i == 0) | (item["id"] != F.get(items, i - 1)["id"])
-        ),
-    )
+def all_hits(text: str, patterns: str | list[Pattern] = "config") -> Column:
+    """Accepted matches of every identifier pattern, strongest pattern first."""
+    return F.expr(_all_hits(text, resolve(patterns)["id"]))
 
 
-def rank_hits(hits: Column) -> Column:
-    """Most confident first; equal scores keep their order."""
-    keyed = F.transform(
-        hits,
-        lambda h, i: F.struct(
-            (-h["confidence"]).alias("score"), i.alias("slot"), h.alias("hit")
-        ),
-    )
-    return F.transform(F.array_sort(keyed), lambda k: k["hit"])
+def dedup_hits(hits: str) -> Column:
+    """One hit per identifier, in the order of first sighting."""
+    return F.expr(_distinct(hits))
+
 
+def rank_hits(hits: str) -> Column:
+    """Hits by confidence."""
+    return F.expr(_ranked(hits))
 
-def find_ids(text: Column, patterns: str | list[Pattern] = "config") -> Column:
+
+def find_ids(text: str, patterns: str | list[Pattern] = "config") -> Column:
     """Distinct accepted identifiers of a text, best first."""
-    return rank_hits(dedup_hits(all_hits(text, resolve(patterns)["id"])))
+    return F.expr(_ranked(_distinct(_all_hits(text, resolve(patterns)["id"]))))
 
 
-def find_severities(text: Column, patterns: str | list[Pattern] = "config") -> Column:
-    """Distinct valid levels of a text in the order they were found."""
+def severities_sql(text: str, patterns: str | list[Pattern] = "config") -> str:
+    levels = ", ".join(sql.string(s) for s in fixed.SEVERITIES)
     found = []
     for pattern in resolve(patterns)["severity"]:
-        levels = F.filter(
-            F.transform(_captured(text, pattern), parse_severity), lambda s: s.isNotNull()
-        )
+        upper = f"transform({_captured(text, pattern)}, s -> upper(s))"
+        valid = f"filter({upper}, s -> s IN ({levels}))"
         if pattern.first_level_only:
-            levels = F.slice(levels, 1, 1)
-        found.append(_where_needed(text, pattern, levels, _empty("array<string>")))
+            valid = f"slice({valid}, 1, 1)"
+        found.append(_where_needed(text, pattern, valid, sql.empty("array<string>")))
     if not found:
-        return _empty("array<string>")
-    return F.array_distinct(F.concat(*found))
+        return sql.empty("array<string>")
+    return f"array_distinct(concat({', '.join(found)}))"
+
+
+def find_severities(text: str, patterns: str | list[Pattern] = "config") -> Column:
+    """Distinct valid levels of a text in the order they were found."""
+    return F.expr(severities_sql(text, patterns))
 
 
 def overall_confidence(hits: Column, severities: Column) -> Column:
@@ -286,7 +207,7 @@ def overall_confidence(hits: Column, severities: Column) -> Column:
     )
 
 
-def top_id(text: Column, patterns: str | list[Pattern] = "config") -> Column:
+def top_id_sql(text: str, patterns: str | list[Pattern] = "config") -> str:
     """Identifier of the best hit, without positions where the score needs none.
 
     A pattern whose score cannot be beaten decides by its first accepted id; only
@@ -296,9 +217,9 @@ def top_id(text: Column, patterns: str | list[Pattern] = "config") -> Column:
     certain = list(takewhile(lambda p: p.confidence(False) >= 1.0, ids))
     first = [
         _where_needed(
-            text, p, F.get(F.filter(_captured(text, p), accept_id), F.lit(0)), F.lit(None)
+            text, p, f"get(filter({_captured(text, p)}, c -> {accept_sql('c')}), 0)", "NULL"
         )
         for p in certain
     ]
-    ranked = rank_hits(dedup_hits(all_hits(text, ids[len(certain) :])))
-    return F.coalesce(*first, F.get(ranked, F.lit(0))["checkov_id"])
+    ranked = _ranked(_distinct(_all_hits(text, ids[len(certain) :])))
+    return f"coalesce({', '.join([*first, f'get({ranked}, 0).checkov_id'])})"

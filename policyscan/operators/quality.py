@@ -371,13 +371,15 @@ def report(issues: DataFrame, keys: list[str], confidence: Column) -> DataFrame:
 def issue_counts_of(issues: Column) -> dict[str, Column]:
     """Counts per level of an issues array, for reports that stay on one row."""
     return {
-        f"{level.lower()}_count": F.size(
-            F.filter(issues, lambda i, level=level: i["level"] == level)
-        ).cast("bigint")
+        f"{level.lower()}_count": count_level(issues, level)
         for level in ("ERROR", "WARNING", "INFO")
     }
 
 
+def count_level(issues: Column, level: str) -> Column:
+    return F.size(F.filter(issues, lambda i: i["level"] == level)).cast("bigint")
+
+
 def result_report(results: DataFrame) -> DataFrame:
     """Report of every result row over its attached issues; narrow."""
     return (

@@ -148,7 +148,8 @@ def error_categories_sorted(results: DataFrame) -> DataFrame:
 
 def throughput(results: DataFrame, started: Column, ended: Column) -> DataFrame:
     """Files and megabytes per second between two timestamp aggregates or literals."""
-    seconds = F.unix_micros(ended) / 1e6 - F.unix_micros(started) / 1e6
+    begin, end = (F.unix_micros(t.cast("timestamp")) for t in (started, ended))
+    seconds = (end - begin) / 1e6
     size = F.coalesce(F.sum(F.when(F.col("file_size") > 0, F.col("file_size"))), F.lit(0))
     rate = F.when(seconds > 0, F.count("*") / seconds).otherwise(F.lit(0.0))
     megabytes = F.when(seconds > 0, size / (1024 * 1024) / seconds).otherwise(F.lit(0.0))

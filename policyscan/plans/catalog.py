@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from policyscan import fixed
+from policyscan.frames import compute_once
 from policyscan.functions import ids, paths, text
 from policyscan.operators import database as db
 from policyscan.operators import documents as docs
@@ -110,10 +111,10 @@ def document_rows(frame: DataFrame) -> DataFrame:
 
 def matched(spark: SparkSession, sf: str, patterns="config") -> DataFrame:
     gated = pages(spark, sf).withColumn("content", F.when(text.process_gate(content()), content()))
-    return docs.compute_once(
+    return compute_once(
         gated,
-        hits=matching.find_ids(content(), patterns),
-        severities=matching.find_severities(content(), patterns),
+        hits=matching.find_ids("content", patterns),
+        severities=matching.find_severities("content", patterns),
     ).filter(content().isNotNull())
 
 
@@ -152,9 +153,8 @@ def gated_text(spark: SparkSession, sf: str) -> DataFrame:
 def raw_matches(spark: SparkSession, sf: str) -> DataFrame:
     """Matches before repeats are removed, each with the severity of its turn."""
     gated = gated_text(spark, sf)
-    config = matching.resolve("config")["id"]
-    frame = docs.compute_once(
-        gated, hits=matching.all_hits(content(), config), severities=matching.find_severities(content())
+    frame = compute_once(
+        gated, hits=matching.all_hits("content"), severities=matching.find_severities("content")
     )
     rows = frame.select("path", "severities", F.posexplode("hits").alias("pos", "h"))
     turn = F.when(F.size("severities") > 0, F.col("pos") % F.size("severities"))
@@ -439,7 +439,7 @@ def text_profile(spark, sf):
 
 @query
 def text_suitability(spark, sf):
-    verdict = docs.compute_once(
+    verdict = compute_once(
         pages(spark, sf), verdict=text.suitability(content())
     ).select("path", "verdict.*")
     return verdict.select(
@@ -461,14 +461,14 @@ def text_match_context(spark, sf):
     inner = F.regexp_instr(content(), F.lit(r"\[[A-Z0-9_]+\]"))
     token = F.regexp_extract(content(), r"\[[A-Z0-9_]+\]", 0)
     rows = pages(spark, sf).withColumns({"at": inner, "token": token}).filter(F.col("at") > 0)
-    return rows.select(
-        "path",
-        F.col("token"),
-        text.match_context(
-            F.substr(content(), F.lit(1), F.col("at") - 1),
-            F.col("token"),
-            F.substr(content(), F.col("at") + F.length("token")),
-        ).alias("context"),
+    cut = rows.withColumns(
+        {
+            "before": F.substr(content(), F.lit(1), F.col("at") - 1),
+            "after": F.substr(content(), F.col("at") + F.length("token")),
+        }
+    )
+    return cut.select(
+        "path", "token", text.match_context("before", "token", "after").alias("context")
     )
 
 
@@ -489,7 +489,7 @@ def id_accept(spark, sf):
     words = pages(spark, sf).select(
         "path", F.explode(F.array_distinct(F.regexp_extract_all(content(), F.lit(r"([A-Z0-9_]{2,})"), 1))).alias("word")
     )
-    return words.select("path", "word", ids.accept_id(F.col("word")).alias("accepted"))
+    return words.select("path", "word", ids.accept_id("word").alias("accepted"))
 
 
 @query
@@ -571,51 +571,51 @@ def db_filter_provider(spark, sf):
 
 @query
 def extract_ids(spark, sf):
-    return hit_rows(gated_text(spark, sf), matching.find_ids(content()))
+    return hit_rows(gated_text(spark, sf), matching.find_ids("content"))
 
 
 @query
 def extract_ids_builtin(spark, sf):
-    return hit_rows(gated_text(spark, sf), matching.find_ids(content(), "builtin"))
+    return hit_rows(gated_text(spark, sf), matching.find_ids("content", "builtin"))
 
 
 @query
 def extract_first_per_strong_pattern(spark, sf):
     """All accepted hits before repeats are removed; strong patterns give one."""
-    hits = matching.all_hits(content(), matching.resolve("config")["id"])
+    hits = matching.all_hits("content")
     rows = hit_rows(gated_text(spark, sf), hits)
     return rows.select("path", "rank", "checkov_id", "pattern_name", "start_position")
 
 
 @query
 def match_confidence(spark, sf):
-    hits = matching.all_hits(content(), matching.resolve("builtin")["id"])
+    hits = matching.all_hits("content", "builtin")
     rows = hit_rows(gated_text(spark, sf), hits)
     return rows.select("path", "rank", "checkov_id", "pattern_name", "confidence")
 
 
 @query
 def dedup_matches(spark, sf):
-    hits = matching.all_hits(content(), matching.resolve("config")["id"])
-    rows = hit_rows(gated_text(spark, sf), matching.dedup_hits(hits))
+    found_hits = compute_once(gated_text(spark, sf), hits=matching.all_hits("content"))
+    rows = hit_rows(found_hits, matching.dedup_hits("hits"))
     return rows.select("path", F.col("rank").alias("slot"), "checkov_id", "confidence", "pattern_name")
 
 
 @query
 def rank_matches(spark, sf):
-    rows = hit_rows(gated_text(spark, sf), matching.find_ids(content()))
+    rows = hit_rows(gated_text(spark, sf), matching.find_ids("content"))
     return rows.select("path", "rank", "checkov_id", "confidence")
 
 
 @query
 def extract_severities(spark, sf):
-    levels = matching.find_severities(content())
+    levels = matching.find_severities("content")
     return gated_text(spark, sf).select("path", F.posexplode(levels).alias("pos", "severity"))
 
 
 @query
 def extract_severities_builtin(spark, sf):
-    levels = matching.find_severities(content(), "builtin")
+    levels = matching.find_severities("content", "builtin")
     return gated_text(spark, sf).select("path", F.posexplode(levels).alias("pos", "severity"))
 
 
@@ -644,17 +644,9 @@ def pair_positional(spark, sf):
 def pair_nearest(spark, sf):
     """Severity written closest to each id, wherever a page has any severity."""
     frame = matched(spark, sf)
-    near = F.transform(
-        "hits",
-        lambda h: F.struct(
-            h["checkov_id"].alias("checkov_id"),
-            docs.nearest_severity(h["start_position"], F.col("places"), F.col("severities")).alias(
-                "severity"
-            ),
-        ),
-    )
-    placed = docs.compute_once(
-        frame, places=docs.level_occurrences(content(), F.col("severities"))
+    near = docs.nearest_severities("hits", "places", "severities")
+    placed = compute_once(
+        frame, places=docs.level_occurrences("content", "severities")
     ).filter(F.size("severities") > 0)
     rows = placed.select("path", F.posexplode(near).alias("pos", "n"))
     return rows.select("path", (F.col("pos") + 1).alias("rank"), "n.checkov_id", "n.severity")

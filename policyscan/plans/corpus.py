@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from policyscan.functions import sql
 from policyscan.functions.text import newlines
 
 PROVIDER_CYCLE = ["AWS", "AZURE", "GCP", "K8S", "GIT", "DOCKER", "ALI"]
@@ -43,92 +44,66 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _fields(k: Column, priority: Column) -> dict[str, Column]:
-    g = F.floor(k / 3).cast("bigint")
-    severity = (
-        F.when(priority == "1-URGENT", "CRITICAL")
-        .when(priority == "2-HIGH", "HIGH")
-        .when(priority == "3-MEDIUM", "MEDIUM")
-        .when(priority == "5-LOW", "LOW")
-        .otherwise("INFO")
-    )
-    names = F.array(*[F.lit(p) for p in PROVIDER_CYCLE])
-    provider = F.get(names, (g % len(PROVIDER_CYCLE)).cast("int"))
-    return {
-        "g": g,
-        "v": (k % VARIANTS).cast("int"),
-        "sev": severity,
-        "other": F.when(severity == "LOW", "HIGH").otherwise("LOW"),
-        "prov": provider,
-        "id": F.concat(F.lit("CKV_"), provider, F.lit("_"), g.cast("string")),
-    }
-
-
-def _path(k: Column, provider: Column) -> Column:
-    folder = (
-        F.when(k % 25 == 7, "node_modules/")
-        .when(k % 25 == 11, ".cache/")
-        .when(k % 10 == 3, "archive/old/")
-        .otherwise("")
-    )
-    extension = F.when(k % 41 == 0, ".txt").when(k % 37 == 0, ".ADOC").otherwise(".adoc")
-    return F.concat(
-        F.lit("docs/"),
-        F.lower(provider),
-        F.when(k % 2 == 0, "-policies/").otherwise("/"),
-        folder,
-        F.when(k % 50 == 0, "index").otherwise("p"),
-        k.cast("string"),
-        extension,
-    )
+_CYCLE = "array(" + ", ".join(f"'{p}'" for p in PROVIDER_CYCLE) + ")"
+_SEVERITY = """CASE o_orderpriority WHEN '1-URGENT' THEN 'CRITICAL' WHEN '2-HIGH' THEN 'HIGH'
+  WHEN '3-MEDIUM' THEN 'MEDIUM' WHEN '5-LOW' THEN 'LOW' ELSE 'INFO' END"""
+# Ingredients of a page, in SQL over the orders table.
+FIELDS = {
+    "k": "o_orderkey",
+    "g": "o_orderkey div 3",
+    "v": f"CAST(o_orderkey % {VARIANTS} AS INT)",
+    "sev": _SEVERITY,
+    "prov": f"{_CYCLE}[CAST((o_orderkey div 3) % {len(PROVIDER_CYCLE)} AS INT)]",
+}
+_ID = "concat('CKV_', prov, '_', g)"
+_PATH = """concat('docs/', lower(prov), CASE WHEN k % 2 = 0 THEN '-policies/' ELSE '/' END,
+  CASE WHEN k % 25 = 7 THEN 'node_modules/' WHEN k % 25 = 11 THEN '.cache/'
+       WHEN k % 10 = 3 THEN 'archive/old/' ELSE '' END,
+  CASE WHEN k % 50 = 0 THEN 'index' ELSE 'p' END, k,
+  CASE WHEN k % 41 = 0 THEN '.txt' WHEN k % 37 = 0 THEN '.ADOC' ELSE '.adoc' END)"""
+
+
+def keyed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders with the ingredients of their pages: k, g, v, sev, prov, id and path."""
+    orders = table(spark, sf_dir, "orders")
+    fields = [f"{expression} AS {name}" for name, expression in FIELDS.items()]
+    kept = ["o_orderstatus", "o_orderpriority", "o_orderdate"]
+    return orders.selectExpr(*kept, *fields).selectExpr("*", f"{_ID} AS id", f"{_PATH} AS path")
 
 
-def _content() -> Column:
+def _layout_sql(layout: str) -> str:
     parts = {
-        "id": F.col("id"),
-        "sev": F.col("sev"),
-        "other": F.col("other"),
-        "mixed": F.concat(F.substring("sev", 1, 1), F.lower(F.substring("sev", 2, 20))),
-        "k": F.col("k").cast("string"),
-        "prose": F.col("prose"),
-        "noise": F.lit(NOISE),
+        "id": "id",
+        "sev": "sev",
+        "other": "CASE WHEN sev = 'LOW' THEN 'HIGH' ELSE 'LOW' END",
+        "mixed": "concat(substring(sev, 1, 1), lower(substring(sev, 2)))",
+        "k": "k",
+        "prose": "prose",
+        "noise": sql.string(NOISE),
     }
-    content = F.lit(None).cast("string")
-    for v, layout in enumerate(LAYOUTS):
-        content = F.when(F.col("v") == v, _filled(layout, parts)).otherwise(content)
-    return content
+    pieces = []
+    for piece in layout.split("{"):
+        name, closed, rest = piece.partition("}")
+        pieces += [parts[name], sql.string(rest)] if closed else [sql.string(piece)]
+    return f"concat({', '.join(pieces)})"
 
 
-def _filled(layout: str, parts: dict[str, Column]) -> Column:
-    pieces = []
-    for text in layout.split("{"):
-        name, closed, rest = text.partition("}")
-        if closed:
-            pieces += [parts[name], F.lit(rest)]
-        else:
-            pieces.append(F.lit(text))
-    return F.concat(*pieces)
+def _content_sql() -> str:
+    cases = " ".join(f"WHEN {v} THEN {_layout_sql(x)}" for v, x in enumerate(LAYOUTS))
+    return f"CASE v {cases} END"
 
 
 def policy_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as a page: path, content (as stored) and its ingredients."""
-    orders = table(spark, sf_dir, "orders")
-    documents = table(spark, sf_dir, "documents")
+    documents = table(spark, sf_dir, "documents").selectExpr("doc_id", "text AS prose")
     first = documents.select(F.min("doc_id")).scalar()
     count = documents.select(F.count("*")).scalar()
-    k = F.col("o_orderkey")
     # The texts dominate.  Orders are narrow and often one small file, so they are
     # spread before a text is attached to each of them.
     spread = spark.sparkContext.defaultParallelism * 4
-    keyed = orders.select(
-        k.alias("k"),
-        (first + k % count).alias("doc_id"),
-        "o_orderstatus",
-        "o_orderdate",
-        *[c.alias(n) for n, c in _fields(k, F.col("o_orderpriority")).items()],
-    ).repartition(spread, "doc_id")
-    prose = documents.select("doc_id", F.col("text").alias("prose"))
-    return keyed.join(prose, "doc_id").select(
+    keyed = keyed_orders(spark, sf_dir).withColumn("doc_id", first + F.col("k") % count)
+    pages = keyed.repartition(spread, "doc_id").join(documents, "doc_id")
+    return pages.selectExpr(
         "k",
         "g",
         "v",
@@ -136,9 +111,9 @@ def policy_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "prov",
         "id",
         "o_orderstatus",
-        F.col("o_orderdate").alias("modificationTime"),
-        _path(F.col("k"), F.col("prov")).alias("path"),
-        _content().alias("content"),
+        "o_orderdate AS modificationTime",
+        "path",
+        f"{_content_sql()} AS content",
     )
 
 
@@ -219,55 +194,35 @@ def untidy_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def existing_database(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An earlier database: identifiers of closed orders, severity of the smallest key."""
-    k = F.col("o_orderkey")
-    rows = (
-        table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderstatus") == "F")
-        .select(k.alias("k"), *_named(k))
-    )
-    return rows.groupBy(F.col("id").alias("checkov_id")).agg(
+    closed = keyed_orders(spark, sf_dir).filter("o_orderstatus = 'F'")
+    return closed.groupBy(F.col("id").alias("checkov_id")).agg(
         F.min_by("sev", "k").alias("severity")
     )
 
 
 def second_database(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Another database: identifiers of open orders, all MEDIUM."""
-    k = F.col("o_orderkey")
-    rows = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "O")
-    return (
-        rows.select(*_named(k))
-        .select(F.col("id").alias("checkov_id"), F.lit("MEDIUM").alias("severity"))
-        .distinct()
-    )
+    open_orders = keyed_orders(spark, sf_dir).filter("o_orderstatus = 'O'")
+    return open_orders.selectExpr("id AS checkov_id", "'MEDIUM' AS severity").distinct()
 
 
 def deletions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Identifiers of urgent orders."""
-    k = F.col("o_orderkey")
-    rows = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
-    return rows.select(*_named(k)).select(F.col("id").alias("checkov_id")).distinct()
-
-
-def _named(k: Column) -> list[Column]:
-    fields = _fields(k, F.col("o_orderpriority"))
-    return [fields["id"].alias("id"), fields["sev"].alias("sev")]
+    urgent = keyed_orders(spark, sf_dir).filter("o_orderpriority = '1-URGENT'")
+    return urgent.selectExpr("id AS checkov_id").distinct()
 
 
 def doubtful_mappings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A database with flaws: malformed identifiers and unknown severities.
 
-    The severity is INFO except for urgent orders (CRITICAL) and a few odd words.
+    The severity is INFO except for closed urgent orders (CRITICAL) and a few odd words.
     """
-    k = F.col("o_orderkey")
-    fields = _fields(k, F.col("o_orderpriority"))
-    return table(spark, sf_dir, "orders").select(
-        F.when(k % 400 == 1, F.concat(F.lit("CKV2_AWS_FOO"), k.cast("string"), F.lit("X")))
-        .otherwise(F.concat(F.lit("CKV_"), fields["prov"], F.lit("_"), k.cast("string")))
-        .alias("checkov_id"),
-        F.when(k % 500 == 2, "SEVERE")
-        .when((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F"), "CRITICAL")
-        .otherwise("INFO")
-        .alias("severity"),
+    return keyed_orders(spark, sf_dir).selectExpr(
+        """CASE WHEN k % 400 = 1 THEN concat('CKV2_AWS_FOO', k, 'X')
+           ELSE concat('CKV_', prov, '_', k) END AS checkov_id""",
+        """CASE WHEN k % 500 = 2 THEN 'SEVERE'
+           WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN 'CRITICAL'
+           ELSE 'INFO' END AS severity""",
     )
 
 
@@ -276,23 +231,10 @@ def compact_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every third document leaves out its version and generator.
     """
-    k = F.col("o_orderkey")
-    fields = _fields(k, F.col("o_orderpriority"))
-    entries = F.concat(
-        F.lit('"s":{"'),
-        fields["id"],
-        F.lit('":"'),
-        fields["sev"],
-        F.lit('","BC_'),
-        fields["prov"],
-        F.lit("_"),
-        k.cast("string"),
-        F.lit('":"LOW","CKV_X_1":"low"}'),
-    )
-    time = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T06:07:08"))
-    full = F.concat(F.lit('{"v":"2.0","t":"'), time, F.lit('Z","c":9,"g":"3.1",'), entries, F.lit("}"))
-    brief = F.concat(F.lit('{"t":"'), time, F.lit('",'), entries, F.lit("}"))
-    return table(spark, sf_dir, "orders").select(
-        _path(k, fields["prov"]).alias("path"),
-        F.when(k % 3 == 0, brief).otherwise(full).alias("value"),
+    entries = """concat('"s":{"', id, '":"', sev, '","BC_', prov, '_', k, '":"LOW","CKV_X_1":"low"}')"""
+    time = "concat(date_format(o_orderdate, 'yyyy-MM-dd'), 'T06:07:08')"
+    brief = f"""concat('{{"t":"', {time}, '",', {entries}, '}}')"""
+    full = f"""concat('{{"v":"2.0","t":"', {time}, 'Z","c":9,"g":"3.1",', {entries}, '}}')"""
+    return keyed_orders(spark, sf_dir).selectExpr(
+        "path", f"CASE WHEN k % 3 = 0 THEN {brief} ELSE {full} END AS value"
     )

@@ -603,8 +603,8 @@ FROM (SELECT path, content, list_filter([{", ".join(f"'{w}'" for w in fixed.RELE
     "text_sha256_16": sql(f"SELECT path, {sha16('content')} AS content_hash FROM docs", "docs"),
     "text_match_context": sql(
         rf"""SELECT path, token, CASE WHEN length(ctx) > 100 THEN ctx[1:100] || '...' ELSE ctx END AS context
-FROM (SELECT path, token, trim(regexp_replace(substr(content, greatest(at - 50, 0) + 1, at + length(token) + 50 - greatest(at - 50, 0)), '[{SPACE}]+', ' ', 'g')) AS ctx
-  FROM (SELECT path, content, token, instr(content, token) - 1 AS at FROM (SELECT path, content, regexp_extract(content, '\[[A-Z0-9_]+\]', 0) AS token FROM docs)) WHERE token <> '')""",
+FROM (SELECT path, token, trim(regexp_replace(substr(content, greatest(spot - 50, 0) + 1, spot + length(token) + 50 - greatest(spot - 50, 0)), '[{SPACE}]+', ' ', 'g')) AS ctx
+  FROM (SELECT path, content, token, instr(content, token) - 1 AS spot FROM (SELECT path, content, regexp_extract(content, '\[[A-Z0-9_]+\]', 0) AS token FROM docs)) WHERE token <> '')""",
         "docs",
     ),
     "id_parse": sql(

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from policyscan import fixed
+from policyscan.operators.quality import count_level
 from policyscan.operators.statistics import has_matches
 
 _KEEP_NULLS = {"ignoreNullFields": "false"}
@@ -226,9 +227,7 @@ def summary_document(
         F.size("matches").alias("n"),
         has_matches().alias("hit"),
         *[
-            F.size(F.filter("validation_issues", lambda i, level=level: i["level"] == level)).alias(
-                level
-            )
+            count_level(F.col("validation_issues"), level).alias(level)
             for level in ("ERROR", "WARNING", "INFO")
         ],
     )

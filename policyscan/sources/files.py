@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from policyscan import fixed
+from policyscan.frames import compute_once
 from policyscan.functions.paths import (
     any_glob_regex,
     depth,
@@ -267,11 +268,11 @@ def preprocess_texts(texts: DataFrame) -> DataFrame:
     In order: newlines, trailing whitespace, blank runs, NFKC, byte-order mark.
     """
     text = F.col("content")
-    stripped = texts.withColumns(
-        {"tag_newlines": has_carriage_return(text), "content": rstrip_lines(newlines(text))}
+    stripped = compute_once(
+        texts, tag_newlines=has_carriage_return(text), content=rstrip_lines(newlines(text))
     )
-    collapsed = stripped.withColumns(
-        {"tag_blank": has_blank_run(text), "content": collapse_blank_lines(text)}
+    collapsed = compute_once(
+        stripped, tag_blank=has_blank_run(text), content=collapse_blank_lines(text)
     )
     normalized = collapsed.withColumn("normalized", nfkc(text))
     tags = F.array(
@@ -280,10 +281,9 @@ def preprocess_texts(texts: DataFrame) -> DataFrame:
         F.when(F.col("normalized") != text, fixed.TAG_UNICODE),
         F.when(has_bom(F.col("normalized")), fixed.TAG_BOM),
     )
-    tagged = normalized.withColumns(
-        {
-            "preprocessing_applied": F.array_compact(tags),
-            "content": strip_bom(F.col("normalized")),
-        }
+    tagged = compute_once(
+        normalized,
+        preprocessing_applied=F.array_compact(tags),
+        content=strip_bom(F.col("normalized")),
     )
     return tagged.drop("tag_newlines", "tag_blank", "normalized")
