@@ -6,7 +6,9 @@ points.  Every expression is linear in the text.
 
 from __future__ import annotations
 
+import operator
 import unicodedata
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -104,12 +106,14 @@ def appears_binary(text: Column) -> Column:
 
 
 def has_keyword(text: Column, keywords: list[str] | None = None) -> Column:
-    """Any keyword occurs, in any letter case."""
-    lowered = F.lower(text)
-    found = F.lit(False)
-    for word in keywords or fixed.REQUIRED_KEYWORDS:
-        found = found | F.contains(lowered, F.lit(word))
-    return found
+    """Any keyword occurs, in any letter case.
+
+    The usual spellings are tried first; only texts without them are lower-cased.
+    """
+    words = keywords or fixed.REQUIRED_KEYWORDS
+    usual = [F.contains(text, F.lit(form)) for w in words for form in (w.capitalize(), w)]
+    any_case = [F.contains(F.lower(text), F.lit(w)) for w in words]
+    return reduce(operator.or_, usual + any_case)
 
 
 def long_enough(text: Column, minimum: int = fixed.MIN_CONTENT_LENGTH) -> Column:
@@ -117,13 +121,11 @@ def long_enough(text: Column, minimum: int = fixed.MIN_CONTENT_LENGTH) -> Column
 
 
 def process_gate(text: Column, min_length: int = fixed.MIN_CONTENT_LENGTH) -> Column:
-    """Text is worth matching: not blank, long enough, on topic and not binary."""
-    return (
-        long_enough(text, min_length)
-        & has_keyword(text)
-        & ~is_blank(text)
-        & ~appears_binary(text)
-    )
+    """Text is worth matching: not blank, long enough, on topic and not binary.
+
+    A text with a keyword is not blank, so blanks need no test of their own.
+    """
+    return long_enough(text, min_length) & has_keyword(text) & ~appears_binary(text)
 
 
 def line_count(text: Column) -> Column:
@@ -176,7 +178,7 @@ def suitability(text: Column) -> Column:
 
 def sha256_16(text: Column) -> Column:
     """First 16 hex digits of the SHA-256 of the UTF-8 text."""
-    return F.substring(F.sha2(F.encode(text, "UTF-8"), 256), 1, 16)
+    return F.substring(F.sha2(text.cast("binary"), 256), 1, 16)
 
 
 def context_sql(before: str, match: str, after: str) -> str:

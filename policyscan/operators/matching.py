@@ -65,7 +65,7 @@ def _spans(text: str, pattern: Pattern) -> str:
     window = fixed.TABLE_WINDOW
     pieces = split_at_matches(
         text,
-        f"{REGEX_FLAGS}(?:{pattern.pattern})(?=(.{{0,{window}}}))",
+        f"{REGEX_FLAGS}{pattern.grouped}(?=(.{{0,{window}}}))",
         ["$0", "$1", f"${pattern.groups + 1}"],
     )
     before = f"right(concat(acc.state.tail, item.gap), {window})"

@@ -32,6 +32,16 @@ class Pattern:
     def regex(self) -> str:
         return REGEX_FLAGS + self.pattern
 
+    @property
+    def grouped(self) -> str:
+        """The pattern, ready to be followed by more regex.
+
+        Only an alternation needs a group; without one, a leading literal keeps its
+        fast search.
+        """
+        bare = re.sub(r"\\.|\[[^\]]*\]", "", self.pattern)
+        return f"(?:{self.pattern})" if "|" in bare else self.pattern
+
     @property
     def groups(self) -> int:
         return re.compile(re.sub(r"\(\?<(?![=!])", "(?P<", self.pattern)).groups

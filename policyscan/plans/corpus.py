@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from policyscan.frames import compute_once
 from policyscan.functions import sql
 from policyscan.functions.text import newlines
 
@@ -103,7 +104,8 @@ def policy_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     spread = spark.sparkContext.defaultParallelism * 4
     keyed = keyed_orders(spark, sf_dir).withColumn("doc_id", first + F.col("k") % count)
     pages = keyed.repartition(spread, "doc_id").join(documents, "doc_id")
-    return pages.selectExpr(
+    filled = compute_once(pages, content=F.expr(_content_sql()))
+    return filled.selectExpr(
         "k",
         "g",
         "v",
@@ -113,16 +115,16 @@ def policy_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderstatus",
         "o_orderdate AS modificationTime",
         "path",
-        f"{_content_sql()} AS content",
+        "content",
     )
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents(path, content, file_size): the pages as the reader delivers them."""
-    return policy_pages(spark, sf_dir).select(
-        "path",
-        newlines(F.col("content")).alias("content"),
-        F.octet_length("content").cast("bigint").alias("file_size"),
+    return compute_once(
+        policy_pages(spark, sf_dir).select("path", "content"),
+        content=newlines(F.col("content")),
+        file_size=F.octet_length("content").cast("bigint"),
     )
 
 

@@ -228,11 +228,10 @@ def choose_encoding(content: Column, fallback: str = "utf-8") -> Column:
 
 def read_documents(files: DataFrame) -> DataFrame:
     """documents(path, content, file_size) of the readable files."""
-    return files.filter(is_readable()).select(
-        "path",
-        decode_utf8_or_latin1(F.col("content")).alias("content"),
-        F.col("length").alias("file_size"),
+    readable = files.filter(is_readable()).select(
+        "path", "content", F.col("length").alias("file_size")
     )
+    return compute_once(readable, content=decode_utf8_or_latin1(F.col("content")))
 
 
 def read_with_report(
