@@ -98,7 +98,7 @@ def has_bom(text: Column) -> Column:
 def printable_ratio(text: Column) -> Column:
     """Share of characters that are printable or whitespace (NULL for empty text)."""
     visible = F.regexp_replace(text, r"[\p{C}&&[^\t-\r\x1c-\x1f\x85]]+", "")
-    return F.length(visible) / F.length(text)
+    return F.try_divide(F.length(visible), F.length(text))
 
 
 def appears_binary(text: Column) -> Column:
