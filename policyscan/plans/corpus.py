@@ -100,10 +100,11 @@ def policy_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = documents.select(F.min("doc_id")).scalar()
     count = documents.select(F.count("*")).scalar()
     # The texts dominate.  Orders are narrow and often one small file, so they are
-    # spread before a text is attached to each of them.
+    # spread before a text is attached to each of them; broadcasting them instead
+    # would leave the texts in the few partitions their file was read in.
     spread = spark.sparkContext.defaultParallelism * 4
     keyed = keyed_orders(spark, sf_dir).withColumn("doc_id", first + F.col("k") % count)
-    pages = keyed.repartition(spread, "doc_id").join(documents, "doc_id")
+    pages = keyed.repartition(spread, "doc_id").join(documents.hint("merge"), "doc_id")
     filled = compute_once(pages, content=F.expr(_content_sql()))
     return filled.selectExpr(
         "k",
