@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from policyscan.llm import line_dedup, minhash, quality_rules
+from policyscan.llm import line_dedup, minhash, quality_rules, sentencepiece_codec
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +22,19 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and whether they decode to it (the word mark reads as a blank)."""
+    model = sentencepiece_codec.Model.load()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, model), model)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.col("decoded").eqNullSafe(F.replace("text", F.lit(sentencepiece_codec.MARK), F.lit(" "))).alias("round_trip"),
+        "ids",
+    )
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classes(table(spark, sf_dir, "documents"))
 
@@ -28,6 +42,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op4_line_dedup": op4_line_dedup,
+    "op5_sentencepiece": op5_sentencepiece,
     "op9_minhash": op9_minhash,
 }
 
