@@ -38,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,7 +60,7 @@ _STEPS = ((4, 256), (32, 48), (256, 8), (1 << 62, 2))
 
 def _chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Slices of at most so many texts and, unless one text is longer, so many bytes."""
-    sizes = np.array([len(t) if t else 0 for t in batch.column("text").to_pylist()], np.int64)
+    sizes = pc.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False)
     begin = 0
     while begin < len(sizes):
         reach = np.searchsorted(np.cumsum(sizes[begin : begin + _CHUNK_DOCS]), _CHUNK_BYTES, side="right")

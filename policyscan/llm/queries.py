@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from policyscan.llm import line_dedup, minhash, quality_rules, sentencepiece_codec
+from policyscan.llm import line_dedup, minhash, mixing, quality_rules, sentencepiece_codec, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,22 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classes(table(spark, sf_dir, "documents"))
 
@@ -43,6 +59,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op4_line_dedup": op4_line_dedup,
     "op5_sentencepiece": op5_sentencepiece,
+    "op7_sharding": op7_sharding,
+    "op8_mixing": op8_mixing,
     "op9_minhash": op9_minhash,
 }
 

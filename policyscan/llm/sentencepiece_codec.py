@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
@@ -324,7 +325,7 @@ class Model:
 
 
 def _chunks(column: pa.Array) -> Iterator[tuple[int, int]]:
-    sizes = np.diff(column.offsets.to_numpy()) if len(column) else np.zeros(0, np.int64)
+    sizes = pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
     begin = 0
     while begin < len(sizes):
         n = max(1, int(np.searchsorted(np.cumsum(sizes[begin:]), _CHUNK_BYTES, side="right")))
