@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from policyscan.llm import line_dedup, minhash, mixing, quality_rules, sentencepiece_codec, sharding
+from policyscan.llm import line_dedup, minhash, mixing, quality_rules, sentencepiece_codec, sharding, url_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.filtered(table(spark, sf_dir, "pages"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_url_rules": op3_url_rules,
     "op4_line_dedup": op4_line_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op7_sharding": op7_sharding,
