@@ -17,8 +17,9 @@ probability 1 - 4e-7, one of similarity 0.2 with 0.003.
 Verification: exact similarity from the texts.  In a bucket every text is first compared
 with one leader only, the member with the most company in all of its buckets (the
 original of a family of copies rather than one of them).  Texts that this leaves outside
-the leader's component are then compared with the bucket's other components.  So no pair
-is lost, while the pairs within a family of copies are never listed.
+the leader's component are then compared with the bucket's other components, block by
+block inside tasks that return spanning links only.  So no pair is lost, while the pairs
+within a family of copies are never listed.
 
 Equal texts are one text throughout: copies are grouped by hash before anything else and
 join their representative at the end.
@@ -37,6 +38,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -54,6 +56,8 @@ ROWS = 6
 _U = np.uint64
 _CHUNK_DOCS = 512
 _CHUNK_BYTES = 4 << 20
+_BLOCK_TEXTS = 256
+_MATRIX_COLUMNS = 4096
 # Arrivals that one step draws for each shingle of a text with at most so many shingles.
 _STEPS = ((4, 256), (32, 48), (256, 8), (1 << 62, 2))
 
@@ -195,32 +199,103 @@ def candidate_buckets(texts: DataFrame) -> DataFrame:
     entries = texts.select("id", F.explode("bands").alias("key"))
     shared = stage(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared-buckets")
     hits = stage(entries.join(shared, "key").select("key", "id", "n"), "bucket-members")
-    company = stage(hits.groupBy("id").agg(F.sum("n").alias("company")), "company")
+    company = hits.groupBy("id").agg(F.sum("n").alias("company"))
     ranked = hits.join(company, "id").groupBy("key")
     leaders = ranked.agg(F.min(F.struct((-F.col("company")).alias("less"), F.col("id"))).alias("first"))
     leaders = stage(leaders.select("key", F.col("first.id").alias("leader")), "leaders")
     return stage(hits.join(leaders, "key").select("key", "id", "leader"), "led")
 
 
-def remaining_pairs(led: DataFrame, edges: DataFrame) -> DataFrame:
-    """Pairs of a bucket that ``edges`` leave in different components, but for pairs with the leader."""
+def intersections(owner: np.ndarray, hashed: np.ndarray, n: int) -> np.ndarray:
+    """Shared distinct shingles of every two of ``n`` texts, as products of 0/1 matrices."""
+    known, column, times = np.unique(hashed, return_inverse=True, return_counts=True)
+    shared = times > 1
+    column = (np.cumsum(shared) - 1)[column][shared[column]]
+    row = owner[shared[np.searchsorted(known, hashed)]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    total = np.zeros((n, n), np.float32)
+    for low in range(0, int(shared.sum()), _MATRIX_COLUMNS):
+        begin, end = np.searchsorted(column, [low, low + _MATRIX_COLUMNS])
+        part = np.zeros((n, _MATRIX_COLUMNS), np.float32)
+        part[row[begin:end], column[begin:end] - low] = 1
+        total += part @ part.T
+    return total
+
+
+def similar_pairs(texts: list[str], apart: np.ndarray, size: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of ``texts`` that are similar enough, among those marked in the square matrix ``apart``."""
+    owner, hashed, weight = shingles(pa.array(texts, pa.string()), size)
+    n = len(texts)
+    count = np.bincount(owner, minlength=n)
+    repeated = np.zeros(n, bool)
+    repeated[owner[weight > 1]] = True
+    shared = intersections(owner, hashed, n)
+    plain = shared >= least * (count[:, None] + count[None, :] - shared) - 1e-3
+    weighted = repeated[:, None] | repeated[None, :]
+    close = np.triu(apart & (shared > 0) & (plain | weighted), 1)
+    first = np.searchsorted(owner, np.arange(n + 1))
+    kept = []
+    for a, b in zip(*np.nonzero(close), strict=True):
+        x = hashed[first[a] : first[a + 1]], weight[first[a] : first[a + 1]]
+        y = hashed[first[b] : first[b + 1]], weight[first[b] : first[b + 1]]
+        if similarity(x, y) >= least:
+            kept.append((a, b))
+    pairs = np.array(kept, np.int64).reshape(-1, 2)
+    return pairs[:, 0], pairs[:, 1]
+
+
+def remaining_edges(led: DataFrame, edges: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
+    """Links between texts of one bucket that ``edges`` leave in different components.
+
+    Buckets with the same members are compared once.  A bucket's members are dealt by
+    hash into blocks, and every two blocks are compared in one task, which returns links
+    that span what it found similar, never all of its pairs.
+    """
     found = stage(components(edges), "star-components").select(F.col("node").alias("id"), "component")
     placed = led.join(found, "id", "left").select(
-        "key", "id", "leader", F.coalesce("component", "id").alias("component")
+        "key", "id", F.coalesce("component", "id").alias("component")
     )
     placed = stage(placed, "placed")
-    main = stage(placed.filter("id = leader").select("key", F.col("component").alias("main")), "main-components")
-    apart = stage(
-        placed.join(main, "key")
-        .filter("component <> main")
-        .select("key", F.col("id").alias("a"), F.col("component").alias("component_a")),
-        "apart",
-    )
-    others = placed.filter("id <> leader").select(
-        "key", F.col("id").alias("other"), F.col("component").alias("component_b")
+    # Members in numbers; sums of hashes tell sets of members apart.
+    open_keys = (
+        placed.groupBy("key")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("members"),
+        )
+        .filter("low <> high")
+        .groupBy("n", "low", "high", "members")
+        .agg(F.min("key").alias("key"))
+        .select("key", F.ceil(F.col("n") / _BLOCK_TEXTS).alias("n_blocks"))
     )
-    pairs = apart.join(others, "key").filter("component_a <> component_b")
-    return pairs.select(F.least("a", "other").alias("a"), F.greatest("a", "other").alias("b")).distinct()
+    spread = placed.join(stage(open_keys, "open-buckets"), "key").withColumn("own", F.expr("pmod(xxhash64(id), n_blocks)"))
+    spread = spread.select(
+        "key", "id", "component", "own", F.explode(F.expr("sequence(0L, n_blocks - 1)")).alias("other")
+    ).select("key", "id", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    with_texts = stage(spread, "open-members").join(texts.withColumnRenamed("doc_id", "id"), "id")
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
+        own, part = frame["own"].to_numpy(), frame["component"].to_numpy()
+        apart = part[:, None] != part[None, :]
+        if i != j:  # pairs within a block are compared where it meets itself
+            apart &= own[:, None] != own[None, :]
+        ids = frame["id"].to_numpy(np.int64)
+        a, b = similar_pairs(frame["text"].tolist(), apart, size, least)
+        root = ids.copy()
+        while len(a):
+            before = root.copy()
+            np.minimum.at(root, a, root[b])
+            np.minimum.at(root, b, root[a])
+            if (root == before).all():
+                break
+        linked = ids != root
+        return pd.DataFrame({"a": root[linked], "b": ids[linked]})
+
+    return with_texts.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
 
 
 def classes(
@@ -247,10 +322,9 @@ def classes(
     wanted = led.select(F.col("id").alias("doc_id")).distinct()
     wanted = stage(narrow.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), "candidate-texts")
     stars = led.filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    edges = stage(verify(stage(stars, "star-pairs"), wanted, size, least), "star-edges")
-    rest = stage(remaining_pairs(led, edges), "remaining-pairs")
-    edges = edges.unionByName(verify(rest, wanted, size, least))
-    found = stage(components(edges), "classes")
+    edges = stage(verify(stars, wanted, size, least), "star-edges")
+    rest = stage(remaining_edges(led, edges, wanted, size, least), "remaining-edges")
+    found = stage(components(edges.unionByName(rest)), "classes")
 
     copies = table.select("doc_id", "digest", "n").join(texts.select("digest", "id"), "digest", "left")
     placed = copies.join(found.select(F.col("node").alias("id"), "component"), "id", "left")

@@ -21,6 +21,8 @@ def weights(text, size=5):
 
 
 def probability_jaccard(x, y):
+    if set(x.values()) == set(y.values()) == {1}:
+        return len(x.keys() & y.keys()) / len(x.keys() | y.keys())
     union = set(x) | set(y)
     return sum(1 / sum(max(x[j] / x[i], y[j] / y[i]) for j in union) for i in set(x) & set(y))
 
@@ -106,6 +108,16 @@ def test_families_chains_and_copies(spark):
     assert sorted(kept) == sorted(set(got.values()))
 
 
+def test_families_whose_copies_are_apart_from_their_base(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "_BLOCK_TEXTS", 16)
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(5000)}" for _ in range(150)]
+    rows = list(enumerate(text for edits in range(8) for text in family(rng, base, 25, edits)))
+    rows += [(1000 + k, text + " tail of a line" * 9) for k, (_, text) in enumerate(rows[50:62])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert {r.doc_id: r.class_id for r in minhash.classes(docs).collect()} == brute_classes(rows)
+
+
 def test_nulls_empty_short_long_and_repeated(spark):
     long = " ".join(f"w{i}" for i in range(60_000))
     rows = [
