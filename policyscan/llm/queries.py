@@ -7,13 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from policyscan.llm import line_dedup, minhash, mixing, quality_rules, sentencepiece_codec, sharding, url_rules
+from policyscan.llm import (
+    embedding_dedup,
+    line_dedup,
+    minhash,
+    mixing,
+    quality_rules,
+    sentencepiece_codec,
+    sharding,
+    url_rules,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -60,6 +73,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_url_rules": op3_url_rules,
     "op4_line_dedup": op4_line_dedup,
@@ -70,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_embedding_dedup": embedding_dedup.ORACLE,
     "op2_quality_rules": quality_rules.ORACLE,
     "op4_line_dedup": line_dedup.ORACLE,
 }
