@@ -36,6 +36,7 @@ from math import gcd
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -52,14 +53,22 @@ SHARDS = 16
 SEED = 20
 
 _POSITIVE = (1 << 63) - 1
+_CHUNK_BYTES = 4 << 20
 
 
 def count_words(texts: pa.Array) -> np.ndarray:
-    """Words of every text, counted over one byte buffer."""
-    buffer, starts = text_bytes(texts)
-    space = np.concatenate(([True], _SPACE[buffer]))
-    begins = np.concatenate(([0], np.cumsum(space[:-1] & ~space[1:])))
-    return begins[starts[1:]] - begins[starts[:-1]]
+    """Words of every text, counted over byte buffers of a bounded size (or one longer text)."""
+    counts = []
+    sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+    begin = 0
+    while begin < len(sizes):
+        n = max(1, int(np.searchsorted(np.cumsum(sizes[begin:]), _CHUNK_BYTES, side="right")))
+        buffer, starts = text_bytes(texts.slice(begin, n))
+        space = np.concatenate(([True], _SPACE[buffer]))
+        begins = np.flatnonzero(space[:-1] & ~space[1:])
+        counts.append(np.diff(np.searchsorted(begins, starts)))
+        begin += n
+    return np.concatenate([np.zeros(0, np.int64), *counts])
 
 
 @F.pandas_udf(LongType())
