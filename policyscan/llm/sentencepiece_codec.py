@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,8 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 _U = np.uint64
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-_CHUNK_BYTES = 8 << 20
+_CHUNK_BYTES = 4 << 20
+_CHUNK_IDS = 1 << 20
 _CACHE_WORDS = 200_000
 _UNITS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -74,6 +76,8 @@ class Model:
         keys = np.array([self._key(_codes(self.text[i])) for i in plain], np.uint64)
         order = np.argsort(keys, kind="stable")
         self.keys, self.ids = keys[order], np.array(plain, np.int64)[order]
+        self.first = np.searchsorted(self.keys, np.arange(1 << 20, dtype=np.uint64) << _U(44))
+        self.probes = int(np.bincount((self.keys >> _U(44)).astype(np.int64), minlength=1).max()) if plain else 0
         if len(np.unique(keys)) < len(keys):
             raise ValueError("two pieces share a key")
         self.lookup = {self.text[i]: i for i in plain}
@@ -90,7 +94,7 @@ class Model:
         return int(total)
 
     @staticmethod
-    def load(path: str = MODEL) -> Model:
+    def load(path: str = MODEL) -> "Model":
         import sentencepiece
 
         library = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -140,9 +144,14 @@ class Model:
         return parts
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        """Piece id of every key, -1 where there is none."""
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.ids[at], -1)
+        """Piece id of every key, -1 where there is none: probes by the leading bits of the sorted keys."""
+        at = self.first[(keys >> _U(44)).astype(np.int64)]
+        out = np.full(keys.shape, -1, np.int64)
+        for step in range(self.probes):
+            place = np.minimum(at + step, len(self.keys) - 1)
+            hit = self.keys[place] == keys
+            out[hit] = self.ids[place[hit]]
+        return out
 
     def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Score of the merge of two pieces; minus infinity where they do not merge."""
@@ -204,21 +213,34 @@ class Model:
 
     def words(self, words: list[str]) -> list[list[int]]:
         """Ids of every word; words of equal length are encoded together."""
-        out: list[list[int]] = [[]] * len(words)
+        flat, offsets = self.ragged(words)
+        return [flat[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+
+    def ragged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in one array, and where each word's begin (one more at the end)."""
         lengths = np.array([len(w) for w in words], np.int64)
-        for length in np.unique(lengths):
-            if not length:
-                continue
+        parts, order, sizes = [], [], []
+        for length in np.unique(lengths[lengths > 0]):
             rows = np.flatnonzero(lengths == length)
-            step = max(1, (1 << 22) // int(length * min(length, self.longest)))
+            step = max(1, (1 << 20) // int(length * min(length, self.longest)))
             for begin in range(0, len(rows), step):
                 part = rows[begin : begin + step]
                 codes = _codes("".join([words[r] for r in part])).reshape(len(part), length)
-                for r, ids in zip(part, self._viterbi(codes), strict=True):
-                    out[r] = ids
-        return out
-
-    def _viterbi(self, codes: np.ndarray) -> list[list[int]]:
+                flat, counts = self._viterbi(codes)
+                parts.append(flat)
+                order.append(part)
+                sizes.append(counts)
+        counts = np.zeros(len(words), np.int64)
+        if not parts:
+            return np.zeros(0, np.int32), np.zeros(len(words) + 1, np.int64)
+        order, sizes = np.concatenate(order), np.concatenate(sizes)
+        counts[order] = sizes
+        begins = np.zeros(len(words), np.int64)
+        begins[order] = np.cumsum(sizes) - sizes
+        offsets = np.concatenate(([0], np.cumsum(counts)))
+        return np.concatenate(parts)[gather(begins, counts)], offsets
+
+    def _viterbi(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n, length = codes.shape
         reach = min(self.longest, length)
         # found[l - 1][:, i]: the piece of l characters from i on.
@@ -253,16 +275,29 @@ class Model:
             best[:, end] = total[rows, pick]
             last[:, end] = ids[rows, pick]
             start[:, end] = end - sizes[pick]
-        out = []
-        for row in range(n):
-            ids, end = [], length
-            while end:
-                begin = start[row, end]
-                piece = int(last[row, end])
-                ids.extend([piece] if piece >= 0 else self._fallback(int(codes[row, begin]))[::-1])
-                end = begin
-            out.append(ids[::-1])
-        return out
+        # All words walk their backpointers together; ids come out last piece first.
+        rows, at = np.arange(n), np.full(n, length)
+        path = np.full((n, length), -2, np.int64)
+        for step in range(length):
+            live = at > 0
+            if not live.any():
+                break
+            path[live, step] = last[rows[live], at[live]]
+            at[live] = start[rows[live], at[live]]
+        path = path[:, ::-1]
+        taken = path != -2
+        counts, flat = taken.sum(axis=1), path[taken].astype(np.int32)
+        odd = np.flatnonzero((path == -1).any(axis=1))
+        offsets, parts, done = np.concatenate(([0], np.cumsum(counts))), [], 0
+        for row in odd:
+            spelled, position = [], 0
+            for piece in flat[offsets[row] : offsets[row + 1]].tolist():
+                spelled += [piece] if piece >= 0 else self._fallback(int(codes[row, position]))
+                position += len(self.text[piece]) if piece >= 0 else 1
+            parts += [flat[done : offsets[row]], np.array(spelled, np.int32)]
+            done = offsets[row + 1]
+            counts[row] = len(spelled)
+        return np.concatenate([*parts, flat[done:]]), counts
 
     def units(self, text: str) -> list[str]:
         """The words of a text, each with the marks before it."""
@@ -270,65 +305,109 @@ class Model:
             return []
         return _UNITS.findall((MARK if self.prefix else "") + text.replace(" ", MARK))
 
-    def encode_units(self, units: list[str]) -> list[list[int]]:
+    def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of every unit as one array with offsets."""
         if self.kind == "unigram":
-            return self.words(units)
-        bare = [u.lstrip(MARK) for u in units]
-        marks = [len(u) - len(b) for u, b in zip(units, bare, strict=True)]
-        words = self.words([(MARK if m else "") + b if b else "" for m, b in zip(marks, bare, strict=True)])
-        mark = self.lookup.get(MARK)
-        out = []
-        for m, b, ids in zip(marks, bare, words, strict=True):
-            if not b:
-                out.append(self.run(m))
-            elif m and ids[0] == mark:
-                out.append(self.run(m) + ids[1:])
-            else:
-                out.append((self.run(m - 1) if m > 1 else []) + ids)
-        return out
-
-    def encode(self, texts: list[str | None], known: dict[str, list[int]] | None = None) -> list[np.ndarray | None]:
-        """Ids of every text.  ``known`` keeps distinct words between calls, up to a bound."""
-        known = {} if known is None else known
+            return self.ragged(units)
+        # Most units are one mark and a word; runs of marks are taken off the others.
+        odd = [k for k, u in enumerate(units) if u[0] != MARK or u[1:2] in ("", MARK)]
+        words = list(units)
+        for k in odd:
+            bare = units[k].lstrip(MARK)
+            words[k] = (MARK if len(bare) < len(units[k]) else "") + bare if bare else ""
+        flat, offsets = self.ragged(words)
+        if not odd:
+            return flat, offsets
+        mark, parts, counts, done = self.lookup.get(MARK), [], np.diff(offsets), 0
+        for k in odd:
+            marks = len(units[k]) - len(units[k].lstrip(MARK))
+            ids = flat[offsets[k] : offsets[k + 1]]
+            if not words[k]:
+                ids = np.array(self.run(marks), np.int32)
+            elif marks and ids[0] == mark:
+                ids = np.concatenate((np.array(self.run(marks), np.int32), ids[1:]))
+            elif marks > 1:
+                ids = np.concatenate((np.array(self.run(marks - 1), np.int32), ids))
+            parts += [flat[done : offsets[k]], ids]
+            done = offsets[k + 1]
+            counts[k] = len(ids)
+        return np.concatenate([*parts, flat[done:]]), np.concatenate(([0], np.cumsum(counts)))
+
+    def encode_ragged(self, texts: list[str | None], known: "Known") -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, and how many each has."""
         split = [self.units(t) if t else [] for t in texts]
-        fresh = list({u for units in split for u in units if u not in known})
-        if len(known) + len(fresh) > _CACHE_WORDS:
+        if len(known.slots) > _CACHE_WORDS:
             known.clear()
             self.runs.clear()
-            fresh = list({u for units in split for u in units})
-        known.update(zip(fresh, self.encode_units(fresh), strict=True))
-        out: list[np.ndarray | None] = []
-        for text, units in zip(texts, split, strict=True):
-            ids: list[int] = []
-            for unit in units:
-                ids += known[unit]
-            out.append(None if text is None else np.array(ids, np.int32))
-        return out
-
-    def decode(self, rows: list[list[int] | None]) -> list[str | None]:
-        """Texts of every row of ids."""
+        slots, before = known.slots, len(known.slots)
+        places = np.array([slots.setdefault(u, len(slots)) for units in split for u in units], np.int64)
+        if len(slots) > before:
+            known.add(*self.encode_units(list(islice(slots, before, None))))
+        sizes = known.sizes[places]
+        flat = known.flat[gather(known.begins[places], sizes)]
+        per_text = np.array([len(units) for units in split], np.int64)
+        ends = np.concatenate(([0], np.cumsum(sizes)))[np.cumsum(per_text)]
+        return flat, np.diff(np.concatenate(([0], ends)))
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        """Ids of every text."""
+        flat, counts = self.encode_ragged(texts, Known())
+        pieces = np.split(flat, np.cumsum(counts)[:-1]) if len(counts) else []
+        return [None if t is None else ids for t, ids in zip(texts, pieces, strict=True)]
+
+    def decode_ragged(self, flat: np.ndarray, counts: np.ndarray) -> list[str]:
+        """Texts of consecutive runs of ids."""
         if not hasattr(self, "surface"):
             raw = {i: b for b, i in enumerate(self.bytes or [])}
-            self.surface = [
+            shown = [
                 bytes([raw[i]]) if i in raw else b"" if i in self.hidden else p.replace(MARK, " ").encode("utf-8", "surrogatepass")
                 for i, p in enumerate(self.text)
             ]
-            self.surface[self.unknown] = " \u2047 ".encode()
-        out: list[str | None] = []
-        for ids in rows:
-            if ids is None:
-                out.append(None)
-                continue
-            text = b"".join([self.surface[i] for i in ids]).decode("utf-8", "replace")
-            out.append(text[1:] if self.prefix and text.startswith(" ") else text)
-        return out
+            shown[self.unknown] = " \u2047 ".encode()
+            self.surface = np.frombuffer(b"".join(shown), np.uint8)
+            self.surface_sizes = np.array([len(b) for b in shown], np.int64)
+            self.surface_begins = np.cumsum(self.surface_sizes) - self.surface_sizes
+        sizes = self.surface_sizes[flat]
+        data = self.surface[gather(self.surface_begins[flat], sizes)].tobytes()
+        ends = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(counts)))]
+        texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        return [t[1:] if self.prefix and t.startswith(" ") else t for t in texts]
+
+    def decode(self, rows: list[list[int] | None]) -> list[str | None]:
+        """Texts of every row of ids."""
+        flat = np.array([i for ids in rows for i in ids or ()], np.int64)
+        texts = self.decode_ragged(flat, np.array([len(ids or ()) for ids in rows], np.int64))
+        return [None if ids is None else t for ids, t in zip(rows, texts, strict=True)]
+
+
+def gather(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of consecutive runs that begin at ``begins``."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begins - (ends - sizes), sizes)
 
 
-def _chunks(column: pa.Array) -> Iterator[tuple[int, int]]:
-    sizes = pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+class Known:
+    """Ids of the distinct units met so far, bounded by ``_CACHE_WORDS`` and one batch."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.slots: dict[str, int] = {}
+        self.flat, self.begins, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, flat: np.ndarray, offsets: np.ndarray) -> None:
+        self.begins = np.concatenate((self.begins, offsets[:-1] + len(self.flat)))
+        self.sizes = np.concatenate((self.sizes, np.diff(offsets)))
+        self.flat = np.concatenate((self.flat, flat))
+
+
+def _chunks(sizes: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Begin and length of runs of rows whose sizes come to at most ``most``, or one row."""
+    sizes = sizes.fill_null(0).to_numpy(zero_copy_only=False)
     begin = 0
     while begin < len(sizes):
-        n = max(1, int(np.searchsorted(np.cumsum(sizes[begin:]), _CHUNK_BYTES, side="right")))
+        n = max(1, int(np.searchsorted(np.cumsum(sizes[begin:]), most, side="right")))
         yield begin, n
         begin += n
 
@@ -338,17 +417,14 @@ def encode(docs: DataFrame, model: Model, text_col: str = "text", ids_col: str =
     docs = docs.drop(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[int]] = {}
+        known = Known()
         for batch in batches:
-            texts = batch.column(text_col)
-            for begin, n in _chunks(texts):
+            for begin, n in _chunks(pc.binary_length(batch.column(text_col)), _CHUNK_BYTES):
                 part = batch.slice(begin, n)
-                rows = model.encode(part.column(text_col).to_pylist(), known)
-                lengths = np.array([0 if r is None else len(r) for r in rows], np.int64)
-                offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-                flat = np.concatenate([np.zeros(0, np.int32), *[r for r in rows if r is not None]])
-                missing = pa.array([r is None for r in rows], pa.bool_())
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=missing)
+                texts = part.column(text_col)
+                flat, counts = model.encode_ragged(texts.to_pylist(), known)
+                offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=texts.is_null())
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*part.schema.names, ids_col])
 
     schema = StructType([*docs.schema.fields]).add(ids_col, ArrayType(IntegerType(), False))
@@ -361,7 +437,12 @@ def decode(docs: DataFrame, model: Model, ids_col: str = "ids", out_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pa.array(model.decode(batch.column(ids_col).to_pylist()), pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, out_col])
+            for begin, n in _chunks(pc.list_value_length(batch.column(ids_col)), _CHUNK_IDS):
+                part = batch.slice(begin, n)
+                ids = part.column(ids_col)
+                counts = pc.list_value_length(ids).fill_null(0).to_numpy(zero_copy_only=False)
+                texts = model.decode_ragged(ids.flatten().to_numpy(zero_copy_only=False), counts.astype(np.int64))
+                decoded = pa.array(texts, pa.string(), mask=ids.is_null().to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([*part.columns, decoded], names=[*part.schema.names, out_col])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields]).add(out_col, StringType()))
