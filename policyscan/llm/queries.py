@@ -12,9 +12,11 @@ from policyscan.llm import (
     line_dedup,
     minhash,
     mixing,
+    pii,
     quality_rules,
     sentencepiece_codec,
     sharding,
+    toxicity,
     url_rules,
 )
 
@@ -52,6 +54,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -72,15 +78,21 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_url_rules": op3_url_rules,
     "op4_line_dedup": op4_line_dedup,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_toxicity": op6_toxicity,
     "op7_sharding": op7_sharding,
     "op8_mixing": op8_mixing,
     "op9_minhash": op9_minhash,
+    "op10_pii": op10_pii,
 }
 
 ORACLES: dict[str, str] = {
