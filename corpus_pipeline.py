@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from policyscan.llm import quality_rules
+from policyscan.llm import line_dedup, minhash, mixing, quality_rules, sentencepiece_codec
 from policyscan.session import staging_dir
 
 
@@ -19,11 +19,35 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.clean(docs)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes lines that many documents of a source share."""
+    return line_dedup.clean(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each class of near duplicates."""
+    return minhash.keep_one(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Brings the sources to their target weights: documents as often as the mix takes them."""
+    return mixing.mixed(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document of the mix."""
+    return sentencepiece_codec.encode(docs, sentencepiece_codec.Model.load()).select("doc_id", "source", "lang", "ids")
+
+
 STAGES = [
     ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("minhash_near_dedup", near_duplicates),
+    ("mixing", mix),
+    ("sentencepiece", encode),
 ]
 
-# The stages after line dedup cannot be expressed in SQL.
+# Near duplicates, the mix and the ids cannot be expressed in SQL.
 ORACLE_SQL = None
 
 
