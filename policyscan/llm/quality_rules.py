@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from policyscan.frames import compute_once
+
 # Phrases of the boilerplate and navigation rules.
 BOILERPLATE = (
     "accept cookies",
@@ -205,7 +207,13 @@ def clean(docs: DataFrame, text_col: str = "text", max_loss: float = MAX_LOSS) -
     Columns are those of ``docs``; a column ``n_chars`` is brought up to date.
     """
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
-    kept = measure(row, "text", max_loss).filter("kept")
+    # Behind a generator: a filter on the verdict must not pull its expressions below.
+    judged = compute_once(
+        measure(row, "text", max_loss).select("row", "clean_text", "kept"),
+        clean_text=F.col("clean_text"),
+        kept=F.col("kept"),
+    )
+    kept = judged.filter("kept")
     values = {c: F.col("row")[c] for c in docs.columns}
     values[text_col] = F.col("clean_text")
     if "n_chars" in values:
