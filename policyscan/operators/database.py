@@ -4,7 +4,7 @@
 ``mappings`` is (checkov_id, severity) with distinct identifiers.  Files are ordered
 by path components.  One identifier may own a large share of the files, so every
 grouping here uses aggregates that combine before the shuffle; only ``conflicts``
-joins rows back, which adaptive execution splits when one identifier is hot.
+joins rows back, with the rows of an identifier salted over several tasks.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from policyscan import fixed
+from policyscan.frames import salted_join
 from policyscan.functions.ids import severity_rank
 from policyscan.functions.paths import path_key
 
@@ -31,7 +32,7 @@ def conflicts(found: DataFrame) -> DataFrame:
     """
     first = first_wins(found).withColumnRenamed("severity", "existing_severity")
     return (
-        found.join(first, "checkov_id")
+        salted_join(found, first, "checkov_id", "path")
         .filter(F.col("severity") != F.col("existing_severity"))
         .select(
             "checkov_id",

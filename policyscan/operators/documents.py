@@ -59,10 +59,54 @@ def level_occurrences(text: str, severities: str) -> Column:
     return F.expr(level_occurrences_sql(text, severities))
 
 
-def _nearest_sql(start: str, occurrences: str, severities: str) -> str:
-    distance = sql.struct(distance=f"abs(o.position - {start})", level="o.level")
-    closest = f"array_min(transform({occurrences}, o -> {distance})).level"
-    return f"get({severities}, coalesce({closest}, 0))"
+_SEEN = "struct<position:int,level:int>"
+_CHOICE = "struct<hit:int,distance:int,level:int>"
+
+
+def _closest_sql(starts: str, occurrences: str, forward: bool) -> str:
+    """Per hit, in hit order: distance and level of the closest occurrence on one side.
+
+    Hits and occurrences are merged by position and swept once; an occurrence at a hit's
+    start counts on both sides.  Hits without one have a NULL level.
+    """
+    sign = "" if forward else "-"
+    none = "CAST(NULL AS INT)"
+    def event(position: str, later: int, value: str) -> str:
+        return sql.struct(position=f"CAST({sign}{position} AS INT)", later=str(later), level=f"CAST({value} AS INT)")
+
+    merged = (
+        f"array_sort(concat(transform({occurrences}, o -> {event('o.position', 0, 'o.level')}),"
+        f" transform({starts}, (p, n) -> {event('p', 1, 'n')})))"
+    )
+    seen = f"CAST({sql.struct(position='item.position', level='item.level')} AS {_SEEN})"
+    chosen = sql.struct(
+        hit="item.level",
+        distance="CASE WHEN acc.state.level IS NULL THEN 2147483647 ELSE abs(item.position - acc.state.position) END",
+        level="acc.state.level",
+    )
+    swept = sql.fold(
+        merged,
+        f"CAST({sql.struct(position=none, level=none)} AS {_SEEN})",
+        _CHOICE,
+        f"CASE WHEN item.later = 0 THEN {seen} ELSE acc.state END",
+        f"CASE WHEN item.later = 1 THEN array(CAST({chosen} AS {_CHOICE})) ELSE {sql.empty(f'array<{_CHOICE}>')} END",
+    )
+    return f"array_sort({swept})"
+
+
+def _nearest_levels_sql(hits: str, occurrences: str) -> str:
+    """Level (as an index) closest to every hit's start, NULL without occurrences.
+
+    Two sweeps over hits and occurrences together, so time grows with their sum.
+    """
+    starts = f"transform({hits}, h -> h.start_position)"
+    pair = sql.struct(d="c.distance", level="c.level")
+    other = sql.struct(d="back[n].distance", level="back[n].level")
+    return sql.bind(
+        _closest_sql(starts, occurrences, forward=False),
+        "back",
+        f"transform({_closest_sql(starts, occurrences, forward=True)}, (c, n) -> least({pair}, {other}).level)",
+    )
 
 
 def nearest_severities(hits: str, occurrences: str, severities: str) -> Column:
@@ -72,9 +116,11 @@ def nearest_severities(hits: str, occurrences: str, severities: str) -> Column:
     """
     pair = sql.struct(
         checkov_id="h.checkov_id",
-        severity=_nearest_sql("h.start_position", occurrences, severities),
+        severity=f"get({severities}, coalesce(levels[i], 0))",
+    )
+    return F.expr(
+        sql.bind(_nearest_levels_sql(hits, occurrences), "levels", f"transform({hits}, (h, i) -> {pair})")
     )
-    return F.expr(f"transform({hits}, h -> {pair})")
 
 
 def pair_severities(hits: str, severities: str, text: str) -> Column:
@@ -92,11 +138,13 @@ def pair_severities(hits: str, severities: str, text: str) -> Column:
 
     turn = f"get({severities}, CASE WHEN size({severities}) = 1 THEN 0 ELSE i END)"
     in_order = f"transform({hits}, (h, i) -> {match(turn)})"
-    nearest = _nearest_sql("h.start_position", "places", severities)
+    nearest = f"get({severities}, coalesce(levels[i], 0))"
     either = f"CASE WHEN i < size({severities}) THEN get({severities}, i) ELSE {nearest} END"
     by_distance = sql.bind(
-        level_occurrences_sql(text, severities),
-        "places",
+        sql.bind(
+            level_occurrences_sql(text, severities), "places", _nearest_levels_sql(hits, "places")
+        ),
+        "levels",
         f"transform({hits}, (h, i) -> {match(either)})",
     )
     simple = f"size({severities}) < 2 OR size({hits}) <= size({severities})"

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, replace
 
+from pyspark import SparkContext
+
 from policyscan import fixed
 
 # Case-sensitive, dot matches newline, ^ and $ work per line, only "\n" ends a
@@ -14,7 +16,7 @@ REGEX_FLAGS = "(?msdU)"
 
 @dataclass(frozen=True)
 class Pattern:
-    """A regex (Java syntax) whose first group is an identifier or a severity.
+    """A regex (Java syntax; ``(?P<name>`` is read as ``(?<name>``) whose first group is an identifier or a severity.
 
     ``kind`` is "id" or "severity"; left empty, the name decides (see
     ``kind_by_name``).  ``needs`` is a literal every match contains: texts without
@@ -24,13 +26,16 @@ class Pattern:
     name: str
     pattern: str
     priority: int = 1
-    description: str = ""
     kind: str | None = None
     needs: str | None = None
 
     @property
     def regex(self) -> str:
-        return REGEX_FLAGS + self.pattern
+        return REGEX_FLAGS + self.java
+
+    @property
+    def java(self) -> str:
+        return self.pattern.replace("(?P<", "(?<")
 
     @property
     def grouped(self) -> str:
@@ -39,12 +44,14 @@ class Pattern:
         Only an alternation needs a group; without one, a leading literal keeps its
         fast search.
         """
-        bare = re.sub(r"\\.|\[[^\]]*\]", "", self.pattern)
-        return f"(?:{self.pattern})" if "|" in bare else self.pattern
+        bare = re.sub(r"\\.|\[[^\]]*\]", "", self.java)
+        return f"(?:{self.java})" if "|" in bare else self.java
 
     @property
     def groups(self) -> int:
-        return re.compile(re.sub(r"\(\?<(?![=!])", "(?P<", self.pattern)).groups
+        """Number of groups, as the engine that runs the pattern counts them."""
+        regex = SparkContext.getOrCreate()._jvm.java.util.regex.Pattern
+        return regex.compile(self.regex).matcher("").groupCount()
 
     @property
     def base_confidence(self) -> float:

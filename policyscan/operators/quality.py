@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from policyscan import fixed
+from policyscan.frames import salted_join
 from policyscan.functions.ids import is_strict_id, parse_severity
 from policyscan.functions.paths import path_key
 
@@ -203,7 +204,7 @@ def spread_issues(matches: DataFrame) -> DataFrame:
 def new_id_issues(matches: DataFrame, database: DataFrame) -> DataFrame:
     """NEW_CHECKOV_ID for matches whose identifier is not in a non-empty database."""
     known = database.select("checkov_id")
-    unknown = matches.join(known, "checkov_id", "left_anti").filter(known.exists())
+    unknown = salted_join(matches, known, "checkov_id", "path", "left_anti").filter(known.exists())
     found = issue(
         "INFO",
         "NEW_CHECKOV_ID",
@@ -217,7 +218,7 @@ def new_id_issues(matches: DataFrame, database: DataFrame) -> DataFrame:
 def severity_mismatches(matches: DataFrame, database: DataFrame) -> DataFrame:
     """Matches whose severity differs from the one the database holds."""
     stored = database.select("checkov_id", F.col("severity").alias("existing_severity"))
-    return matches.join(stored, "checkov_id").filter(
+    return salted_join(matches, stored, "checkov_id", "path").filter(
         (F.col("severity") != "") & (F.col("severity") != F.col("existing_severity"))
     )
 

@@ -226,7 +226,7 @@ FROM {source} d LEFT JOIN {p}_docs r USING (path)""",
 def _ordered(rows: list[tuple]) -> list[tuple]:
     """(name, regex, priority, kind) by the name rule, highest priority first."""
     out = []
-    for name, regex, priority, _ in rows:
+    for name, regex, priority in rows:
         if any(part in name for part in fixed.ID_NAME_PARTS):
             out.append((name, regex, priority, "id"))
         elif "severity" in name:

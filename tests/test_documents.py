@@ -1,10 +1,16 @@
 """Golden documents: one page per rule of the extraction, with results worked out by hand."""
 
+import random
+import re
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
+from policyscan.frames import salted_join
 from policyscan.functions.text import newlines
 from policyscan.operators import database as db
+from policyscan.operators import documents as pairing
 from policyscan.operators.documents import (
     found_mappings,
     process_documents,
@@ -135,3 +141,53 @@ def test_file_order_decides_conflicts(spark):
     assert [tuple(r) for r in db.extraction_stats(found).collect()] == [("LOW", 2)]
     row = db.assemble(found).collect()[0]
     assert (row.total_mappings, row.stats_total, row.severity_counts) == (1, 2, {"LOW": 2})
+
+
+def test_pairing_time_grows_with_the_page(spark):
+    def seconds(n):
+        page = "\n".join(f"[CKV_AWS_{i}] level HIGH then LOW" for i in range(n)) + "\n|Severity\n|LOW\n|Severity|HIGH\n"
+        page = "checkov severity\n" + page
+        frame = spark.createDataFrame([("a", page)], "path string, content string")
+        process_documents(frame).collect()
+        began = time.perf_counter()
+        (row,) = process_documents(frame).collect()
+        assert len(row.matches) == n
+        return time.perf_counter() - began
+
+    small, large = seconds(4000), seconds(8000)
+    assert large < 3.2 * small + 1
+
+
+def test_nearest_levels_against_all_distances(spark):
+    rng = random.Random(4)
+    for _ in range(3):
+        words = [rng.choice([f"[CKV_AWS_{i}]", "high", "Low", "info", "x", "y"]) for i in range(300)]
+        text = " ".join(words)
+        starts = [m.start() for m in re.finditer(r"\[CKV", text)]
+        severities = ["LOW", "HIGH", "INFO"]
+        places = [
+            (m.start(), severities.index(m.group(1).upper()))
+            for m in re.finditer(r"(?=(critical|high|medium|low|info))", text, re.IGNORECASE)
+            if m.group(1).upper() in severities
+        ]
+        expected = [severities[min((abs(p - s), k) for p, k in places)[1]] for s in starts]
+        frame = spark.createDataFrame([(text, severities, starts)], "t string, s array<string>, h array<int>")
+        frame = frame.selectExpr("t", "s", "transform(h, x -> named_struct('checkov_id', 'i', 'start_position', x)) AS h")
+        frame = frame.withColumn("o", pairing.level_occurrences("t", "s"))
+        (row,) = frame.select(pairing.nearest_severities("h", "o", "s").alias("r")).collect()
+        assert [r.severity for r in row.r] == expected
+
+
+def test_a_hot_identifier_is_spread(spark):
+    found = spark.range(20_000).selectExpr(
+        "concat('f', id) AS path", "IF(id % 10 = 0, concat('CKV_X_', id), 'CKV_HOT_1') AS checkov_id",
+        "IF(id % 3 = 0, 'LOW', 'HIGH') AS severity",
+    )
+    first = db.first_wins(found)
+    salted = salted_join(found, first.withColumnRenamed("severity", "old"), "checkov_id", "path")
+    assert salted.count() == 20_000
+    spread = found.filter("checkov_id = 'CKV_HOT_1'").selectExpr("pmod(xxhash64(path), 16) AS s").groupBy("s").count()
+    counts = [r["count"] for r in spread.collect()]
+    assert len(counts) == 16 and max(counts) < 2 * min(counts)
+    plan = db.conflicts(found)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan
