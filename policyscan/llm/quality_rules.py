@@ -180,7 +180,10 @@ def measure(docs: DataFrame, text_col: str = "text", max_loss: float = MAX_LOSS)
         }
     ).drop(HAS_PHRASE, SPLIT, WORDS, HASHES, JUDGED)
     steps = steps.withColumn("base_failed", base_failed())
-    return steps.withColumn("kept", ~F.col("base_failed") & (F.col("lost_share") <= F.lit(float(max_loss))))
+    steps = steps.withColumn("kept", ~F.col("base_failed") & (F.col("lost_share") <= F.lit(float(max_loss))))
+    # Behind a generator: a filter on a verdict must not pull its expressions below.
+    added = [*MEASURES, "n_lines", "n_lines_failed", "lost_share", "clean_text"]
+    return compute_once(steps, **{c: F.col(c) for c in added})
 
 
 def base_failed() -> Column:
@@ -207,13 +210,7 @@ def clean(docs: DataFrame, text_col: str = "text", max_loss: float = MAX_LOSS) -
     Columns are those of ``docs``; a column ``n_chars`` is brought up to date.
     """
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
-    # Behind a generator: a filter on the verdict must not pull its expressions below.
-    judged = compute_once(
-        measure(row, "text", max_loss).select("row", "clean_text", "kept"),
-        clean_text=F.col("clean_text"),
-        kept=F.col("kept"),
-    )
-    kept = judged.filter("kept")
+    kept = measure(row, "text", max_loss).filter("kept")
     values = {c: F.col("row")[c] for c in docs.columns}
     values[text_col] = F.col("clean_text")
     if "n_chars" in values:
