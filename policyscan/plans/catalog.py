@@ -278,7 +278,7 @@ def read_utf8_latin1(spark, sf):
 
 @query
 def read_with_encoding(spark, sf):
-    declared = corpus.declared_files(spark, sf).filter(F.octet_length("content") > 0)
+    declared = corpus.declared_files(spark, sf)
     read = declared.withColumn("text", files.decode_declared(content(), F.col("encoding")))
     return read.select(
         "path",
@@ -805,7 +805,7 @@ def processing_summary(spark, sf):
 def extraction_summary(spark, sf):
     totals = db.resolved(found(spark, sf)).agg(
         F.count("*").alias("total_mappings"),
-        F.sum("conflicting").alias("duplicate_conflicts"),
+        F.coalesce(F.sum("conflicting"), F.lit(0)).alias("duplicate_conflicts"),
     )
     errors = manifest(spark, sf).select(F.count_if(~files.is_readable())).scalar()
     return totals.withColumn("processing_errors", errors)

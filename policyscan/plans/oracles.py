@@ -421,10 +421,10 @@ DOCUMENT = "SELECT path, coalesce(array_to_string(ids, ','), '') AS ids, coalesc
 
 
 def declared(expr: str) -> str:
-    return f"""(SELECT k, path, CASE k % 7 WHEN 1 THEN 'iso-8859-1' WHEN 2 THEN 'ascii' WHEN 4 THEN 'utf-16' WHEN 5 THEN 'utf-8-sig' ELSE 'utf-8' END AS encoding, {expr} FROM pages WHERE k % 7 <> 6)"""
+    return f"""(SELECT k, path, CASE k % 7 WHEN 1 THEN 'iso-8859-1' WHEN 2 THEN 'ascii' WHEN 4 THEN 'utf-16' WHEN 5 THEN 'utf-8-sig' ELSE 'utf-8' END AS encoding, {expr} FROM pages)"""
 
 
-DECODED = f"""CASE k % 7 WHEN 1 THEN {PLAIN} || {quote(ACCENT)} WHEN 3 THEN {PLAIN} || chr(65533) || 't' || chr(65533) ELSE content END"""
+DECODED = f"""CASE k % 7 WHEN 6 THEN '' WHEN 1 THEN {PLAIN} || {quote(ACCENT)} WHEN 3 THEN {PLAIN} || chr(65533) || 't' || chr(65533) ELSE content END"""
 
 
 def lines(head: str, entries: str, tail: str) -> str:

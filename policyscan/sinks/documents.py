@@ -233,10 +233,10 @@ def summary_document(
     )
     totals = per_result.agg(
         F.count("*").alias("files"),
-        F.sum("n").alias("matches"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("matches"),
         F.coalesce(F.try_divide(F.count_if("hit"), F.count("*")), F.lit(0.0)).alias("rate"),
         F.coalesce(F.avg(F.when(F.col("hit"), F.col("confidence"))), F.lit(0.0)).alias("mean"),
-        *[F.sum(level).alias(level) for level in ("ERROR", "WARNING", "INFO")],
+        *[F.coalesce(F.sum(level), F.lit(0)).alias(level) for level in ("ERROR", "WARNING", "INFO")],
     )
     one = F.lit(1).alias("one")
     both = metadata.select("*", one).join(totals.select("*", one), "one")

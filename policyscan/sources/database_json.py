@@ -11,9 +11,14 @@ COMPACT = "v string, t string, c bigint, g string, s map<string,string>"
 
 
 def parse_compact(documents: DataFrame, source: str = "path", value: str = "value") -> DataFrame:
-    """Parse one JSON document per row; missing keys get their defaults."""
-    return documents.select(source, F.from_json(value, COMPACT).alias("d")).select(
+    """Parse one JSON document per row; missing keys get their defaults.
+
+    ``error`` is set where the text is not a JSON object; such a row has no mappings.
+    """
+    broken = F.try_parse_json(value).isNull() | ~F.startswith(F.ltrim(value), F.lit("{"))
+    return documents.select(source, F.from_json(value, COMPACT).alias("d"), broken.alias("broken")).select(
         source,
+        F.when(F.coalesce("broken", F.lit(True)), "Not a JSON object").alias("error"),
         F.coalesce("d.v", F.lit(fixed.DATABASE_VERSION)).alias("version"),
         # An ISO time with or without a trailing Z; anything else is NULL.
         F.try_to_timestamp("d.t").alias("timestamp"),
@@ -41,3 +46,22 @@ def read_compact(spark, path: str) -> DataFrame:
         F.col("_metadata.file_path").alias("path"), "value"
     )
     return parse_compact(texts)
+
+
+ENTRY = r'^,?("(?:[^"\\]|\\.)*"):("(?:[^"\\]|\\.)*")$'
+
+
+def read_compact_lines(spark, path: str) -> DataFrame:
+    """(checkov_id, severity) of a compact document that was written as lines in parts.
+
+    Every entry is a line of its own, so the parts are read in parallel and no row holds
+    a whole database.
+    """
+    lines = spark.read.text(path).select(
+        F.regexp_extract("value", ENTRY, 1).alias("key"), F.regexp_extract("value", ENTRY, 2).alias("level")
+    )
+    entries = lines.filter("key <> ''").select(
+        F.get_json_object(F.concat(F.lit('{"x":'), "key", F.lit("}")), "$.x").alias("checkov_id"),
+        F.get_json_object(F.concat(F.lit('{"x":'), "level", F.lit("}")), "$.x").alias("severity"),
+    )
+    return entries.filter(F.col("severity").isin(fixed.SEVERITIES))

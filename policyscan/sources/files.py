@@ -38,20 +38,39 @@ def manifest(
     root: str,
     recursive: bool = True,
     extensions: list[str] | None = None,
-    max_mb: float = fixed.PIPELINE_MAX_MB,
+    max_mb: float | None = None,
 ) -> DataFrame:
-    """Files below a folder, as paths relative to it.
+    """Files below a folder: path (relative to it), root, file (absolute), length, time, content.
 
-    The extension becomes a file-name glob and the size a pushed filter, so files
-    that do not qualify are never opened.
+    Nothing is left out unless asked for: the extensions become a file-name glob and the
+    size a pushed filter, so files that do not qualify are never opened.  Files that
+    vanish or cannot be read after the listing are missing from what is read; compare with
+    ``listing`` to count them.
     """
-    reader = spark.read.format("binaryFile").option(
-        "recursiveFileLookup", str(recursive).lower()
+    reader = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", str(recursive).lower())
+        .option("ignoreMissingFiles", "true")
+        .option("ignoreCorruptFiles", "true")
     )
     if extensions:
         reader = reader.option("pathGlobFilter", _extension_glob(extensions))
-    files = reader.load(root).filter(F.col("length") <= max_bytes(max_mb))
-    return files.withColumn("path", relative_to(F.col("path"), root))
+    files = reader.load(root)
+    if max_mb is not None:
+        files = files.filter(F.col("length") <= max_bytes(max_mb))
+    return files.select(
+        relative_to(F.col("path"), root).alias("path"),
+        F.lit(root).alias("root"),
+        F.col("path").alias("file"),
+        "modificationTime",
+        "length",
+        "content",
+    )
+
+
+def listing(files: DataFrame) -> DataFrame:
+    """The files without their contents, which are then not opened."""
+    return files.drop("content")
 
 
 def _extension_glob(extensions: list[str]) -> str:
@@ -61,9 +80,48 @@ def _extension_glob(extensions: list[str]) -> str:
     return "*{" + ",".join("".join(map(letter, e)) for e in extensions) + "}"
 
 
-def manifests(spark: SparkSession, roots: list[str], **options) -> DataFrame:
-    """Several folders together; a file reached twice is listed once."""
-    return union_files([manifest(spark, root, **options) for root in roots])
+def manifests(spark: SparkSession, roots: list[str], recursive: bool = True, **options) -> DataFrame:
+    """Several folders together; a file reached through two of them is listed once.
+
+    The first folder that reaches a file lists it, decided by absolute paths, so no
+    content is shuffled.  Folders that cannot be listed are left to ``root_errors``.
+    """
+    parts, earlier = [], []
+    for root in dict.fromkeys(r.rstrip("/") or "/" for r in roots):
+        if _missing(spark, root):
+            continue
+        part = manifest(spark, root, recursive=recursive, **options)
+        folder = _absolute(spark, root)
+        if folder in earlier:
+            continue
+        for other in earlier if recursive else ():
+            part = part.filter(~F.startswith(F.col("file"), F.lit(other + "/")))
+        earlier.append(folder)
+        parts.append(part)
+    if not parts:
+        raise FileNotFoundError(f"no folder to list among {roots}")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def root_errors(spark: SparkSession, roots: list[str]) -> DataFrame:
+    """(root, error) of the folders that cannot be listed."""
+    rows = [(root, "No such file or directory") for root in dict.fromkeys(roots) if _missing(spark, root)]
+    return spark.createDataFrame(rows, "root string, error string")
+
+
+def _file_system(spark: SparkSession, root: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def _missing(spark: SparkSession, root: str) -> bool:
+    path, system = _file_system(spark, root)
+    return not system.exists(path)
+
+
+def _absolute(spark: SparkSession, root: str) -> str:
+    path, system = _file_system(spark, root)
+    return system.makeQualified(path).toString().rstrip("/")
 
 
 def union_files(parts: list[DataFrame]) -> DataFrame:
@@ -91,8 +149,8 @@ def within_size(megabytes: float = fixed.SCANNER_MAX_MB) -> Column:
     return F.col("length") <= max_bytes(megabytes)
 
 
-def within_depth(limit: int = fixed.SCANNER_MAX_DEPTH) -> Column:
-    return depth(F.col("path")) <= limit
+def within_depth(limit: int | None = None) -> Column:
+    return F.lit(True) if limit is None else depth(F.col("path")) <= limit
 
 
 def is_readable() -> Column:
@@ -104,7 +162,7 @@ def scan(
     extensions: list[str] | None = None,
     ignore: list[str] | None = None,
     max_mb: float = fixed.SCANNER_MAX_MB,
-    max_depth: int = fixed.SCANNER_MAX_DEPTH,
+    max_depth: int | None = None,
     recursive: bool = True,
 ) -> DataFrame:
     """The files that pass every rule."""
@@ -121,11 +179,16 @@ def scan_counts(
     extensions: list[str] | None = None,
     ignore: list[str] | None = None,
     max_mb: float = fixed.SCANNER_MAX_MB,
-    max_depth: int = fixed.SCANNER_MAX_DEPTH,
+    max_depth: int | None = None,
 ) -> DataFrame:
-    """One row: files found, seen (not ignored) and filtered out."""
+    """One row: files found, seen (not ignored) and filtered out.
+
+    ``files`` may be a listing; files below a depth limit count as not seen.
+    """
     seen = files.filter(~is_ignored(ignore) & within_depth(max_depth))
-    kept = has_extension(extensions) & within_size(max_mb) & is_readable()
+    kept = has_extension(extensions) & within_size(max_mb)
+    if "content" in files.columns:
+        kept = kept & is_readable()
     return seen.agg(
         F.count_if(kept).alias("files_found"),
         F.count("*").alias("total_scanned"),
@@ -171,7 +234,7 @@ def _decode_or_null(content: Column, encoding: Column) -> Column:
     code = F.hex(content)
 
     def utf16(big_endian: bool, skip: int = 1) -> Column:
-        body = F.substring(content, skip, 1 << 30)
+        body = F.substr(content, F.lit(skip))
         charset = "UTF-16BE" if big_endian else "UTF-16LE"
         return F.when(_is_utf16(body, big_endian), F.decode(body, charset))
 
@@ -252,8 +315,21 @@ def read_with_report(
     return texts.withColumn("preprocessing_applied", F.array().cast("array<string>"))
 
 
-def batch_counts(files: DataFrame) -> DataFrame:
-    """Files asked for, read and failed."""
+def read_failures(listed: DataFrame, files: DataFrame) -> DataFrame:
+    """Paths of ``listed`` (a stored listing) that reading ``files`` does not bring."""
+    return listed.select("file").join(files.filter(is_readable()).select("file"), "file", "left_anti")
+
+
+def batch_counts(files: DataFrame, listed: DataFrame | None = None) -> DataFrame:
+    """Files asked for, read and failed; against a stored listing, vanished files count too."""
+    if listed is not None:
+        read = files.filter(is_readable()).select(F.col("file").alias("read"))
+        both = listed.select("file").join(read, F.col("file") == F.col("read"), "left")
+        return both.agg(
+            F.count("*").alias("total_files"),
+            F.count("read").alias("successful"),
+            F.count_if(F.col("read").isNull()).alias("failed"),
+        )
     return files.agg(
         F.count("*").alias("total_files"),
         F.count_if(is_readable()).alias("successful"),

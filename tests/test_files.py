@@ -8,7 +8,12 @@ from policyscan.operators import database as db
 from policyscan.operators.documents import process_documents, result_mappings
 from policyscan.sinks import documents as sinks
 from policyscan.sources import files
-from policyscan.sources.database_json import compact_mappings, compact_metadata, read_compact
+from policyscan.sources.database_json import (
+    compact_mappings,
+    compact_metadata,
+    read_compact,
+    read_compact_lines,
+)
 from policyscan.streaming.refresh import latest_results, start_refresh
 
 PAGE = "== T\n\n|Checkov ID\n|https://example.test/a.py[{}]\n\n|Severity\n|{}\n"
@@ -38,9 +43,35 @@ def test_scan_read_and_process(spark, tmp_path):
     assert twice.count() == 3
 
 
+def test_roots_that_share_names_and_missing_roots(spark, tmp_path):
+    for name, level in (("A", "HIGH"), ("B", "LOW")):
+        (tmp_path / name / "in").mkdir(parents=True)
+        (tmp_path / name / "in/p.adoc").write_text(PAGE.format("CKV_AWS_1", level))
+    (tmp_path / "A/big.adoc").write_bytes(b"x" * (11 << 20))
+    (tmp_path / "A/n.txt").write_text("no page")
+    roots = [str(tmp_path / n) for n in ("A", "B", "A/in", "gone")]
+    listed = files.manifests(spark, roots)
+    assert listed.count() == 4
+    assert listed.select("path", "root").distinct().count() == 4
+    assert [r.root for r in files.root_errors(spark, roots).collect()] == [roots[3]]
+    counts = files.scan_counts(files.listing(listed), [".adoc"], ["*index*"], 10).collect()[0]
+    assert tuple(counts) == (2, 4, 2)
+    assert {r.path for r in files.scan(listed, [".adoc"], ["*index*"]).select("path").collect()} == {"in/p.adoc", "big.adoc"}
+
+
+def test_vanished_files_are_counted(spark, tmp_path):
+    make_tree(tmp_path)
+    found = files.manifest(spark, str(tmp_path), extensions=[".adoc"])
+    listed = spark.createDataFrame(files.listing(found).collect())
+    (tmp_path / "x/a.adoc").unlink()
+    assert tuple(files.batch_counts(found, listed).collect()[0]) == (3, 2, 1)
+    assert [r.file.rsplit("/", 1)[1] for r in files.read_failures(listed, found).collect()] == ["a.adoc"]
+    assert process_documents(files.read_documents(found)).count() == 2
+
+
 def test_size_filter_reaches_the_scan(spark, tmp_path):
     make_tree(tmp_path)
-    plan = files.manifest(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    plan = files.manifest(spark, str(tmp_path), max_mb=10)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(length), LessThanOrEqual(length" in plan
 
 
@@ -72,6 +103,16 @@ def test_documents_are_valid_json(spark, tmp_path):
     assert {(r.checkov_id, r.severity) for r in compact_mappings(parsed).collect()} == set(full["mappings"].items())
 
 
+def test_compact_database_reads_back_from_parts(spark, tmp_path):
+    ids = spark.range(3000).selectExpr("concat('CKV_X_', id) AS checkov_id", "IF(id % 2 = 0, 'LOW', 'HIGH') AS severity")
+    metadata = db.assemble(ids.withColumn("path", F.col("checkov_id")))
+    sinks.write_document(sinks.compact_document(ids, metadata, "2024-01-01T00:00:00"), str(tmp_path / "db"))
+    back = read_compact_lines(spark, str(tmp_path / "db"))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, ids.collect()))
+    (tmp_path / "broken.json").write_text('{"v": "1.0", "s": {')
+    assert read_compact(spark, str(tmp_path / "broken.json")).collect()[0].error
+
+
 def test_streaming_refresh_resolves_late_files(spark, tmp_path):
     pages, log, checkpoint = tmp_path / "pages", tmp_path / "log", tmp_path / "checkpoint"
     pages.mkdir()
