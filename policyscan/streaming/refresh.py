@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from policyscan import fixed
+from policyscan.functions.paths import relative_to
 from policyscan.functions.text import sha256_16
 from policyscan.operators.database import first_wins
 from policyscan.operators.documents import process_documents, result_mappings
 from policyscan.session import stage
-from policyscan.sources.files import read_documents
+from policyscan.sources.files import read_documents, scan
 
 
 def text_hashes(documents: DataFrame) -> DataFrame:
@@ -27,21 +29,26 @@ def text_hashes(documents: DataFrame) -> DataFrame:
 def changed_documents(documents: DataFrame, previous: DataFrame) -> DataFrame:
     """Documents that are new or differ from previous(path, text_hash).
 
-    The anti-join shuffles paths and hashes, never texts on the previous side.
+    Only paths and hashes are shuffled to find them; the changed paths are stored, and
+    texts are read again for those alone.
     """
-    hashed = documents.withColumn("text_hash", sha256_16(F.col("content")))
-    return hashed.join(previous.select("path", "text_hash"), ["path", "text_hash"], "left_anti")
+    known = previous.select("path", "text_hash")
+    changed = text_hashes(documents).join(known, ["path", "text_hash"], "left_anti")
+    return documents.join(stage(changed.distinct(), "changed-paths"), "path")
 
 
-def refresh(documents: DataFrame, previous: DataFrame) -> DataFrame:
+def refresh(documents: DataFrame, previous: DataFrame, keep_missing: bool = False) -> DataFrame:
     """Results after a change: changed documents matched again, the others kept.
 
-    ``previous`` is the result table of the last run with its ``text_hash``.
-    Documents that are gone keep their last result.  The fresh results are staged,
-    so each changed text is matched once although its path is needed twice.
+    ``previous`` is the result table of the last run with its ``text_hash``.  Results of
+    documents that are gone are dropped, as in a full run, unless ``keep_missing``.  The
+    fresh results are staged, so each changed text is matched once although its path is
+    needed twice.
     """
     fresh = stage(process_documents(changed_documents(documents, previous)), "fresh")
     kept = previous.join(fresh.select("path"), "path", "left_anti")
+    if not keep_missing:
+        kept = kept.join(documents.select("path"), "path", "left_semi")
     return kept.unionByName(fresh.select(*previous.columns))
 
 
@@ -62,10 +69,15 @@ def start_refresh(
     results_path: str,
     checkpoint: str,
     process: Callable[[DataFrame], DataFrame] = process_documents,
-    extension_glob: str = "*.adoc",
+    extensions: list[str] | None = None,
+    ignore: list[str] | None = None,
+    max_mb: float = fixed.PIPELINE_MAX_MB,
 ) -> StreamingQuery:
     """Watch a folder and append the results of new files to a log of results.
 
+    The stream sees every file name once: edited and removed files are the business of
+    ``refresh``.  Paths and selection rules are those of the batch scan.
+
     Each micro-batch writes its own run folder and overwrites it when the batch is
     repeated, so a restart never doubles rows.  ``latest_results`` over
     ``results_path`` then feeds ``first_wins``.
@@ -75,9 +87,14 @@ def start_refresh(
         spark.readStream.format("binaryFile")
         .schema(schema)
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", extension_glob)
         .load(source)
     )
+    files = scan(
+        files.withColumn("path", relative_to(F.col("path"), source)),
+        extensions or fixed.PIPELINE_EXTENSIONS,
+        ignore or fixed.PIPELINE_IGNORE,
+        max_mb,
+    )
 
     def write(batch: DataFrame, run: int) -> None:
         results = process(read_documents(batch))

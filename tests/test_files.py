@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from policyscan.operators import database as db
 from policyscan.operators.documents import process_documents, result_mappings
+from policyscan.session import stage
 from policyscan.sinks import documents as sinks
 from policyscan.sources import files
 from policyscan.sources.database_json import (
@@ -14,7 +15,14 @@ from policyscan.sources.database_json import (
     read_compact,
     read_compact_lines,
 )
-from policyscan.streaming.refresh import latest_results, start_refresh
+from policyscan.streaming.refresh import (
+    changed_documents,
+    latest_results,
+    refresh,
+    refreshed_mappings,
+    start_refresh,
+    text_hashes,
+)
 
 PAGE = "== T\n\n|Checkov ID\n|https://example.test/a.py[{}]\n\n|Severity\n|{}\n"
 
@@ -124,6 +132,28 @@ def test_streaming_refresh_resolves_late_files(spark, tmp_path):
         return {tuple(r) for r in db.first_wins(result_mappings(results)).collect()}
 
     assert run() == {("CKV_AWS_1", "HIGH")}
+    (pages / "Z.ADOC").write_text(PAGE.format("CKV_AWS_1", "LOW"))
+    (pages / "index.adoc").write_text(PAGE.format("CKV_AWS_9", "LOW"))
+    assert run() == {("CKV_AWS_1", "LOW")}  # Z sorts before m
+    (pages / "Z.ADOC").unlink()
     (pages / "a.adoc").write_text(PAGE.format("CKV_AWS_1", "LOW"))
     assert run() == {("CKV_AWS_1", "LOW")}
-    assert spark.read.parquet(str(log)).filter(F.col("path").endswith("m.adoc")).count() == 1
+    assert spark.read.parquet(str(log)).filter("path = 'm.adoc'").count() == 1
+
+
+def test_refresh_equals_a_full_run(spark, tmp_path):
+    for name, rule in (("a", 1), ("b", 2), ("c", 3)):
+        (tmp_path / f"{name}.adoc").write_text(PAGE.format(f"CKV_AWS_{rule}", "HIGH"))
+
+    def now():
+        return files.read_documents(files.manifest(spark, str(tmp_path)))
+
+    first = stage(process_documents(now()).join(text_hashes(now()), "path"), "first-run")
+    (tmp_path / "a.adoc").write_text(PAGE.format("CKV_AWS_1", "LOW"))
+    (tmp_path / "b.adoc").unlink()
+    (tmp_path / "d.adoc").write_text(PAGE.format("CKV_AWS_4", "INFO"))
+    assert {r.path for r in changed_documents(now(), first).collect()} == {"a.adoc", "d.adoc"}
+    fresh = {tuple(r) for r in refreshed_mappings(now(), first).collect()}
+    assert fresh == {tuple(r) for r in db.first_wins(result_mappings(process_documents(now()))).collect()}
+    kept = refresh(now(), first, keep_missing=True)
+    assert {r.path for r in kept.collect()} == {"a.adoc", "b.adoc", "c.adoc", "d.adoc"}
