@@ -45,9 +45,9 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 _U = np.uint64
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-_CHUNK_BYTES = 4 << 20
-_CHUNK_IDS = 1 << 20
-_CACHE_WORDS = 200_000
+_CHUNK_BYTES = 1 << 20
+_CHUNK_IDS = 1 << 19
+_CACHE_WORDS = 100_000
 _UNITS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _BASE = _U(0x9E3779B97F4A7C15)
 
