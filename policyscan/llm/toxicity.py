@@ -216,7 +216,7 @@ def fit_label_model(patterns: DataFrame, n_terms: int, prior: float) -> LabelMod
     return model
 
 
-def fit_classifier(x: np.ndarray, soft: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+def fit_classifier(x: np.ndarray, soft: np.ndarray, ridge: float = 0.1) -> np.ndarray:
     """Logistic regression on soft labels by Newton's steps."""
     w = np.zeros(x.shape[1])
     penalty = np.full(x.shape[1], ridge)
