@@ -49,7 +49,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_EPOCHS = 2
 BLOCK_WORDS = 16_384
-SHARDS = 16
+SHARD_WORDS = 4_000_000  # words of one output shard, unless a number of shards is given
 SEED = 20
 
 _POSITIVE = (1 << 63) - 1
@@ -164,7 +164,7 @@ def draw(
     weights: tuple[int, ...] = WEIGHTS,
     max_epochs: int = MAX_EPOCHS,
     block_words: int = BLOCK_WORDS,
-    shards: int = SHARDS,
+    shards: int | None = None,
     seed: int = SEED,
 ) -> DataFrame:
     """One row per row of ``docs``.
@@ -189,6 +189,7 @@ def draw(
     aimed = stage(aimed.withColumn("goal", F.round("target").cast("long")), "targets")
     held = aimed.orderBy("rank").select("goal", "source_size").collect()  # one row per source
     quotas = [quota(r.goal, r.source_size, block_words) for r in held]
+    shards = shards or max(1, -(-sum(r.goal for r in held) // SHARD_WORDS))
     plan = stage(block_plan(docs, quotas, shards, seed), "block-plan")
 
     known = aimed.select(F.col("source").alias("_source"), "source_size", "target", "goal", F.col("rank").alias("group"))
@@ -217,14 +218,12 @@ def draw(
     )
 
 
-def mixed(
-    docs: DataFrame, source_col: str = "source", text_col: str = "text", shards: int = SHARDS, **settings
-) -> DataFrame:
+def mixed(docs: DataFrame, source_col: str = "source", text_col: str = "text", **settings) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken, dealt and shuffled.
 
     A document of which not all words are taken keeps the text up to the last taken word.
     """
-    drawn = draw(docs, source_col, text_col, shards=shards, **settings).select("row", "size", F.explode("draws").alias("d"))
+    drawn = draw(docs, source_col, text_col, **settings).select("row", "size", F.explode("draws").alias("d"))
     values = {c: F.col("row")[c] for c in docs.columns}
     cut = F.expr(
         f"CASE WHEN d.words < size THEN array_join(slice(regexp_extract_all(row.`{text_col}`,"
@@ -234,7 +233,7 @@ def mixed(
     values[text_col] = cut
     if "n_chars" in values:
         values["n_chars"] = F.length(cut).cast(docs.schema["n_chars"].dataType)
-    dealt = drawn.repartition(shards, "d.shard").sortWithinPartitions("d.shard", "d.order_key")
+    dealt = drawn.repartition("d.shard").sortWithinPartitions("d.shard", "d.order_key")
     return dealt.select(*[v.alias(c) for c, v in values.items()])
 
 
