@@ -15,7 +15,9 @@ Defined results
     null or empty text: no lines; the text comes back as empty text
     null site: the rows without a site are one site
     lines are compared without the white space around them; lines without a word stay
-    repeated rows: each row is a page of its own
+    repeated rows: each row is a page of its own, as in the SQL; with ``copies_once`` (the
+    pipeline's ``clean``) rows of one site with equal texts count as one page, in the
+    line counts and in the site's total, so copies do not make each other boilerplate
     lines in fewer than ``min_pages`` pages of a site stay
     extra input columns: kept apart from the working columns, whatever their names
 """
@@ -41,15 +43,20 @@ def _has_word(line: str) -> str:
     return f"length(trim(BOTH {SPACES} FROM {line})) > 0"
 
 
-def frequent_lines(pages: DataFrame, ratio: float, min_pages: int) -> DataFrame:
+def frequent_lines(pages: DataFrame, ratio: float, min_pages: int, copies_once: bool = False) -> DataFrame:
     """One row per site with boilerplate: the hashes of its lines above the ratio.
 
-    ``pages`` has ``site`` and ``lines`` (array of strings).
+    ``pages`` has ``site``, ``lines`` (array of strings) and ``digest`` of the whole text.
     """
-    totals = pages.groupBy("site").agg(F.count(F.lit(1)).alias("n_pages"))
     keys = F.expr(f"array_distinct(transform(filter(lines, l -> {_has_word('l')}), l -> {_key('l')}))")
+    keyed, counted_pages = pages.select("site", keys.alias("keys")), pages.select("site")
+    if copies_once:
+        # The copies of a text combine before the shuffle, which moves hashes only.
+        keyed = pages.select("site", "digest", keys.alias("keys")).groupBy("site", "digest").agg(F.first("keys").alias("keys"))
+        counted_pages = pages.select("site", "digest").distinct()
+    totals = counted_pages.groupBy("site").agg(F.count(F.lit(1)).alias("n_pages"))
     counted = (
-        pages.select("site", F.explode(keys).alias("line"))
+        keyed.select("site", F.explode("keys").alias("line"))
         .groupBy("site", "line")
         .agg(F.count(F.lit(1)).alias("n_with"))
         .filter(F.col("n_with") >= min_pages)
@@ -67,14 +74,18 @@ def dedup(
     text_col: str = "text",
     ratio: float = BOILERPLATE_RATIO,
     min_pages: int = MIN_PAGES,
+    copies_once: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: ``row`` (a struct of its columns), n_lines, n_dropped, clean_text."""
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     pages = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.col(f"`{site_col}`").alias("site"),
-        F.split(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), "\n", -1).alias("lines"),
+        F.split(text, "\n", -1).alias("lines"),
+        F.unhex(F.md5(F.encode(text, "UTF-8"))).alias("digest"),
     )
-    frequent = stage(frequent_lines(pages.select("site", "lines"), ratio, min_pages), "frequent-lines")
+    counted = pages.select("site", "lines", "digest")
+    frequent = stage(frequent_lines(counted, ratio, min_pages, copies_once), "frequent-lines")
     joined = pages.join(frequent, F.col("site").eqNullSafe(F.col("frequent_site")), "left")
     # Sites without boilerplate keep their lines as they are.
     judged = joined.withColumn(
@@ -93,8 +104,11 @@ def dedup(
 
 
 def clean(docs: DataFrame, site_col: str = "source", text_col: str = "text", **settings) -> DataFrame:
-    """``docs`` with boilerplate lines removed; ``n_chars`` is brought up to date."""
-    judged = dedup(docs, site_col, text_col, **settings)
+    """``docs`` with boilerplate lines removed; ``n_chars`` is brought up to date.
+
+    Rows of one site with equal texts count as one page.
+    """
+    judged = dedup(docs, site_col, text_col, **({"copies_once": True} | settings))
     values = {c: F.col("row")[c] for c in docs.columns}
     values[text_col] = F.col("clean_text")
     if "n_chars" in values:
