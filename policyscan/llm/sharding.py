@@ -10,10 +10,15 @@ partial partition, and the partial partitions of the buckets are the items of th
 level, until one is left.  A bucket's task holds a bounded number of items, and what
 goes up a level is one row per bucket.
 
-A group larger than a quarter of a shard cannot be indivisible in balanced shards (one
-group may hold a third of all rows).  It is dealt by a hash of its ids into pieces of
-about that size, and the pieces are the indivisible items.  At most four times as many
-groups as shards can be so large, which bounds the broadcast of their list.
+Buckets of small items come out level, so nothing above could make up for a large item.
+Items above a bucket's mean share of a shard are therefore placed first, by themselves,
+and every bucket then differences its small items together with its part of what the
+large ones left uneven.
+
+A group larger than a whole shard cannot be indivisible in balanced shards (one group
+may hold a third of all rows).  It is dealt by a hash of its ids into pieces of about a
+quarter of a shard, and the pieces are the indivisible items.  Fewer groups than shards
+can be so large, which bounds the broadcast of their list.
 
 Slots are running counts within a shard in hash order, summed over buckets of rows.
 
@@ -86,11 +91,47 @@ def _level(items: DataFrame, shards: int, n_items: int) -> DataFrame:
     return dealt.groupBy("bucket").applyInPandas(run, schema)
 
 
+def _around(small: DataFrame, uneven: np.ndarray, n_small: int, n_bytes: int) -> DataFrame:
+    """``item``, ``shard`` of small items, dealt so that they level out ``uneven`` (bytes per shard)."""
+    shards, n_buckets = len(uneven), -(-n_small // ITEMS_PER_BUCKET)
+    dealt = small.select("item", F.expr(f"pmod(xxhash64(item, 17), {n_buckets}L)").alias("bucket"), "bytes")
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("item")
+        own = group["bytes"].to_numpy(np.int64)
+        # Another order of the shards in each bucket, so that ties do not add up.
+        order = np.random.default_rng([int(group["bucket"].iloc[0]), 17]).permutation(shards)
+        sums = np.zeros((len(own) + 1, shards), np.int64)
+        sums[0] = (uneven[order] * (own.sum() / n_bytes)).astype(np.int64)
+        sums[1:, 0] = own
+        ends = difference(sums)
+        shard_of = np.empty(shards, np.int64)
+        shard_of[ends[0]] = order
+        return pd.DataFrame({"item": group["item"], "shard": shard_of[ends[1:, 0]].astype(np.int32)})
+
+    return dealt.groupBy("bucket").applyInPandas(run, "item long, shard int")
+
+
 def balance(items: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``item`` (distinct long), ``bytes`` to ``item``, ``shard``."""
+    counted = items.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).first()
+    n_items = counted["n"]
+    if n_items > ITEMS_PER_BUCKET:
+        bound = counted["bytes"] // (-(-n_items // ITEMS_PER_BUCKET) * shards)
+        big = items.filter(F.col("bytes") > bound)
+        over = big.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).first()
+        # Fewer than shards for every bucket; none when all items are about alike.
+        if over["n"]:
+            big = stage(big, "large-items")
+            placed = stage(balance(big, shards), "large-shards")
+            uneven = np.zeros(shards, np.int64)
+            for r in big.join(placed, "item").groupBy("shard").agg(F.sum("bytes").alias("b")).collect():
+                uneven[r["shard"]] = r["b"]
+            small = items.filter(F.col("bytes") <= bound)
+            rest = _around(small, uneven, n_items - over["n"], max(1, counted["bytes"] - over["bytes"]))
+            return placed.unionByName(rest)
     first = F.concat(F.array(F.col("bytes").cast("long")), F.array_repeat(F.lit(0).cast("long"), shards - 1))
     now = items.select("item", first.alias("sums"))
-    n_items = items.count()
     levels: list[DataFrame] = []
     while n_items:
         level = stage(_level(now, shards, n_items), f"differencing-{len(levels)}")
@@ -129,10 +170,10 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
     )
     rows = stage(rows, "sized-rows")
     total = rows.agg(F.sum("size")).first()[0] or 0
-    limit = max(1, total // (shards * PIECES_PER_SHARD))
-    large = rows.groupBy("group").agg(F.sum("size").alias("bytes")).filter(F.col("bytes") > limit)
-    large = large.select("group", F.ceil(F.col("bytes") / F.lit(limit)).alias("pieces"))
-    # At most shards * PIECES_PER_SHARD groups are larger than the limit.
+    piece = max(1, total // (shards * PIECES_PER_SHARD))
+    large = rows.groupBy("group").agg(F.sum("size").alias("bytes")).filter(F.col("bytes") > max(1, total // shards))
+    large = large.select("group", F.ceil(F.col("bytes") / F.lit(piece)).alias("pieces"))
+    # At most as many groups as shards are larger than a shard.
     pieces = rows.join(F.broadcast(large), "group", "left").withColumn(
         "item", F.xxhash64("group", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("pieces")), F.lit(0).cast("long")))
     )
