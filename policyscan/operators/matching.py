@@ -85,6 +85,24 @@ def _spans(text: str, pattern: Pattern) -> str:
     return f"slice({spans}, 1, 1)" if pattern.first_match_only else spans
 
 
+def match_contexts(text: str, regex: str) -> Column:
+    """Every match of ``regex`` (without groups), in text order: array of match, start_position, context."""
+    window = fixed.CONTEXT_WINDOW
+    pieces = split_at_matches(text, f"{REGEX_FLAGS}({regex})(?=((?s:.{{0,{window}}})))", ["$1", "$2"])
+    before = f"right(concat(acc.state.tail, item.gap), {window})"
+    start = "acc.state.stop + length(item.gap)"
+    found = sql.struct(match="item.match", start_position=start, context=context_sql(before, "item.match", "item.after"))
+    return F.expr(
+        sql.fold(
+            rows_of(pieces, "gap", "match", "after"),
+            sql.struct(stop="0", tail="''"),
+            "struct<match:string,start_position:int,context:string>",
+            sql.struct(stop=f"{start} + length(item.match)", tail=f"right(concat({before}, item.match), {window})"),
+            f"array({found})",
+        )
+    )
+
+
 def _confidence(pattern: Pattern, surroundings: str) -> str:
     """Score of an accepted match; a table nearby raises it."""
     plain, boosted = pattern.confidence(False), pattern.confidence(True)

@@ -472,6 +472,14 @@ def text_match_context(spark, sf):
     )
 
 
+@query
+def text_match_contexts(spark, sf):
+    """Context of every bracketed token of every page."""
+    found = matching.match_contexts("content", r"\[[A-Z0-9_]+\]")
+    rows = pages(spark, sf).select("path", F.explode(found).alias("m"))
+    return rows.select("path", F.col("m.match").alias("token"), "m.start_position", "m.context")
+
+
 @query
 def id_parse(spark, sf):
     """Every word of the pages that looks like a code, in lower case and padded."""

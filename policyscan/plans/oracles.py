@@ -607,6 +607,14 @@ FROM (SELECT path, token, trim(regexp_replace(substr(content, greatest(spot - 50
   FROM (SELECT path, content, token, instr(content, token) - 1 AS spot FROM (SELECT path, content, regexp_extract(content, '\[[A-Z0-9_]+\]', 0) AS token FROM docs)) WHERE token <> '')""",
         "docs",
     ),
+    "text_match_contexts": sql(
+        rf"""SELECT path, token, CAST(spot AS INTEGER) AS start_position, CASE WHEN length(ctx) > 100 THEN ctx[1:100] || '...' ELSE ctx END AS context
+FROM (SELECT path, token, spot, trim(regexp_replace(substr(content, greatest(spot - 50, 0) + 1, spot + length(token) + 50 - greatest(spot - 50, 0)), '[{SPACE}]+', ' ', 'g')) AS ctx
+  FROM (SELECT path, content, token, CAST(sum(length(gap) + length(token)) OVER (PARTITION BY path ORDER BY i) AS BIGINT) - length(token) AS spot
+    FROM (SELECT path, content, i, tokens[i] AS token, gaps[i] AS gap FROM (SELECT path, content, tokens, gaps, unnest(range(1, len(tokens) + 1)) AS i
+      FROM (SELECT path, content, regexp_extract_all(content, '\[[A-Z0-9_]+\]') AS tokens, regexp_split_to_array(content, '\[[A-Z0-9_]+\]') AS gaps FROM docs)))))""",
+        "docs",
+    ),
     "id_parse": sql(
         f"""SELECT path, word, CASE WHEN ok THEN word END AS full_id, CASE WHEN ok THEN split_part(word, '_', 1) END AS type, CASE WHEN ok THEN split_part(word, '_', 2) END AS provider,
   CASE WHEN ok THEN regexp_replace(word, '^[^_]*_[^_]*_', '') END AS number
