@@ -340,7 +340,7 @@ def classes(
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """``docs`` with one document of each class, the one with the smallest id.
 
-    Of rows that repeat an id and its text one stays.
+    Of rows that repeat an id and its text one stays; rows without an id all stay.
     """
     gone = classes(docs, id_col, text_col, **settings).filter(~F.col("kept"))
     gone = stage(gone.select(F.col("doc_id").alias("_gone_id")).distinct(), "duplicates")
@@ -348,4 +348,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     again = left.groupBy(f"`{id_col}`").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if again.filter(F.col(f"`{id_col}`").isNotNull()).isEmpty():
         return left
-    return left.dropDuplicates([id_col, text_col])
+    # Rows without an id are always kept, whatever other rows repeat.
+    known = F.col(f"`{id_col}`").isNotNull()
+    return left.filter(known).dropDuplicates([id_col, text_col]).unionByName(left.filter(~known))
