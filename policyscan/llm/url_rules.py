@@ -22,6 +22,8 @@ Defined results
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +41,6 @@ RULES = (
 
 MIN_SUPPORT = 0.005
 MIN_CONFIDENCE = 0.9
-MAX_TOKENS = 3
 BLOCKED = "verdict=block"
 
 REST = "CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END"
@@ -107,7 +108,6 @@ def mine(
     labelled: DataFrame,
     min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
-    max_tokens: int = MAX_TOKENS,
 ) -> DataFrame:
     """Pruned rules of ``tokens``, ``verdict`` rows: antecedent (sorted), confidence, support.
 
@@ -116,23 +116,34 @@ def mine(
     items = F.when(F.col("verdict") == "block", F.array_append("tokens", F.lit(BLOCKED))).otherwise(F.col("tokens"))
     baskets = labelled.filter(F.size("tokens") > 0).select(items.alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.filter(
-        (F.col("consequent")[0] == BLOCKED)
-        & (F.size("antecedent") <= max_tokens)
-        & F.exists("antecedent", lambda t: t.rlike("^(path|ending|query):"))
-    ).select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support")
-    rules = stage(rules, "association-rules")
-    # Of nested antecedents the larger one goes unless it is more confident.
-    subsets = (
-        "filter(transform(sequence(1, CAST(pow(2, size(antecedent)) AS INT) - 2), m ->"
-        " filter(antecedent, (t, i) -> (shiftright(m, i) & 1) = 1)), s -> size(s) > 0)"
+    sets = stage(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "frequent-sets")
+    blocked = sets.filter(F.array_contains("items", BLOCKED)).select(
+        F.array_remove("items", BLOCKED).alias("antecedent"), F.col("freq").alias("n_blocked")
     )
-    smaller = rules.filter(F.size("antecedent") > 1).select(
-        "antecedent", "confidence", F.explode(F.expr(subsets)).alias("subset")
+    plain = sets.select(F.col("items").alias("antecedent"), "freq")
+    counted = blocked.join(plain, "antecedent").withColumn("confidence", F.col("n_blocked") / F.col("freq"))
+    is_rule = (F.col("confidence") >= min_confidence) & F.exists("antecedent", lambda t: t.rlike("^(path|ending|query):"))
+    counted = stage(counted.withColumn("is_rule", is_rule), "antecedents")
+    # Of nested antecedents the larger one goes unless it is more confident.  Every subset of
+    # a frequent set is frequent, so the best confidence inside a set comes from its subsets
+    # one token shorter, whether these are rules or not.
+    longest = counted.agg(F.max(F.size("antecedent"))).first()[0] or 0
+    empty = counted.limit(0).withColumn("inside", F.lit(None).cast("double"))
+    levels = [empty]
+    for n in range(1, longest + 1):
+        own = counted.filter(F.size("antecedent") == n)
+        known = levels[-1].select(
+            F.col("antecedent").alias("subset"),
+            F.greatest("inside", F.when(F.col("is_rule"), F.col("confidence"))).alias("enough"),
+        )
+        shorter = own.select("antecedent", F.explode(F.expr("transform(antecedent, x -> array_remove(antecedent, x))")).alias("subset"))
+        inside = shorter.join(known, "subset").groupBy("antecedent").agg(F.max("enough").alias("inside"))
+        levels.append(stage(own.join(inside, "antecedent", "left"), f"antecedents-{n}"))
+    kept = reduce(DataFrame.unionByName, levels).filter(
+        F.col("is_rule") & (F.col("inside").isNull() | (F.col("inside") < F.col("confidence")))
     )
-    known = rules.select(F.col("antecedent").alias("subset"), F.col("confidence").alias("enough"))
-    nested = smaller.join(known, "subset").filter("enough >= confidence").select("antecedent").distinct()
-    return rules.join(nested, "antecedent", "left_anti")
+    n_baskets = baskets.count()
+    return kept.select("antecedent", "confidence", (F.col("n_blocked") / F.lit(float(max(1, n_baskets)))).alias("support"))
 
 
 def filtered(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", **settings) -> DataFrame:
