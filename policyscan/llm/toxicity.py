@@ -1,7 +1,8 @@
 """Toxicity by weak supervision.
 
 1. Lexicon: from a bounded sample of the labelled rows (``SAMPLE_ROWS``), words and word
-   beginnings that toxic documents hold far more often than others become terms.  One
+   beginnings that toxic documents hold far more often than others become terms: all that
+   have the least support and ratio and that chance would not give (``CHANCE_TERMS``).  One
    pass over all texts finds the terms with an Aho-Corasick automaton.
 2. Voters: two per term (held, held twice), and patterns (several terms, dense terms,
    shouting).  A voter says yes or nothing.
@@ -13,8 +14,9 @@
    counts, densities and patterns.  Its score is the result.
 
 Only rows with crc32(doc_id as text) mod 3 other than 1 are learnt from.  Labels,
-language, source and id are never inputs of a score.  What reaches the driver is bounded
-by parameters: at most ``TERMS`` terms, sums over voters, and the sample's feature rows.
+language, source and id are never inputs of a score.  What reaches the driver is the
+terms, which grow with the vocabulary of the labelled sample, sums over voters and over
+pairs of voters that occur together, and the sample's feature rows, held sparsely.
 
 Defined results
     null or empty text: no votes, a low score
@@ -27,6 +29,7 @@ Defined results
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -40,12 +43,13 @@ from pyspark.sql import functions as F
 from policyscan.session import stage
 
 SAMPLE_ROWS = 20_000
-TERMS = 40
 MIN_TOXIC = 5
 MIN_RATIO = 8.0
+CHANCE_TERMS = 1.0  # terms that chance may bring among all words and beginnings looked at
 STEMS = (4, 5, 6, 7)
 ROUNDS = 6
 THRESHOLD = 0.7
+_CELLS = 1 << 21  # of a dense matrix of rows by terms
 ANNOTATOR = 0.98  # reliability of a label as one more voter when the classifier is trained
 
 WORDS_RE = re.compile(r"[^\W\d_]+")
@@ -86,18 +90,23 @@ def lexicon(sample: DataFrame) -> list[str]:
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"),
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c"),
     )
+    by_feature = stage(by_feature, "feature-counts")
     ratio = ((F.col("t") + 0.5) / toxic) / ((F.col("c") + 0.5) / clean)
+    # Chernoff's bound of the chance that t of t + c rows are toxic, over all features looked at.
+    share, part = toxic / (toxic + clean), F.col("t") / (F.col("t") + F.col("c"))
+    others = F.when(F.col("c") > 0, F.col("c") * F.log((1 - part) / (1 - share))).otherwise(0.0)
+    surprise = F.col("t") * F.log(part / share) + others
+    least = math.log(max(1, by_feature.count()) / CHANCE_TERMS)
     best = (
         by_feature.filter(F.col("t") >= MIN_TOXIC)
         .withColumn("ratio", ratio)
-        .filter(F.col("ratio") >= MIN_RATIO)
+        .filter((F.col("ratio") >= MIN_RATIO) & (surprise >= least))
         .orderBy((F.col("t") * F.log("ratio")).desc(), F.length("feature").desc(), "feature")
-        .limit(20 * TERMS)
     )
     terms: list[str] = []
     for row in best.collect():
         core = row.feature.strip("=*")
-        if len(terms) < TERMS and not any(core.startswith(t.strip("=*")) or t.strip("=*").startswith(core) for t in terms):
+        if not any(core.startswith(t.strip("=*")) or t.strip("=*").startswith(core) for t in terms):
             terms.append(row.feature)
     return terms
 
@@ -152,6 +161,13 @@ def matrices(frame: pd.DataFrame, n_terms: int) -> tuple[np.ndarray, np.ndarray]
     return votes, x
 
 
+def parts(frame: pd.DataFrame, n_terms: int) -> Iterator[pd.DataFrame]:
+    """The rows of ``hits`` in pieces whose matrices have a bounded size."""
+    step = max(1, _CELLS // (n_terms + 1))
+    for begin in range(0, len(frame), step):
+        yield frame.iloc[begin : begin + step]
+
+
 class LabelModel:
     """Rates of every voter in both classes, and weights that share what voters repeat."""
 
@@ -196,35 +212,43 @@ def fit_label_model(patterns: DataFrame, n_terms: int, prior: float) -> LabelMod
 
         def expected(frames: Iterator[pd.DataFrame], model: LabelModel = model) -> Iterator[pd.DataFrame]:
             total = None
-            for frame in frames:
-                votes, _ = matrices(frame, n_terms)
-                sums = model.sums(votes, frame["times"].to_numpy(np.float64), frame["toxic"].to_numpy(np.float64))
-                flat = np.concatenate([sums[k].ravel() for k in ("rows", "votes", "pairs")])
+            for part in (p for frame in frames for p in parts(frame, n_terms)):
+                votes, _ = matrices(part, n_terms)
+                sums = model.sums(votes, part["times"].to_numpy(np.float64), part["toxic"].to_numpy(np.float64))
+                # Each pair once; pairs that never occur together stay out.
+                flat = np.concatenate([sums["rows"], sums["votes"].ravel(), np.triu(sums["pairs"]).ravel()])
                 total = flat if total is None else total + flat
             if total is not None:
-                yield pd.DataFrame({"place": np.arange(len(total)), "value": total})
+                place = np.flatnonzero(total)
+                yield pd.DataFrame({"place": place, "value": total[place]})
 
-        rows = patterns.mapInPandas(expected, "place int, value double").groupBy("place").agg(F.sum("value").alias("v")).collect()
+        rows = patterns.mapInPandas(expected, "place long, value double").groupBy("place").agg(F.sum("value").alias("v")).toArrow()
         flat = np.zeros(2 + 2 * voters + 2 * voters * voters)
-        for r in rows:
-            flat[r.place] = r.v
-        if not rows:
+        flat[rows["place"].to_numpy()] = rows["v"].to_numpy()
+        if not len(rows):
             return model
+        pairs = flat[2 + 2 * voters :].reshape(2, voters, voters)
+        pairs = pairs + np.triu(pairs, 1).transpose(0, 2, 1)
         fresh = LabelModel(voters, prior)
-        fresh.update(flat[:2], flat[2 : 2 + 2 * voters].reshape(2, -1), flat[2 + 2 * voters :].reshape(2, voters, voters))
+        fresh.update(flat[:2], flat[2 : 2 + 2 * voters].reshape(2, -1), pairs)
         model = fresh
     return model
 
 
-def fit_classifier(x: np.ndarray, soft: np.ndarray, ridge: float = 0.1) -> np.ndarray:
-    """Logistic regression on soft labels by Newton's steps."""
-    w = np.zeros(x.shape[1])
-    penalty = np.full(x.shape[1], ridge)
+def fit_classifier(rows: pd.DataFrame, n_terms: int, model: LabelModel, ridge: float = 0.1) -> np.ndarray:
+    """Logistic regression on the posterior labels of ``rows`` by Newton's steps."""
+    width = matrices(rows.iloc[:0], n_terms)[1].shape[1]
+    soft = [model.posterior(matrices(p, n_terms)[0], p["toxic"].to_numpy(np.float64)) for p in parts(rows, n_terms)]
+    w = np.zeros(width)
+    penalty = np.full(width, ridge)
     penalty[0] = 1e-6
     for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - soft) + penalty * w
-        curvature = (x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x + np.diag(penalty)
+        gradient, curvature = penalty * w, np.diag(penalty)
+        for part, wanted in zip(parts(rows, n_terms), soft, strict=True):
+            x, times = matrices(part, n_terms)[1], part["times"].to_numpy(np.float64)
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            gradient = gradient + x.T @ (times * (p - wanted))
+            curvature = curvature + (x * (times * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x
         step = np.linalg.solve(curvature, gradient)
         w = w - step
         if np.abs(step).max() < 1e-6:
@@ -256,16 +280,13 @@ def score(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     if n_terms:
         model = fit_label_model(kinds, n_terms, prior)
         rows = kinds.filter("toxic IS NOT NULL").toPandas()  # the bounded sample
-        votes, x = matrices(rows, n_terms)
-        times = rows["times"].to_numpy(np.float64)
-        soft = model.posterior(votes, rows["toxic"].to_numpy(np.float64))
-        w = fit_classifier(np.repeat(x, times.astype(int), axis=0), np.repeat(soft, times.astype(int)))
+        w = fit_classifier(rows, n_terms, model)
     else:
         w = None
     flat = prior if known else 0.0
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in (p for whole in frames for p in parts(whole, n_terms)):
             if w is None:
                 result = np.full(len(frame), flat)
             else:
