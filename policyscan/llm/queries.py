@@ -18,6 +18,7 @@ from policyscan.llm import (
     sharding,
     toxicity,
     url_rules,
+    whitening,
 )
 
 
@@ -82,6 +83,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_minhash": op9_minhash,
     "op10_pii": op10_pii,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES: dict[str, str] = {
