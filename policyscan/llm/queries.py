@@ -12,6 +12,7 @@ from policyscan.llm import (
     line_dedup,
     minhash,
     mixing,
+    packing,
     pii,
     quality_rules,
     sentencepiece_codec,
@@ -83,6 +84,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -98,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_minhash": op9_minhash,
     "op10_pii": op10_pii,
+    "op12_packing": op12_packing,
     "op13_whitening": op13_whitening,
 }
 
