@@ -15,6 +15,7 @@ from policyscan.llm import (
     packing,
     pii,
     quality_rules,
+    ranked_search,
     sentencepiece_codec,
     sharding,
     toxicity,
@@ -84,6 +85,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_minhash": op9_minhash,
     "op10_pii": op10_pii,
+    "op11_ranked_search": op11_ranked_search,
     "op12_packing": op12_packing,
     "op13_whitening": op13_whitening,
 }
@@ -111,4 +117,5 @@ ORACLES: dict[str, str] = {
     "op1_embedding_dedup": embedding_dedup.ORACLE,
     "op2_quality_rules": quality_rules.ORACLE,
     "op4_line_dedup": line_dedup.ORACLE,
+    "op11_ranked_search": ranked_search.ORACLE,
 }
