@@ -8,12 +8,14 @@ lower-cased.  A document of n terms scores, over the query's distinct terms,
 with w(term) = floor(1000 ln((2N + 2) / (2 df + 1))); N documents hold a term, L is the sum
 of their n.  All but w is in 64-bit integers, so results do not depend on the plan.
 
-Index: every task cuts its part of the table into shards of ``SHARD_BYTES`` of text and
+Index: every task cuts its part of the table into shards of ``shard_bytes`` of text and
 inverts each by itself; nothing is shuffled.  A term's postings in a shard are cut into
-blocks of ``BLOCK`` documents: distances and frequencies in the fewest bytes the block
+blocks of ``block`` documents: distances and frequencies in the fewest bytes the block
 needs, and beside them the block's last document, its largest tf and its smallest n.
 These bound every score in the block, whatever N, L and df come out to be, so one read of
-the texts yields both the index and the statistics.
+the texts yields both the index and the statistics.  The terms of a shard lie in ``PAGES``
+rows by the leading bits of their hash, each page sorted by hash; terms are told apart by
+their bytes.
 
 Search: the postings of the queries' terms meet by shard.  In a shard each query's terms
 are sorted by their global bounds; those whose bounds together stay below the score of
@@ -22,7 +24,7 @@ scored by the essential terms alone.  A candidate that the non-essential blocks'
 cannot lift to the threshold is rejected before any of those blocks is decompressed.
 Decompressed blocks serve all queries of the shard.  Each shard returns a heap of the
 ``k`` best documents a query; heaps are merged in two levels.  The first
-``PRIMING_SHARDS`` shards go ahead, and the k-th best scores they find are thresholds that
+``priming_shards`` shards go ahead, and the k-th best scores they find are thresholds that
 the others start with, which changes the work, not the result.
 
 Queries reach the shards in groups of at most ``GROUP_TERMS`` terms (dealt by hash), so what
@@ -55,15 +57,11 @@ from policyscan.llm.shingles import _BYTES, _power_tables, mix, text_bytes
 from policyscan.session import stage
 
 K = 50
-BLOCK = 128
-SHARD_BYTES = 8 << 20
-SHARD_DOCS = 1 << 16
-RANGE_DOCS = 2048
-PRIMING_SHARDS = 8
 GROUP_TERMS = 200_000
 MERGES = 64
 _CHUNK_BYTES = 1 << 20
-_HEAD = 6  # numbers that describe a block: last document, max tf, min n, postings, place, widths
+PAGES = 64
+_HEAD = 3  # numbers that describe a block: last document, largest tf, smallest n
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -101,21 +99,29 @@ def unpacked_ids(data: bytes) -> list[int | None]:
     return [None if gone else value for value, gone in zip(values.tolist(), missing.tolist(), strict=True)]
 
 
-def _binaries(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    return pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)]
-    )
+@dataclass(frozen=True)
+class Layout:
+    """Sizes of blocks, shards and ranges; an index is searched with the layout it was built with."""
+
+    block: int = 128
+    shard_bytes: int = 16 << 20
+    shard_docs: int = 1 << 16
+    range_docs: int = 2048
+    priming_shards: int = 8
+
+
+LAYOUT = Layout()
 
 
 class Shard:
     """Terms of documents gathered until they are inverted."""
 
-    def __init__(self, number: int):
-        self.number = number
+    def __init__(self, number: int, layout: Layout):
+        self.number, self.layout = number, layout
         self.ids: list[pa.Array] = []
         self.hashes: list[np.ndarray] = []
         self.owners: list[np.ndarray] = []
-        self.words: list[tuple[np.ndarray, pa.Array]] = []  # distinct hashes of a part and their terms
+        self.words: list[tuple] = []  # of every part: distinct hashes, lengths and bytes of their terms
         self.n_docs = self.n_bytes = 0
 
     def add(self, ids: pa.Array, texts: pa.Array) -> None:
@@ -126,32 +132,23 @@ class Shard:
         self.owners.append((owner + self.n_docs).astype(np.int32))
         distinct, first = np.unique(hashed, return_index=True)
         sizes = (end - begin)[first]
-        offsets = np.concatenate(([0], np.cumsum(sizes)))
-        places = np.arange(offsets[-1]) + np.repeat(begin[first] - offsets[:-1], sizes)
-        self.words.append((distinct, _binaries(buffer[places], offsets)))
+        ends = np.cumsum(sizes)
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin[first] - (ends - sizes), sizes)
+        self.words.append((distinct, sizes, buffer[places]))
         self.n_docs += len(held)
         self.n_bytes += len(buffer)
 
     def full(self) -> bool:
-        return self.n_bytes >= SHARD_BYTES or self.n_docs >= SHARD_DOCS
+        return self.n_bytes >= self.layout.shard_bytes or self.n_docs >= self.layout.shard_docs
 
-    def rows(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        """One row for the documents (term null), then one per term."""
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """One row for the documents (page -1), then one per page of terms."""
         if not self.n_docs:
             return
         hashed, owner = np.concatenate(self.hashes), np.concatenate(self.owners)
         lengths = np.bincount(owner, minlength=self.n_docs)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([self.number], pa.int64()),
-                pa.array([None], pa.string()),
-                pa.array([self.n_docs], pa.int64()),
-                pa.array([int(lengths.sum())], pa.int64()),
-                pa.array([lengths.astype(np.int32).tobytes()], pa.large_binary()),
-                pa.array([packed_ids(pa.concat_arrays(self.ids))], pa.large_binary()),
-            ],
-            schema=schema,
-        )
+        ids = packed_ids(pa.concat_arrays(self.ids))
+        yield self._row(-1, self.n_docs, len(owner), heads=lengths.astype("<i4").tobytes(), data=ids)
         order = np.argsort(hashed, kind="stable")
         hashed, owner = hashed[order], owner[order]
         fresh = np.ones(len(hashed), bool)
@@ -159,58 +156,83 @@ class Shard:
         at = np.flatnonzero(fresh)
         tf = np.diff(np.append(at, len(hashed)))
         hashed, owner = hashed[at], owner[at].astype(np.int64)
-        terms, first, df = np.unique(hashed, return_index=True, return_counts=True)
-        heads, head_offsets, data, data_offsets = compressed(owner, tf, lengths, first, df)
-        yield from self._term_rows(schema, terms, df, np.add.reduceat(tf, first), heads, head_offsets, data, data_offsets)
-
-    def _term_rows(self, schema, terms, df, occurrences, heads, head_offsets, data, data_offsets):
-        known = np.concatenate([h for h, _ in self.words])
-        spelled = pa.concat_arrays([w for _, w in self.words]).cast(pa.large_string())
+        first = np.flatnonzero(np.concatenate(([True], hashed[1:] != hashed[:-1])))
+        terms, df = hashed[first], np.diff(np.append(first, len(hashed)))
+        lists = compressed(owner, tf, lengths, first, df, self.layout.block)
+        known = np.concatenate([h for h, _, _ in self.words])
         _, place = np.unique(known, return_index=True)  # sorted by hash, as ``terms`` is
-        spelled = spelled.take(pa.array(place)).cast(pa.string())
-        heads_array, data_array = _binaries(heads, head_offsets), _binaries(data, data_offsets)
-        n, step = len(terms), 8192
-        for begin in range(0, n, step):
-            end = min(begin + step, n)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(end - begin, self.number, np.int64)),
-                    spelled.slice(begin, end - begin),
-                    pa.array(df[begin:end].astype(np.int64)),
-                    pa.array(occurrences[begin:end].astype(np.int64)),
-                    heads_array.slice(begin, end - begin),
-                    data_array.slice(begin, end - begin),
-                ],
-                schema=schema,
-            )
-
-
-def compressed(owner, tf, lengths, first, df):
-    """Blocks of all lists: head numbers and packed postings, each with the lists' byte offsets.
+        sizes = np.concatenate([n for _, n, _ in self.words])
+        begins = (np.cumsum(sizes) - sizes)[place]
+        sizes = sizes[place]
+        spelled_at = np.concatenate(([0], np.cumsum(sizes)))
+        places = np.arange(spelled_at[-1]) + np.repeat(begins - spelled_at[:-1], sizes)
+        spelled = np.concatenate([w for _, _, w in self.words])[places]
+        cuts = np.searchsorted(terms, np.arange(1, PAGES, dtype=np.uint64) << np.uint64(64 - PAGES.bit_length() + 1))
+        for page, (low, high) in enumerate(zip([0, *cuts], [*cuts, len(terms)], strict=True)):
+            if low < high:
+                blocks, bytes_ = lists.block_at[[low, high]], lists.data_at[[low, high]]
+                yield self._row(
+                    page,
+                    high - low,
+                    int(df[low:high].sum()),
+                    hashes=terms[low:high].astype("<u8").tobytes(),
+                    df=df[low:high].astype("<i4").tobytes(),
+                    spelled_at=(spelled_at[low : high + 1] - spelled_at[low]).astype("<i4").tobytes(),
+                    spelled=spelled[spelled_at[low] : spelled_at[high]].tobytes(),
+                    heads=lists.heads[blocks[0] : blocks[1]].astype("<i4").tobytes(),
+                    widths=lists.widths[blocks[0] : blocks[1]].tobytes(),
+                    data_at=(lists.data_at[low : high + 1] - bytes_[0]).astype("<i4").tobytes(),
+                    data=lists.data[bytes_[0] : bytes_[1]].tobytes(),
+                )
+
+    def _row(self, page: int, n: int, total: int, **columns: bytes) -> pa.RecordBatch:
+        row = [[self.number], [page], [n], [total], *([columns.get(c)] for c in _BINARY)]
+        return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, _INDEX, strict=True)], schema=_INDEX)
+
+
+_BINARY = ("hashes", "df", "spelled_at", "spelled", "heads", "widths", "data_at", "data")
+_INDEX = pa.schema(
+    [("shard", pa.int64()), ("page", pa.int32()), ("n", pa.int64()), ("total", pa.int64())] + [(c, pa.binary()) for c in _BINARY]
+)
+_INDEX_DDL = "shard long, page int, n long, total long, " + ", ".join(f"{c} binary" for c in _BINARY)
+
+
+@dataclass
+class Lists:
+    """Packed posting lists: blocks in order, and where each list's blocks and bytes begin."""
+
+    heads: np.ndarray
+    widths: np.ndarray
+    block_at: np.ndarray
+    data: np.ndarray
+    data_at: np.ndarray
+
+
+def compressed(owner, tf, lengths, first, df, block_docs: int) -> Lists:
+    """Blocks of all lists (list i: ``df[i]`` postings from ``first[i]`` on, documents ascending).
 
     A block is packed as the distances of its documents from one to the next, then their
     frequencies, each in 1, 2 or 4 bytes a number.
     """
     n = len(owner)
-    blocks_of = -(-df // BLOCK)
+    blocks_of = -(-df // block_docs)
+    block_at = np.concatenate(([0], np.cumsum(blocks_of)))
     listed = np.repeat(np.arange(len(df)), blocks_of)
-    nth = np.arange(len(listed)) - np.repeat(np.cumsum(blocks_of) - blocks_of, blocks_of)
-    start = first[listed] + nth * BLOCK
-    count = np.minimum(df[listed] - nth * BLOCK, BLOCK)
+    nth = np.arange(len(listed)) - block_at[listed]
+    start = first[listed] + nth * block_docs
+    count = np.minimum(df[listed] - nth * block_docs, block_docs)
     block = np.repeat(np.arange(len(start)), count)
     distance = np.empty(n, np.int64)
-    distance[0] = owner[0]
     distance[1:] = owner[1:] - owner[:-1]
     distance[first] = owner[first]  # a list's first document counts from 0
-    top_distance, top_tf = np.maximum.reduceat(distance, start), np.maximum.reduceat(tf, start)
+    top_tf = np.maximum.reduceat(tf, start)
 
     def width(top):
         return np.where(top < 1 << 8, 1, np.where(top < 1 << 16, 2, 4))
 
-    wide, wide_tf = width(top_distance), width(top_tf)
-    size = count * (wide + wide_tf)
-    ends = np.cumsum(size)
-    begins = ends - size
+    wide, wide_tf = width(np.maximum.reduceat(distance, start)), width(top_tf)
+    ends = np.cumsum(count * (wide + wide_tf))
+    begins = ends - count * (wide + wide_tf)
     data = np.zeros(int(ends[-1]), np.uint8)
     within = np.arange(n) - start[block]
     for values, widths, base in ((distance, wide, begins), (tf, wide_tf, begins + count * wide)):
@@ -218,32 +240,20 @@ def compressed(owner, tf, lengths, first, df):
         for byte in range(4):
             rows = np.flatnonzero(each > byte)
             data[at[rows] + byte] = (values[rows] >> (8 * byte)) & 255
-    list_first = np.cumsum(blocks_of) - blocks_of
-    list_begin = begins[list_first]
-    heads = np.empty((len(start), _HEAD), np.int32)
-    heads[:, 0] = owner[start + count - 1]
-    heads[:, 1] = top_tf
-    heads[:, 2] = np.minimum.reduceat(lengths[owner], start)
-    heads[:, 3] = count
-    heads[:, 4] = begins - list_begin[listed]
-    heads[:, 5] = wide * 8 + wide_tf
-    head_offsets = np.concatenate(([0], np.cumsum(blocks_of))) * _HEAD * 4
-    return heads.reshape(-1).view(np.uint8), head_offsets, data, np.append(list_begin, len(data))
-
-
-def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The index of all documents: one row per shard and term, and one per shard for its documents.
-
-    Columns: shard, term (null: the documents' row), df, occurrences, heads, data.  The
-    documents' row holds their lengths in ``heads`` and their ids in ``data``.
+    heads = np.stack([owner[start + count - 1], top_tf, np.minimum.reduceat(lengths[owner], start)], axis=1)
+    widths = (wide * 8 + wide_tf).astype(np.uint8)
+    return Lists(heads, widths, block_at, data, np.append(begins[block_at[:-1]], len(data)))
+
+
+def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", layout: Layout = LAYOUT) -> DataFrame:
+    """The index of all documents, one row per shard and page of terms.
+
+    Columns: shard, page, n (terms), total (postings) and the page's arrays.  Page -1 holds
+    a shard's documents: n of them with ``total`` terms, lengths in heads, ids in data.
     """
-    ddl = "shard long, term string, df long, occurrences long, heads binary, data binary"
-    plain = [("shard", pa.int64()), ("term", pa.string()), ("df", pa.int64()), ("occurrences", pa.int64())]
-    inner = pa.schema([*plain, ("heads", pa.large_binary()), ("data", pa.large_binary())])
-    outer = pa.schema([*plain, ("heads", pa.binary()), ("data", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = Shard(TaskContext.get().partitionId() << 24)
+        shard = Shard(TaskContext.get().partitionId() << 24, layout)
         for batch in batches:
             sizes = pc.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False)
             begin = 0
@@ -252,14 +262,33 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 shard.add(batch.column(0).slice(begin, n), batch.column(1).slice(begin, n))
                 begin += n
                 if shard.full():
-                    for rows in shard.rows(inner):
-                        yield rows.cast(outer)
-                    shard = Shard(shard.number + 1)
-        for rows in shard.rows(inner):
-            yield rows.cast(outer)
+                    yield from shard.rows()
+                    shard = Shard(shard.number + 1, layout)
+        yield from shard.rows()
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return rows.mapInArrow(run, ddl)
+    return rows.mapInArrow(run, _INDEX_DDL)
+
+
+class Vocabulary:
+    """Terms to look up in pages, numbered in the order of their hashes."""
+
+    def __init__(self, terms: list[str]):
+        buffer, hashed, begin, end, _ = terms_of(pa.array(terms, pa.string()))
+        order = np.argsort(hashed, kind="stable")
+        self.hashes = hashed[order]
+        self.spelled = [bytes(buffer[a:b]) for a, b in zip(begin[order].tolist(), end[order].tolist(), strict=True)]
+        self.number = {t: i for i, t in enumerate(self.spelled)}
+
+    def find(self, hashes: bytes, spelled_at: bytes, spelled: bytes) -> Iterator[tuple[int, int]]:
+        """Number of every term that a page holds, and its place there."""
+        held, at = np.frombuffer(hashes, "<u8"), np.frombuffer(spelled_at, "<i4")
+        low, high = np.searchsorted(self.hashes, held[[0, -1]])
+        for number in range(low, min(high + 1, len(self.hashes))):
+            place = int(np.searchsorted(held, self.hashes[number]))
+            # Two terms of one hash would be one list in the index; that this one is spelled alike is checked.
+            if place < len(held) and spelled[at[place] : at[place + 1]] == self.spelled[number]:
+                yield number, place
 
 
 @dataclass
@@ -269,47 +298,67 @@ class Statistics:
     n_docs: int
     n_terms: int
 
-    def parts(self, tf: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """What an occurrence count adds to a score, before the term's weight."""
-        m = 50 + (50 * n.astype(np.int64) * self.n_docs) // self.n_terms
-        tf = tf.astype(np.int64)
-        return (1_000_000_000 * tf) // (1000 * tf + 20 * m)
+    def damping(self, n: np.ndarray) -> np.ndarray:
+        """What the length of a document adds to its occurrence counts."""
+        return 20 * (50 + (50 * n.astype(np.int64) * self.n_docs) // self.n_terms)
 
     def weight(self, df: int) -> int:
         return math.floor(1000 * math.log((2 * self.n_docs + 2) / (2 * df + 1)))
 
 
+def parts(tf: np.ndarray, damping: np.ndarray) -> np.ndarray:
+    """What occurrence counts add to scores, before the term's weight."""
+    tf = tf.astype(np.int64)
+    return (1_000_000_000 * tf) // (1000 * tf + damping)
+
+
 class Postings:
     """One term's list in a shard; blocks are decompressed when asked for, once."""
 
-    def __init__(self, heads: bytes, data: bytes, weight: int, statistics: Statistics, lengths: np.ndarray):
-        self.heads = np.frombuffer(heads, np.int32).reshape(-1, _HEAD)
-        self.data, self.weight, self.statistics, self.lengths = data, weight, statistics, lengths
-        self.last = self.heads[:, 0]
-        self.bounds = weight * statistics.parts(self.heads[:, 1], self.heads[:, 2])
+    def __init__(self, heads: bytes, widths: bytes, data: bytes, df: int, weight: int, statistics: Statistics, damping, block: int):
+        heads = np.frombuffer(heads, "<i4").reshape(-1, _HEAD)
+        self.data, self.weight, self.damping, self.widths, self.block = data, weight, damping, widths, block
+        self.last = heads[:, 0].astype(np.int64)
+        self.bounds = weight * parts(heads[:, 1], statistics.damping(heads[:, 2]))
         self.bound = int(self.bounds.max())
-        self.open: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-    def block(self, b: int) -> tuple[np.ndarray, np.ndarray]:
-        """Documents of a block and the scores the term gives them."""
-        if b not in self.open:
-            _, _, _, count, place, widths = (int(v) for v in self.heads[b])
-            wide, wide_tf = divmod(widths, 8)
-            distances = np.frombuffer(self.data, f"<u{wide}", count, place).astype(np.int64)
-            tf = np.frombuffer(self.data, f"<u{wide_tf}", count, place + count * wide)
-            documents = np.cumsum(distances) + (int(self.last[b - 1]) if b else 0)
-            self.open[b] = documents, self.weight * self.statistics.parts(tf, self.lengths[documents])
-        return self.open[b]
+        self.df, self.closed = df, len(self.last)
+        self.documents = self.scored = self.begins = self.opened = None
+
+    def _prepare(self) -> None:
+        blocks = len(self.last)
+        count = np.full(blocks, self.block)
+        count[-1] = self.df - self.block * (blocks - 1)
+        wide, wide_tf = np.divmod(np.frombuffer(self.widths, np.uint8).astype(np.int64), 8)
+        ends = np.cumsum(count * (wide + wide_tf))
+        self.begins, self.wide, self.wide_tf = (ends - count * (wide + wide_tf)).tolist(), wide.tolist(), wide_tf.tolist()
+        self.opened = np.zeros(blocks, bool)
+        # A closed block's documents read as its last one, which keeps the list in order.
+        self.documents, self.scored = np.repeat(self.last, count), np.zeros(self.df, np.int64)
+
+    def open(self, blocks: np.ndarray) -> None:
+        if self.opened is None:
+            self._prepare()
+        if not self.closed:
+            return
+        for b in blocks[~self.opened[blocks]].tolist():
+            low, high = b * self.block, min((b + 1) * self.block, self.df)
+            count, place = high - low, self.begins[b]
+            distances = np.frombuffer(self.data, f"<u{self.wide[b]}", count, place)
+            tf = np.frombuffer(self.data, f"<u{self.wide_tf[b]}", count, place + count * self.wide[b])
+            documents = np.cumsum(distances, dtype=np.int64)
+            if b:
+                documents += self.last[b - 1]
+            self.documents[low:high] = documents
+            self.scored[low:high] = self.weight * parts(tf, self.damping[documents])
+            self.opened[b] = True
+            self.closed -= 1
 
     def between(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
         """Postings of the documents from ``low`` up to ``high``."""
-        first, after = np.searchsorted(self.last, low), np.searchsorted(self.last, high - 1) + 1
-        found = [self.block(b) for b in range(first, min(after, len(self.last)))]
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        documents, scores = (np.concatenate(x) for x in zip(*found, strict=True))
-        a, b = np.searchsorted(documents, [low, high])
-        return documents[a:b], scores[a:b]
+        first, after = np.searchsorted(self.last, (low, high - 1))
+        self.open(np.arange(first, min(after + 1, len(self.last))))
+        a, b = np.searchsorted(self.documents, (low, high))
+        return self.documents[a:b], self.scored[a:b]
 
     def block_bounds(self, documents: np.ndarray) -> np.ndarray:
         """Bound of the block that would hold each document, 0 beyond the last."""
@@ -318,18 +367,13 @@ class Postings:
 
     def scores(self, documents: np.ndarray) -> np.ndarray:
         """Exact scores of ascending documents; opens only the blocks they fall in."""
-        out = np.zeros(len(documents), np.int64)
         at = np.searchsorted(self.last, documents)
-        for b in np.unique(at[at < len(self.last)]):
-            mine = np.flatnonzero(at == b)
-            held, scores = self.block(int(b))
-            place = np.minimum(np.searchsorted(held, documents[mine]), len(held) - 1)
-            hit = held[place] == documents[mine]
-            out[mine[hit]] = scores[place[hit]]
-        return out
+        self.open(np.unique(at[at < len(self.last)]))
+        place = np.minimum(np.searchsorted(self.documents, documents), self.df - 1)
+        return np.where(self.documents[place] == documents, self.scored[place], 0)
 
 
-def best(lists: list[Postings], n_docs: int, keys: np.ndarray, k: int, floor: int) -> tuple[np.ndarray, np.ndarray]:
+def best(lists: list[Postings], n_docs: int, keys: np.ndarray, k: int, floor: int, range_docs: int) -> tuple[np.ndarray, np.ndarray]:
     """The ``k`` best documents of a shard with at least ``floor`` (and more than 0), and their scores.
 
     ``keys`` ranks the documents' ids.  Block-Max MaxScore, a range of documents at a time.
@@ -337,8 +381,8 @@ def best(lists: list[Postings], n_docs: int, keys: np.ndarray, k: int, floor: in
     lists = sorted(lists, key=lambda p: p.bound)
     upto = np.cumsum([p.bound for p in lists])
     top, top_scores, threshold = np.zeros(0, np.int64), np.zeros(0, np.int64), max(1, floor)
-    for low in range(0, n_docs, RANGE_DOCS):
-        high = min(low + RANGE_DOCS, n_docs)
+    for low in range(0, n_docs, range_docs):
+        high = min(low + range_docs, n_docs)
         split = int(np.searchsorted(upto, threshold))  # lists before it cannot reach the threshold together
         if split == len(lists):
             break
@@ -373,22 +417,73 @@ def best(lists: list[Postings], n_docs: int, keys: np.ndarray, k: int, floor: in
     return top, top_scores
 
 
-def _search_shards(found: DataFrame, queries: list[tuple], weights: dict[str, int], statistics: Statistics,
-                   floors: dict[int, int], k: int) -> DataFrame:
-    """Heaps of every shard: query (number), doc_id, score."""
+def _document_counts(pages: DataFrame, vocabulary: Vocabulary) -> dict[int, int]:
+    """How many documents hold each term of the vocabulary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(len(vocabulary.spelled), np.int64)
+        for batch in batches:
+            for hashes, spelled_at, spelled, df in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                counts = np.frombuffer(df, "<i4")
+                for number, place in vocabulary.find(hashes, spelled_at, spelled):
+                    sums[number] += counts[place]
+        held = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(sums[held])], names=["term", "df"])
+
+    rows = pages.select("hashes", "spelled_at", "spelled", "df").mapInArrow(run, "term long, df long")
+    return {r["term"]: r["df"] for r in rows.groupBy("term").agg(F.sum("df").alias("df")).collect()}
+
+
+def _postings(pages: DataFrame, vocabulary: Vocabulary, block: int) -> DataFrame:
+    """shard, term (number), df, heads, widths, data of the vocabulary's lists; term -1 for the documents."""
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    names = ["shard", "term", "df", "heads", "widths", "data"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                shard, page, n, *columns = (batch.column(i)[row].as_py() for i in range(batch.num_columns))
+                values = dict(zip(_BINARY, columns, strict=True))
+                out = []
+                if page < 0:
+                    out.append((shard, -1, n, values["heads"], b"", values["data"]))
+                else:
+                    df, data_at = (np.frombuffer(values[c], "<i4") for c in ("df", "data_at"))
+                    block_at = np.concatenate(([0], np.cumsum(-(-df // block))))
+                    for number, place in vocabulary.find(values["hashes"], values["spelled_at"], values["spelled"]):
+                        a, b = int(block_at[place]), int(block_at[place + 1])
+                        heads = values["heads"][4 * _HEAD * a : 4 * _HEAD * b]
+                        data = values["data"][int(data_at[place]) : int(data_at[place + 1])]
+                        out.append((shard, number, int(df[place]), heads, values["widths"][a:b], data))
+                if out:
+                    columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    rows = pages.select("shard", "page", "n", *_BINARY)
+    return rows.mapInArrow(run, "shard long, term long, df long, heads binary, widths binary, data binary")
+
+
+def _search_shards(found: DataFrame, queries: list[list[int]], weights: dict[int, int], statistics: Statistics,
+                   floors: dict[int, int], k: int, layout: Layout) -> DataFrame:
+    """Heaps of every shard: query (number), doc_id, score.  ``queries`` lists their terms' numbers."""
 
     def run(rows: pa.Table) -> pa.Table:
-        held = list(zip(*(rows.column(c).to_pylist() for c in ("term", "heads", "data")), strict=True))
-        lengths, ids = next((np.frombuffer(heads, np.int32), unpacked_ids(data)) for t, heads, data in held if t is None)
+        held = list(zip(*(rows.column(c).to_pylist() for c in ("term", "df", "heads", "widths", "data")), strict=True))
+        lengths, ids = next((np.frombuffer(heads, "<i4"), unpacked_ids(data)) for t, _, heads, _, data in held if t < 0)
         order = sorted(range(len(ids)), key=lambda d: (ids[d] is None, ids[d]))
         keys = np.empty(len(ids), np.int64)
         keys[order] = np.arange(len(ids))
-        known = {t: Postings(heads, data, weights[t], statistics, lengths) for t, heads, data in held if t is not None}
+        damping = statistics.damping(lengths)
+        known = {
+            t: Postings(heads, widths, data, df, weights[t], statistics, damping, layout.block)
+            for t, df, heads, widths, data in held
+            if t >= 0
+        }
         out: list[tuple] = []
-        for number, _, terms in queries:
+        for number, terms in enumerate(queries):
             lists = [known[t] for t in terms if t in known]
             if lists:
-                top, scores = best(lists, len(lengths), keys, k, floors.get(number, 0))
+                top, scores = best(lists, len(lengths), keys, k, floors.get(number, 0), layout.range_docs)
                 out += [(number, ids[d], s) for d, s in zip(top.tolist(), scores.tolist(), strict=True)]
         return pa.table([pa.array([row[c] for row in out], pa.int64()) for c in range(3)], ["query", "doc_id", "score"])
 
@@ -418,42 +513,39 @@ def search(
     id_col: str = "item_id",
     text_col: str = "text",
     k: int = K,
+    layout: Layout = LAYOUT,
 ) -> DataFrame:
     """The ``k`` best documents of an index (written, see ``index``) for every query.
 
     Columns: item_id, rank (from 1), doc_id, score.
     """
     spark = indexed.sparkSession
-    about = indexed.filter(F.col("term").isNull())
-    sums = about.agg(F.sum("df").alias("n"), F.sum("occurrences").alias("terms")).first()
+    about, pages = indexed.filter("page < 0"), indexed.filter("page >= 0")
+    sums = about.agg(F.sum("n").alias("n"), F.sum("total").alias("terms")).first()
     asked = stage(distinct_queries(queries, id_col, text_col), "queries")
     kind = asked.schema["item"].dataType.simpleString()
-    schema = f"item_id {kind}, rank int, doc_id long, score long"
     n_terms = asked.agg(F.sum(F.size("terms"))).first()[0] or 0
     if not n_terms or not sums["n"]:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], f"item_id {kind}, rank int, doc_id long, score long")
     statistics = Statistics(sums["n"], sums["terms"])
-    priming = [r["shard"] for r in about.select("shard").orderBy("shard").limit(PRIMING_SHARDS).collect()]
+    priming = [r["shard"] for r in about.select("shard").orderBy("shard").limit(layout.priming_shards).collect()]
     groups = -(-n_terms // GROUP_TERMS)
     results = []
     for group in range(groups):
-        mine = asked.filter(F.expr(f"pmod(xxhash64(terms), {groups}L) = {group}"))
         # At most about GROUP_TERMS terms, or one query.
-        rows = [(number, r["item"], r["terms"]) for number, r in enumerate(mine.collect())]
-        if not rows:
-            continue
-        vocabulary = mine.select(F.explode("terms").alias("_t")).distinct()
-        postings = indexed.join(F.broadcast(vocabulary), F.col("term") == F.col("_t")).drop("_t")
-        counted = postings.groupBy("term").agg(F.sum("df").alias("df")).collect()  # terms of the group
-        weights = {r["term"]: statistics.weight(r["df"]) for r in counted}
-        found = postings.unionByName(about)
+        rows = asked.filter(F.expr(f"pmod(xxhash64(terms), {groups}L) = {group}")).collect()
+        vocabulary = Vocabulary(sorted({t for r in rows for t in r["terms"]}))
+        df = _document_counts(pages, vocabulary)
+        weights = {number: statistics.weight(count) for number, count in df.items()}
+        wanted = [[vocabulary.number[t.encode()] for t in r["terms"]] for r in rows]
+        found = stage(_postings(indexed, vocabulary, layout.block), "postings")
         ahead = F.col("shard").isin(priming)
-        first = stage(_search_shards(found.filter(ahead), rows, weights, statistics, {}, k), "first-heaps")
-        best_first = _merged(first, k).filter(F.col("rank") == k).select("query", "score").collect()  # one per query
-        floors = {r["query"]: r["score"] for r in best_first}
-        others = _search_shards(found.filter(~ahead), rows, weights, statistics, floors, k)
+        first = stage(_search_shards(found.filter(ahead), wanted, weights, statistics, {}, k, layout), "first-heaps")
+        kth = _merged(first, k).filter(F.col("rank") == k).select("query", "score").collect()  # one per query
+        floors = {r["query"]: r["score"] for r in kth}
+        others = _search_shards(found.filter(~ahead), wanted, weights, statistics, floors, k, layout)
         merged = _merged(first.unionByName(others), k)
-        names = spark.createDataFrame([(n, i) for n, i, _ in rows], f"query long, item_id {kind}")
+        names = spark.createDataFrame([(n, r["item"]) for n, r in enumerate(rows)], f"query long, item_id {kind}")
         ranked = merged.join(F.broadcast(names), "query")
         results.append(stage(ranked.select("item_id", "rank", "doc_id", "score"), "ranked"))
     out = results[0]
@@ -462,9 +554,9 @@ def search(
     return out
 
 
-def rank(docs: DataFrame, queries: DataFrame) -> DataFrame:
+def rank(docs: DataFrame, queries: DataFrame, k: int = K, layout: Layout = LAYOUT) -> DataFrame:
     """All ``docs`` (doc_id, text) ranked for every query (item_id, text)."""
-    return search(stage(index(docs), "search-index"), queries)
+    return search(stage(index(docs, layout=layout), "search-index"), queries, k=k, layout=layout)
 
 
 ORACLE = r"""

@@ -15,6 +15,9 @@ COLUMNS = {
     "op7_sharding": "doc_id size text_crc32 law shard slot grown_shard",
     "op8_mixing": "doc_id size source_size target taken",
     "op10_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+    "op11_ranked_search": "item_id rank doc_id score",
+    "op12_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
+    "op13_whitening": "vec_id component n deviation whitened explained identity_error",
 }
 
 
@@ -26,7 +29,7 @@ def connection():
 def test_all_are_registered():
     names = driver.queries()
     assert set(QUERIES) <= set(names) and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(driver.oracle_sql())
 
 
