@@ -95,14 +95,20 @@ def has_bom(text: Column) -> Column:
     return F.startswith(text, F.lit(BOM))
 
 
+# Neither printable nor whitespace.
+_HIDDEN = r"[\p{C}&&[^\t-\r\x1c-\x1f\x85]]"
+
+
 def printable_ratio(text: Column) -> Column:
     """Share of characters that are printable or whitespace (NULL for empty text)."""
-    visible = F.regexp_replace(text, r"[\p{C}&&[^\t-\r\x1c-\x1f\x85]]+", "")
+    visible = F.regexp_replace(text, f"{_HIDDEN}+", "")
     return F.try_divide(F.length(visible), F.length(text))
 
 
 def appears_binary(text: Column) -> Column:
-    return F.coalesce(printable_ratio(text) < fixed.MIN_PRINTABLE_RATIO, F.lit(False))
+    """Too few printable characters; most texts have no other kind and are only searched for one."""
+    low = F.coalesce(printable_ratio(text) < fixed.MIN_PRINTABLE_RATIO, F.lit(False))
+    return F.when(F.rlike(text, F.lit(_HIDDEN)), low).otherwise(F.lit(False))
 
 
 def has_keyword(text: Column, keywords: list[str] | None = None) -> Column:

@@ -20,12 +20,11 @@ from policyscan.operators.matching import (
     find_ids,
     find_severities,
     overall_confidence,
-    rows_of,
     severities_sql,
-    split_at_matches,
     top_id_sql,
 )
 from policyscan.operators.patterns import Pattern
+from policyscan.operators.pieces import rows_of, split_at_matches
 from policyscan.operators.quality import ISSUES, result_issues
 
 MATCH = (
@@ -43,10 +42,10 @@ def level_occurrences_sql(text: str, severities: str) -> str:
     """
     words = "|".join(name.lower() for name in fixed.SEVERITIES)
     pieces = split_at_matches(f"lower({text})", f"(?=({words}))", ["$1"])
-    start = "acc.state + length(item.gap)"
+    start = "acc.state + item.skip"
     level = f"CAST(array_position({severities}, upper(item.word)) AS INT)"
     return sql.fold(
-        rows_of(pieces, "gap", "word"),
+        rows_of(pieces, ["word"]),
         "0",
         _OCCURRENCE,
         start,

@@ -19,7 +19,9 @@ from policyscan import fixed
 from policyscan.functions import sql
 from policyscan.functions.ids import accept_sql
 from policyscan.functions.text import context_sql
+from policyscan.operators import anchors
 from policyscan.operators.patterns import REGEX_FLAGS, Pattern, resolve
+from policyscan.operators.pieces import rows_of, split_at_matches
 
 HIT = (
     "struct<checkov_id:string,confidence:double,start_position:int,end_position:int,"
@@ -27,33 +29,6 @@ HIT = (
 )
 HITS = f"array<{HIT}>"
 _SPAN = "struct<id:string,start:int,stop:int,before:string,match:string,after:string>"
-_MARK, _MARK_STAND_IN = "\uffff", "\ufffe"
-
-
-def split_at_matches(text: str, regex: str, groups: list[str]) -> str:
-    """SQL array of gap, groups of match 1, gap, groups of match 2, …, tail.
-
-    One regex pass wraps the groups of each match in marks; splitting at the mark
-    then yields everything in order.  The mark is a Unicode noncharacter; should a
-    text hold it, its neighbour stands in so that positions stay the same.
-    """
-    mark = sql.string(_MARK)
-    clean = (
-        f"CASE WHEN contains({text}, {mark}) THEN"
-        f" translate({text}, {mark}, {sql.string(_MARK_STAND_IN)}) ELSE {text} END"
-    )
-    wrapped = sql.string(_MARK + _MARK.join(groups) + _MARK)
-    return f"split(regexp_replace({clean}, {sql.string(regex)}, {wrapped}), {mark}, -1)"
-
-
-def rows_of(pieces: str, *names: str) -> str:
-    """SQL array of structs from the pieces: (gap, group, …) per match, tail left out."""
-    width = len(names)
-    fields = sql.struct(**{n: f"get(pieces, i * {width} + {at})" for at, n in enumerate(names)})
-    last = f"CAST((size(pieces) - 1) / {width} - 1 AS INT)"
-    none = sql.empty("array<struct<" + ",".join(f"{n}:string" for n in names) + ">>")
-    rows = f"transform(sequence(0, {last}), i -> {fields})"
-    return sql.bind(pieces, "pieces", f"CASE WHEN size(pieces) > 1 THEN {rows} ELSE {none} END")
 
 
 def _spans(text: str, pattern: Pattern) -> str:
@@ -68,14 +43,14 @@ def _spans(text: str, pattern: Pattern) -> str:
         f"{REGEX_FLAGS}{pattern.grouped}(?=(.{{0,{window}}}))",
         ["$0", "$1", f"${pattern.groups + 1}"],
     )
-    before = f"right(concat(acc.state.tail, item.gap), {window})"
-    start = "acc.state.stop + length(item.gap)"
+    before = f"right(concat(acc.state.tail, item.tail), {window})"
+    start = "acc.state.stop + item.skip"
     stop = f"{start} + length(item.match)"
     span = sql.struct(
         id="item.id", start=start, stop=stop, before=before, match="item.match", after="item.after"
     )
     spans = sql.fold(
-        rows_of(pieces, "gap", "match", "id", "after"),
+        rows_of(pieces, ["match", "id", "after"], window),
         sql.struct(stop="0", tail="''"),
         _SPAN,
         sql.struct(stop=stop, tail=f"right(concat({before}, item.match), {window})"),
@@ -89,12 +64,12 @@ def match_contexts(text: str, regex: str) -> Column:
     """Every match of ``regex`` (without groups), in text order: array of match, start_position, context."""
     window = fixed.CONTEXT_WINDOW
     pieces = split_at_matches(text, f"{REGEX_FLAGS}({regex})(?=((?s:.{{0,{window}}})))", ["$1", "$2"])
-    before = f"right(concat(acc.state.tail, item.gap), {window})"
-    start = "acc.state.stop + length(item.gap)"
+    before = f"right(concat(acc.state.tail, item.tail), {window})"
+    start = "acc.state.stop + item.skip"
     found = sql.struct(match="item.match", start_position=start, context=context_sql(before, "item.match", "item.after"))
     return F.expr(
         sql.fold(
-            rows_of(pieces, "gap", "match", "after"),
+            rows_of(pieces, ["match", "after"], window),
             sql.struct(stop="0", tail="''"),
             "struct<match:string,start_position:int,context:string>",
             sql.struct(stop=f"{start} + length(item.match)", tail=f"right(concat({before}, item.match), {window})"),
@@ -116,20 +91,33 @@ def _confidence(pattern: Pattern, surroundings: str) -> str:
     )
 
 
-def _pattern_hits(text: str, pattern: Pattern) -> str:
-    """Accepted matches of one identifier pattern, in text order."""
+def _hits_of(spans: str, pattern: Pattern, confidence: str) -> str:
     hit = sql.struct(
         checkov_id="s.id",
-        confidence=_confidence(pattern, "concat(s.before, s.match, s.after)"),
+        confidence=confidence,
         start_position="s.start",
         end_position="s.stop",
         context=context_sql("s.before", "s.match", "s.after"),
         pattern_name=sql.string(pattern.name),
     )
-    found = f"transform({_spans(text, pattern)}, s -> {hit})"
+    return f"transform({spans}, s -> {hit})"
+
+
+def _pattern_hits(text: str, pattern: Pattern) -> str:
+    """Accepted matches of one identifier pattern, in text order."""
+    around = "concat(s.before, s.match, s.after)"
+    found = _hits_of(_spans(text, pattern), pattern, _confidence(pattern, around))
     return _where_needed(text, pattern, found, sql.empty(HITS))
 
 
+def _anchored_hits(text: str, pattern: Pattern) -> str:
+    """The same from the anchors of the text, bound as ``anchors``."""
+    boosted = sql.double(pattern.confidence(True))
+    around = "concat(s.before, s.match, s.after)"
+    confidence = boosted if anchors.in_table(pattern) else _confidence(pattern, around)
+    return _hits_of(anchors.spans_sql(text, "anchors", pattern), pattern, confidence)
+
+
 def _captured(text: str, pattern: Pattern) -> str:
     return f"regexp_extract_all({text}, {sql.string(pattern.regex)}, 1)"
 
@@ -142,9 +130,15 @@ def _where_needed(text: str, pattern: Pattern, found: str, otherwise: str) -> st
     return f"CASE WHEN {needed} THEN {found} ELSE {otherwise} END"
 
 
-def _all_hits(text: str, patterns: list[Pattern]) -> str:
-    found = ", ".join(_pattern_hits(text, p) for p in patterns)
-    return f"CAST(concat({found}) AS {HITS})" if found else sql.empty(HITS)
+def _all_hits(text: str, patterns: list[Pattern], bound: bool = False) -> str:
+    """Hits of all patterns in their order; known ones share one scan of the text.
+
+    ``bound``: the anchors of the text already stand under their name.
+    """
+    known = [p for p in patterns if anchors.shape(p)]
+    found = ", ".join(_anchored_hits(text, p) if p in known else _pattern_hits(text, p) for p in patterns)
+    hits = f"CAST(concat({found}) AS {HITS})" if found else sql.empty(HITS)
+    return sql.bind(anchors.anchors_sql(text, known), "anchors", hits) if known and not bound else hits
 
 
 def _first_per_id(items: str) -> str:
@@ -233,11 +227,13 @@ def top_id_sql(text: str, patterns: str | list[Pattern] = "config") -> str:
     """
     ids = resolve(patterns)["id"]
     certain = list(takewhile(lambda p: p.confidence(False) >= 1.0, ids))
+    known = [p for p in ids if anchors.shape(p)]
     first = [
-        _where_needed(
-            text, p, f"get(filter({_captured(text, p)}, c -> {accept_sql('c')}), 0)", "NULL"
-        )
+        f"get({anchors.matches_sql('anchors', p)}, 0).id"
+        if anchors.shape(p)
+        else _where_needed(text, p, f"get(filter({_captured(text, p)}, c -> {accept_sql('c')}), 0)", "NULL")
         for p in certain
     ]
-    ranked = _ranked(_distinct(_all_hits(text, ids[len(certain) :])))
-    return f"coalesce({', '.join([*first, f'get({ranked}, 0).checkov_id'])})"
+    ranked = _ranked(_distinct(_all_hits(text, ids[len(certain) :], bound=bool(known))))
+    best = f"coalesce({', '.join([*first, f'get({ranked}, 0).checkov_id'])})"
+    return sql.bind(anchors.anchors_sql(text, known), "anchors", best) if known else best

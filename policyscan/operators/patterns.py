@@ -98,6 +98,10 @@ def _table(rows) -> list[Pattern]:
     return [Pattern(*row, needs=_needed_literal(row[1])) for row in rows]
 
 
+# How the known identifier patterns hang on their anchors (see ``operators.anchors``).
+_KNOWN = dict.fromkeys(p for n, p, _ in [*fixed.CONFIG_PATTERNS, *fixed.BUILTIN_PATTERNS] if kind_by_name(n) != "severity")
+SHAPES = dict(zip(_KNOWN, ("link", "cell_lines", "any_link", "cell", "field_lines", "field", "bracket"), strict=True))
+
 PATTERN_SETS = {
     "config": _table(fixed.CONFIG_PATTERNS),
     "builtin": _table(fixed.BUILTIN_PATTERNS),
