@@ -58,7 +58,35 @@ def manifest(
     files = reader.load(root)
     if max_mb is not None:
         files = files.filter(F.col("length") <= max_bytes(max_mb))
-    return files.select(
+    return _manifest_columns(files, root)
+
+
+MAX_PATHS = 50_000
+
+
+def _literal(path: str) -> str:
+    """A path whose glob characters stand for themselves."""
+    return "".join(f"\\{c}" if c in "\\{}[]*?" else c for c in path)
+
+
+def read_listed(spark: SparkSession, root: str, chosen: DataFrame, whole: DataFrame) -> DataFrame:
+    """The files of ``chosen`` (file) below ``root``; no other file is opened.
+
+    ``whole`` is the manifest of the folder.  Up to ``MAX_PATHS`` files are named to the
+    reader; of more, the whole folder is read and the chosen ones are kept.
+    """
+    names = [r["file"] for r in chosen.select("file").limit(MAX_PATHS + 1).collect()]
+    if not names:
+        return whole.limit(0)
+    if len(names) > MAX_PATHS:
+        return whole.join(chosen.select("file"), "file", "left_semi")
+    reader = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true")
+    found = reader.load([_literal(n) for n in names])
+    return _manifest_columns(found, root)
+
+
+def _manifest_columns(found: DataFrame, root: str) -> DataFrame:
+    return found.select(
         relative_to(F.col("path"), root).alias("path"),
         F.lit(root).alias("root"),
         F.col("path").alias("file"),
