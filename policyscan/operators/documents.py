@@ -186,6 +186,8 @@ def process_documents(
     validate: bool = True,
     matcher: Callable[[DataFrame], DataFrame] | None = None,
     validator: Callable[[DataFrame], Column] | None = None,
+    contexts: bool = True,
+    hashes: bool = True,
 ) -> DataFrame:
     """One result row per document(path, content, …).
 
@@ -193,7 +195,9 @@ def process_documents(
     empty hash, no issues.  ``matcher`` replaces the regex matcher: it adds
     ``hits`` and ``severities`` to the documents it is given.  ``validator``
     replaces the issue rules: it returns the issues column.  Other columns of the
-    documents are passed through.
+    documents are passed through.  Spark cannot prune what is computed behind a generator,
+    so callers that only count leave out ``contexts`` and ``hashes``: both are then NULL
+    (the hash of documents that fail the gate stays empty).
     """
     passed = process_gate(F.col("content"), min_content_length)
     # The matcher sees NULL for gated-out texts, so their regexes never run.
@@ -203,7 +207,7 @@ def process_documents(
     else:
         found = compute_once(
             gated,
-            hits=find_ids("content", patterns),
+            hits=find_ids("content", patterns, contexts),
             severities=find_severities("content", patterns),
         )
     text, hits, severities = F.col("content"), F.col("hits"), F.col("severities")
@@ -213,7 +217,7 @@ def process_documents(
             pair_severities("hits", "severities", "content"), F.array().cast(MATCHES)
         ),
         confidence=F.coalesce(overall_confidence(hits, severities), F.lit(0.0)),
-        content_hash=F.coalesce(sha256_16(text), F.lit("")),
+        content_hash=F.when(text.isNull(), "").otherwise(sha256_16(text) if hashes else F.lit(None).cast("string")),
     ).drop("content", "hits", "severities")
     results = primary_mapping(matched).withColumns(
         {
@@ -228,7 +232,7 @@ def process_documents(
         rules = validator(results) if validator else result_issues()
     checked = compute_once(
         results,
-        validation_issues=F.when(F.col("content_hash") != "", rules).otherwise(none),
+        validation_issues=F.when(~F.col("content_hash").eqNullSafe(""), rules).otherwise(none),
     )
     extra = [c for c in documents.columns if c not in ("path", "content")]
     return checked.select(*RESULT_COLUMNS, *extra)

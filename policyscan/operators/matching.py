@@ -91,31 +91,31 @@ def _confidence(pattern: Pattern, surroundings: str) -> str:
     )
 
 
-def _hits_of(spans: str, pattern: Pattern, confidence: str) -> str:
+def _hits_of(spans: str, pattern: Pattern, confidence: str, contexts: bool) -> str:
     hit = sql.struct(
         checkov_id="s.id",
         confidence=confidence,
         start_position="s.start",
         end_position="s.stop",
-        context=context_sql("s.before", "s.match", "s.after"),
+        context=context_sql("s.before", "s.match", "s.after") if contexts else "CAST(NULL AS STRING)",
         pattern_name=sql.string(pattern.name),
     )
     return f"transform({spans}, s -> {hit})"
 
 
-def _pattern_hits(text: str, pattern: Pattern) -> str:
+def _pattern_hits(text: str, pattern: Pattern, contexts: bool) -> str:
     """Accepted matches of one identifier pattern, in text order."""
     around = "concat(s.before, s.match, s.after)"
-    found = _hits_of(_spans(text, pattern), pattern, _confidence(pattern, around))
+    found = _hits_of(_spans(text, pattern), pattern, _confidence(pattern, around), contexts)
     return _where_needed(text, pattern, found, sql.empty(HITS))
 
 
-def _anchored_hits(text: str, pattern: Pattern) -> str:
+def _anchored_hits(text: str, pattern: Pattern, contexts: bool) -> str:
     """The same from the anchors of the text, bound as ``anchors``."""
     boosted = sql.double(pattern.confidence(True))
     around = "concat(s.before, s.match, s.after)"
     confidence = boosted if anchors.in_table(pattern) else _confidence(pattern, around)
-    return _hits_of(anchors.spans_sql(text, "anchors", pattern), pattern, confidence)
+    return _hits_of(anchors.spans_sql(text, "anchors", pattern), pattern, confidence, contexts)
 
 
 def _captured(text: str, pattern: Pattern) -> str:
@@ -130,13 +130,16 @@ def _where_needed(text: str, pattern: Pattern, found: str, otherwise: str) -> st
     return f"CASE WHEN {needed} THEN {found} ELSE {otherwise} END"
 
 
-def _all_hits(text: str, patterns: list[Pattern], bound: bool = False) -> str:
+def _all_hits(text: str, patterns: list[Pattern], bound: bool = False, contexts: bool = True) -> str:
     """Hits of all patterns in their order; known ones share one scan of the text.
 
-    ``bound``: the anchors of the text already stand under their name.
+    ``bound``: the anchors of the text already stand under their name.  ``contexts``: with
+    the readable surroundings of every hit, else NULL.
     """
     known = [p for p in patterns if anchors.shape(p)]
-    found = ", ".join(_anchored_hits(text, p) if p in known else _pattern_hits(text, p) for p in patterns)
+    found = ", ".join(
+        _anchored_hits(text, p, contexts) if p in known else _pattern_hits(text, p, contexts) for p in patterns
+    )
     hits = f"CAST(concat({found}) AS {HITS})" if found else sql.empty(HITS)
     return sql.bind(anchors.anchors_sql(text, known), "anchors", hits) if known and not bound else hits
 
@@ -183,9 +186,9 @@ def rank_hits(hits: str) -> Column:
     return F.expr(_ranked(hits))
 
 
-def find_ids(text: str, patterns: str | list[Pattern] = "config") -> Column:
+def find_ids(text: str, patterns: str | list[Pattern] = "config", contexts: bool = True) -> Column:
     """Distinct accepted identifiers of a text, best first."""
-    return F.expr(_ranked(_distinct(_all_hits(text, resolve(patterns)["id"]))))
+    return F.expr(_ranked(_distinct(_all_hits(text, resolve(patterns)["id"], contexts=contexts))))
 
 
 def severities_sql(text: str, patterns: str | list[Pattern] = "config") -> str:
@@ -234,6 +237,6 @@ def top_id_sql(text: str, patterns: str | list[Pattern] = "config") -> str:
         else _where_needed(text, p, f"get(filter({_captured(text, p)}, c -> {accept_sql('c')}), 0)", "NULL")
         for p in certain
     ]
-    ranked = _ranked(_distinct(_all_hits(text, ids[len(certain) :], bound=bool(known))))
+    ranked = _ranked(_distinct(_all_hits(text, ids[len(certain) :], bound=bool(known), contexts=False)))
     best = f"coalesce({', '.join([*first, f'get({ranked}, 0).checkov_id'])})"
     return sql.bind(anchors.anchors_sql(text, known), "anchors", best) if known else best

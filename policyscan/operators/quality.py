@@ -201,18 +201,40 @@ def spread_issues(matches: DataFrame) -> DataFrame:
     return issue_rows(ranges, _present(found))
 
 
+def _new_id() -> Column:
+    message = "New Checkov ID not in existing database"
+    return issue("INFO", "NEW_CHECKOV_ID", message, F.col("path"), F.col("checkov_id"))
+
+
+def _mismatch() -> Column:
+    message = F.concat(
+        F.lit("Severity mismatch: found "),
+        F.col("severity"),
+        F.lit(", database has "),
+        F.col("existing_severity"),
+    )
+    return issue("WARNING", "SEVERITY_MISMATCH", message, F.col("path"), F.col("checkov_id"))
+
+
+def database_match_issues(matches: DataFrame, database: DataFrame) -> DataFrame:
+    """NEW_CHECKOV_ID and SEVERITY_MISMATCH of matches, from one join with the database.
+
+    Only path, identifier and severity of the matches are moved.
+    """
+    stored = database.select("checkov_id", F.col("severity").alias("existing_severity"), F.lit(True).alias("known"))
+    narrow = matches.select("path", "checkov_id", "severity")
+    joined = salted_join(narrow, stored, "checkov_id", "path", "left")
+    differs = (F.col("severity") != "") & (F.col("severity") != F.col("existing_severity"))
+    unknown = F.col("known").isNull() & F.col("filled")
+    joined = joined.withColumn("filled", database.select("checkov_id").exists())
+    return issue_rows(joined, _present(F.when(unknown, _new_id()), F.when(differs, _mismatch())))
+
+
 def new_id_issues(matches: DataFrame, database: DataFrame) -> DataFrame:
     """NEW_CHECKOV_ID for matches whose identifier is not in a non-empty database."""
     known = database.select("checkov_id")
     unknown = salted_join(matches, known, "checkov_id", "path", "left_anti").filter(known.exists())
-    found = issue(
-        "INFO",
-        "NEW_CHECKOV_ID",
-        "New Checkov ID not in existing database",
-        F.col("path"),
-        F.col("checkov_id"),
-    )
-    return unknown.select(found.alias("i")).select("i.*")
+    return unknown.select(_new_id().alias("i")).select("i.*")
 
 
 def severity_mismatches(matches: DataFrame, database: DataFrame) -> DataFrame:
@@ -224,19 +246,7 @@ def severity_mismatches(matches: DataFrame, database: DataFrame) -> DataFrame:
 
 
 def severity_mismatch_issues(matches: DataFrame, database: DataFrame) -> DataFrame:
-    found = issue(
-        "WARNING",
-        "SEVERITY_MISMATCH",
-        F.concat(
-            F.lit("Severity mismatch: found "),
-            F.col("severity"),
-            F.lit(", database has "),
-            F.col("existing_severity"),
-        ),
-        F.col("path"),
-        F.col("checkov_id"),
-    )
-    return severity_mismatches(matches, database).select(found.alias("i")).select("i.*")
+    return severity_mismatches(matches, database).select(_mismatch().alias("i")).select("i.*")
 
 
 # --- database rules -----------------------------------------------------------
@@ -505,11 +515,5 @@ def validate_results(results: DataFrame, database: DataFrame | None = None) -> D
     rows = issue_rows(results, "validation_issues")
     if database is None:
         return rows
-    matches = results.select("path", F.explode("matches").alias("m")).select("path", "m.*")
-    return rows.unionByName(new_id_issues(matches, database)).unionByName(
-        severity_mismatch_issues(matches, database)
-    )
-
-
-def by_file_order(issues: DataFrame) -> DataFrame:
-    return issues.orderBy(path_key(F.col("file_path")), "code", "checkov_id")
+    matches = results.select("path", F.explode("matches").alias("m")).select("path", "m.checkov_id", "m.severity")
+    return rows.unionByName(database_match_issues(matches, database))

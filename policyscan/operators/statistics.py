@@ -162,11 +162,15 @@ def throughput(results: DataFrame, started: Column, ended: Column) -> DataFrame:
     )
 
 
-def statistics_report(results: DataFrame) -> DataFrame:
+def statistics_report(
+    results: DataFrame, files_found: int | None = None, timing: dict[str, float] | None = None
+) -> DataFrame:
     """The whole report in long form: (section, name, value), values as numbers.
 
     One pass over the results: each row is expanded into the counters it touches,
-    and those are summed by name.
+    and those are summed by name.  Percents and the average size follow from the sums.
+    ``files_found`` comes from the listing (all result rows without one), ``timing`` from
+    a measured run.
     """
 
     def counter(section: str, name: Column | str, value: Column) -> Column:
@@ -202,4 +206,53 @@ def statistics_report(results: DataFrame) -> DataFrame:
         "errors", lambda e: counter("error_categories", error_category(e), one)
     )
     counters = results.select(F.inline(F.concat(single, grouped, patterns, errors)))
-    return counters.groupBy("section", "name").agg(F.sum("value").alias("value"))
+    sums = counters.groupBy("section", "name").agg(F.sum("value").alias("value"))
+
+    def total(name: str) -> Column:
+        return F.coalesce(F.max(F.when(F.col("name") == name, F.col("value"))), F.lit(0.0))
+
+    processed = total("total_files_processed")
+    found = processed if files_found is None else F.lit(float(files_found))
+    derived = {
+        ("extraction_summary", "total_files_found"): found,
+        ("extraction_summary", "success_rate_percent"): F.round(_mean(total("successful_extractions") * 100, processed), 2),
+        ("extraction_summary", "error_rate_percent"): F.round(_mean(total("failed_extractions") * 100, processed), 2),
+        ("data_summary", "average_file_size_bytes"): F.round(_mean(total("total_bytes_processed"), total("sized_files")), 2),
+    }
+    derived |= {("timing", name): F.lit(float(value)) for name, value in (timing or {}).items()}
+    fixed_names = ["total_files_processed", "successful_extractions", "failed_extractions", "total_bytes_processed", "sized_files"]
+    # A handful of rows remain here: the sums that the derived figures need.
+    needed = sums.filter(F.col("section").isin("extraction_summary", "data_summary") & F.col("name").isin(fixed_names))
+    rows = [counter(section, name, value) for (section, name), value in derived.items()]
+    return sums.unionByName(needed.agg(F.array(*rows).alias("rows")).select(F.inline("rows")))
+
+
+def extraction_summary(resolved: DataFrame, conflicts: DataFrame, errors: DataFrame, limit: int = fixed.SUMMARY_LIST_LIMIT) -> DataFrame:
+    """One row: counts, and the first conflicts and errors in file order.
+
+    ``resolved`` is the state per identifier, ``conflicts`` the conflicting files and
+    ``errors`` (file_path, error) the files that could not be processed.
+    """
+
+    def first(rows: DataFrame, fields: list[str], name: str) -> DataFrame:
+        """Count of the rows and the first of them, sorted by at most ``limit`` rows a task."""
+        order = path_key(F.col("file_path"))
+        top = rows.select(order.alias("_order"), *fields).orderBy("_order").limit(limit)
+        listed = F.transform(F.array_sort(F.collect_list(F.struct("_order", *fields))), lambda r: F.struct(*[r[f] for f in fields]))
+        return top.agg(listed.alias(name))
+
+    totals = resolved.agg(
+        F.count("*").alias("total_mappings"),
+        F.coalesce(F.sum("conflicting"), F.lit(0)).alias("duplicate_conflicts"),
+    )
+    failed = errors.agg(F.count("*").alias("processing_errors"))
+    parts = [
+        totals,
+        failed,
+        first(errors, ["file_path", "error"], "errors"),
+        first(conflicts, ["checkov_id", "existing_severity", "new_severity", "file_path"], "conflicts"),
+    ]
+    joined = parts[0].withColumn("_one", F.lit(1))
+    for part in parts[1:]:  # one row each
+        joined = joined.join(part.withColumn("_one", F.lit(1)), "_one")
+    return joined.drop("_one")

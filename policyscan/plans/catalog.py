@@ -7,6 +7,7 @@ places so that engines that add in another order agree.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,14 +18,14 @@ from policyscan.frames import compute_once
 from policyscan.functions import ids, paths, text
 from policyscan.operators import database as db
 from policyscan.operators import documents as docs
-from policyscan.operators import matching, quality, statistics
+from policyscan.operators import matching, quality, runs, statistics
 from policyscan.operators.matchers import text_matcher
 from policyscan.operators.patterns import Pattern
 from policyscan.plans import corpus
-from policyscan.session import stage
+from policyscan.session import stage, staging_dir
 from policyscan.sinks import documents as sinks
 from policyscan.sources import database_json, files
-from policyscan.streaming import refresh
+from policyscan.streaming import refresh, snapshots
 
 STAMP = "2024-01-02T03:04:05"
 EARLIER = "1998-01-01"
@@ -57,6 +58,11 @@ def unchecked(spark: SparkSession, sf: str) -> DataFrame:
     return results(spark, sf, validate=False)
 
 
+def counted(spark: SparkSession, sf: str) -> DataFrame:
+    """Results for queries that only count or join: no issues, contexts or hashes."""
+    return results(spark, sf, validate=False, contexts=False, hashes=False)
+
+
 def found(spark: SparkSession, sf: str) -> DataFrame:
     return docs.found_mappings(pages(spark, sf))
 
@@ -70,7 +76,7 @@ def staged_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def matches(spark: SparkSession, sf: str) -> DataFrame:
-    return docs.exploded_matches(unchecked(spark, sf))
+    return docs.exploded_matches(counted(spark, sf))
 
 
 def noted_results(spark: SparkSession, sf: str) -> DataFrame:
@@ -94,7 +100,7 @@ def noted_results(spark: SparkSession, sf: str) -> DataFrame:
     warnings = F.array_compact(
         F.array(F.when(F.contains(path, F.lit("index")), F.lit("looks like an index page")))
     )
-    return unchecked(spark, sf).withColumns({"errors": errors, "warnings": warnings})
+    return counted(spark, sf).withColumns({"errors": errors, "warnings": warnings})
 
 
 def document_rows(frame: DataFrame) -> DataFrame:
@@ -178,20 +184,6 @@ def previous_run(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def previous_results(spark: SparkSession, sf: str) -> DataFrame:
-    """Results of an earlier run, in which open orders had no severity yet."""
-    pages_then = corpus.policy_pages(spark, sf).filter(F.col("modificationTime") < EARLIER)
-    then = text.newlines(content())
-    draft = F.when(
-        F.col("o_orderstatus") == "O", F.replace(then, F.lit("|Severity"), F.lit("|Level"))
-    ).otherwise(then)
-    documents = pages_then.select("path", draft.alias("content")).withColumn(
-        "text_hash", text.sha256_16(content())
-    )
-    done = docs.process_documents(documents, validate=False)
-    return stage(done.select("path", "checkov_id", "severity", "text_hash"), "previous")
-
-
 # --- the queries --------------------------------------------------------------
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -297,7 +289,9 @@ def read_encoding_choice(spark, sf):
 
 @query
 def read_batch(spark, sf):
-    return files.batch_counts(manifest(spark, sf))
+    """Files of the listing, and how many of them reading brought; the rest failed."""
+    found = manifest(spark, sf).withColumn("file", F.col("path"))
+    return files.batch_counts(found, files.listing(found))
 
 
 @query
@@ -662,7 +656,7 @@ def pair_nearest(spark, sf):
 
 @query
 def primary_mapping(spark, sf):
-    return unchecked(spark, sf).select(
+    return counted(spark, sf).select(
         "path", "raw_checkov_id", "raw_severity", "checkov_id", "severity", "provider"
     )
 
@@ -742,7 +736,7 @@ def mappings_first_wins(spark, sf):
 @query
 def conflicts(spark, sf):
     """The same conflicts from full result rows."""
-    done = docs.result_mappings(unchecked(spark, sf))
+    done = docs.result_mappings(counted(spark, sf))
     return db.conflicts(stage(done, "found"))
 
 
@@ -785,13 +779,13 @@ def _rounded(frame: DataFrame, *names: str) -> DataFrame:
 
 @query
 def result_statistics(spark, sf):
-    row = statistics.result_statistics(unchecked(spark, sf))
+    row = statistics.result_statistics(counted(spark, sf))
     return _rounded(row, "average_confidence", "min_confidence", "max_confidence")
 
 
 @query
 def summary_rates(spark, sf):
-    row = statistics.summary_rates(unchecked(spark, sf))
+    row = statistics.summary_rates(counted(spark, sf))
     return _rounded(row, "success_rate", "average_confidence")
 
 
@@ -809,14 +803,19 @@ def processing_summary(spark, sf):
     return _rounded(row, "success_rate", "average_confidence")
 
 
+def unreadable(spark: SparkSession, sf: str) -> DataFrame:
+    """(file_path, error) of the files that cannot be read."""
+    failed = manifest(spark, sf).filter(~files.is_readable())
+    return failed.select(F.col("path").alias("file_path"), F.concat(F.lit("Cannot read "), "path").alias("error"))
+
+
 @query
 def extraction_summary(spark, sf):
-    totals = db.resolved(found(spark, sf)).agg(
-        F.count("*").alias("total_mappings"),
-        F.coalesce(F.sum("conflicting"), F.lit(0)).alias("duplicate_conflicts"),
-    )
-    errors = manifest(spark, sf).select(F.count_if(~files.is_readable())).scalar()
-    return totals.withColumn("processing_errors", errors)
+    rows = staged_found(spark, sf)
+    summary = statistics.extraction_summary(db.resolved(rows), db.conflicts(rows), unreadable(spark, sf))
+    errors = F.array_join(F.transform("errors", lambda e: e["error"]), ";")
+    lists = F.array_join(F.transform("conflicts", lambda c: F.concat_ws("|", c["checkov_id"], c["existing_severity"], c["new_severity"], c["file_path"])), ";")
+    return summary.withColumns({"errors": errors, "conflicts": lists})
 
 
 @query
@@ -826,12 +825,12 @@ def run_statistics(spark, sf):
 
 @query
 def provider_counts(spark, sf):
-    return statistics.provider_counts(unchecked(spark, sf))
+    return statistics.provider_counts(counted(spark, sf))
 
 
 @query
 def pattern_counts(spark, sf):
-    return statistics.pattern_counts(unchecked(spark, sf))
+    return statistics.pattern_counts(counted(spark, sf))
 
 
 @query
@@ -839,23 +838,34 @@ def error_category_counts(spark, sf):
     return statistics.error_category_counts(noted_results(spark, sf))
 
 
+def _light(documents: DataFrame) -> DataFrame:
+    return docs.process_documents(documents, validate=False, contexts=False, hashes=False)
+
+
+def _measured(spark: SparkSession, sf: str) -> runs.Measured:
+    return runs.measured_run(manifest(spark, sf), f"{staging_dir(spark)}/run-{uuid.uuid4().hex}", _light)
+
+
 @query
 def throughput(spark, sf):
-    """Rates of a run that lasted from the oldest to the newest page, in time stamps."""
-    frame = corpus.policy_pages(spark, sf).select(
-        "path",
-        "modificationTime",
-        text.newlines(content()).alias("content"),
-        F.octet_length("content").cast("bigint").alias("file_size"),
-    )
-    done = docs.process_documents(frame, validate=False)
-    row = statistics.throughput(done, F.min("modificationTime"), F.max("modificationTime"))
-    return _rounded(row, "files_per_second", "mb_per_second")
+    """Counters observed while the results are written; the rates are those of the measured time."""
+    run = _measured(spark, sf)
+    agrees = abs(run.files_per_second * run.duration_seconds - run.total_files_processed) < 1e-3
+    agrees &= abs(run.mb_per_second * run.duration_seconds * (1 << 20) - run.total_bytes_processed) < 1
+    names = [
+        "total_files_found", "files_read", "files_failed", "total_files_processed", "successful_extractions",
+        "failed_extractions", "files_with_matches", "total_matches", "total_bytes_processed",
+    ]
+    row = [run.row()[n] for n in names] + [bool(agrees and run.duration_seconds > 0)]
+    return spark.createDataFrame([row], ", ".join(f"{n} long" for n in names) + ", rates_agree boolean")
 
 
 @query
 def statistics_report(spark, sf):
-    return statistics.statistics_report(noted_results(spark, sf))
+    listed = files.listing(manifest(spark, sf)).select(F.count("*")).scalar().cast("double")
+    report = statistics.statistics_report(noted_results(spark, sf))
+    number = F.when(F.col("name") == "total_files_found", listed).otherwise(F.col("value"))
+    return report.withColumn("value", number)
 
 
 @query
@@ -907,7 +917,8 @@ def dq_against_db(spark, sf):
 
 @query
 def dq_result(spark, sf):
-    done = stage(results(spark, sf).select("path", "matches", "validation_issues"), "results")
+    done = results(spark, sf, contexts=False, hashes=False).select("path", "matches", "validation_issues")
+    done = stage(done, "results")
     return _columns(quality.validate_results(done, corpus.existing_database(spark, sf)))
 
 
@@ -983,8 +994,8 @@ def db_integrity(spark, sf):
 
 @query
 def topk_providers(spark, sf):
-    rows = stage(unchecked(spark, sf).select("path", "provider", "checkov_id", "severity"), "rows")
-    return _rounded(statistics.top_providers(rows, 5), "percentage")
+    rows = stage(counted(spark, sf).select("path", "provider", "checkov_id", "severity"), "rows")
+    return _rounded(statistics.top_providers(rows), "percentage")
 
 
 @query
@@ -999,7 +1010,10 @@ def error_categories_sorted(spark, sf):
 
 @query
 def limit_first_10(spark, sf):
-    return db.first_conflicts(staged_found(spark, sf))
+    """The first conflicts and the first errors, in file order."""
+    first = db.first_conflicts(staged_found(spark, sf)).withColumn("kind", F.lit("conflict"))
+    errors = unreadable(spark, sf).orderBy(paths.path_key(F.col("file_path"))).limit(fixed.SUMMARY_LIST_LIMIT)
+    return first.unionByName(errors.withColumn("kind", F.lit("error")), allowMissingColumns=True)
 
 
 # Incremental work and hooks -----------------------------------------------------
@@ -1012,9 +1026,69 @@ def incremental_changed(spark, sf):
     )
 
 
+def folder_then(spark: SparkSession, sf: str) -> DataFrame:
+    """The folder of an earlier run, as files: old pages only, drafts of open orders."""
+    pages_then = corpus.policy_pages(spark, sf).filter(F.col("modificationTime") < EARLIER)
+    then = text.newlines(content())
+    draft = F.replace(then, F.lit("|Severity"), F.lit("|Level"))
+    return _as_files(pages_then.withColumn("content", F.when(F.col("o_orderstatus") == "O", draft).otherwise(then)))
+
+
+def folder_now(spark: SparkSession, sf: str) -> DataFrame:
+    """The folder now, as files."""
+    return _as_files(corpus.policy_pages(spark, sf).withColumn("content", text.newlines(content())))
+
+
+def _as_files(frame: DataFrame) -> DataFrame:
+    size = F.octet_length("content").cast("bigint").alias("length")
+    return frame.select("k", "path", F.col("path").alias("file"), size, "modificationTime", "content")
+
+
+@query
+def incremental_listing(spark, sf):
+    """New, edited and removed files between two listings."""
+    now = folder_now(spark, sf).filter(F.col("k") % 11 != 0)
+    return snapshots.changes(files.listing(now), files.listing(folder_then(spark, sf))).select("path", "change")
+
+
 @query
 def incremental_refresh(spark, sf):
-    return refresh.refreshed_mappings(pages(spark, sf), previous_results(spark, sf))
+    """The mapping table of a store that saw the folder then and now."""
+    store = snapshots.Store(
+        spark, f"{staging_dir(spark)}/store-{uuid.uuid4().hex}", _light, ["path", "checkov_id", "severity"], buckets=16
+    )
+    for folder in (folder_then(spark, sf), folder_now(spark, sf)):
+        texts = folder.select("path", "content")
+        store.update(files.listing(folder), lambda chosen, texts=texts: texts.join(chosen.select("path"), "path", "left_semi"))
+    return store.mappings()
+
+
+def urgent_rules(results: DataFrame) -> Column:
+    """A validator of one's own: one issue for every critical page, no others."""
+    found = quality.issue("ERROR", "URGENT", F.concat(F.lit("Critical: "), "checkov_id"), F.col("path"), F.col("checkov_id"))
+    critical = (F.col("severity") == "CRITICAL") & F.col("checkov_id").isNotNull()
+    return F.when(critical, F.array(found)).otherwise(F.array().cast(quality.ISSUES))
+
+
+@query
+def custom_validator(spark, sf):
+    done = results(spark, sf, validator=urgent_rules, contexts=False, hashes=False)
+    return _columns(quality.issue_rows(done, "validation_issues"))
+
+
+@query
+def read_report(spark, sf):
+    """The full content reader: encoding, cleaning and what it changed."""
+    declared = corpus.declared_files(spark, sf)
+    found = declared.withColumn("length", F.octet_length("content").cast("bigint"))
+    read = files.read_with_report(found)
+    return read.select(
+        "path",
+        "encoding",
+        F.length("content").alias("chars"),
+        F.md5(F.encode("content", "UTF-8")).alias("digest"),
+        F.array_join("preprocessing_applied", ",").alias("applied"),
+    )
 
 
 @query

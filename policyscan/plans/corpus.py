@@ -13,7 +13,7 @@ from policyscan.frames import compute_once
 from policyscan.functions import sql
 from policyscan.functions.text import newlines
 
-PROVIDER_CYCLE = ["AWS", "AZURE", "GCP", "K8S", "GIT", "DOCKER", "ALI"]
+PROVIDER_CYCLE = ["AWS", "AZURE", "GCP", "K8S", "GIT", "DOCKER", "ALI", "IBM", "OCI", "TF", "LIC", "SAST", "OPENAPI"]
 NOISE = "\x01\x02\x03\x04" * 16
 
 # Page layouts; {prose} is a whole document.

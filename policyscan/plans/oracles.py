@@ -731,7 +731,10 @@ FROM found LEFT JOIN (VALUES {", ".join(f"('{n}', '{c}')" for n, c in fixed.PROV
         "f_results",
     ),
     "extraction_summary": sql(
-        "SELECT count(DISTINCT checkov_id) AS total_mappings, count(*) FILTER (severity <> existing) AS duplicate_conflicts, (SELECT count(*) FROM manifest WHERE NOT readable) AS processing_errors FROM firsts",
+        """SELECT count(DISTINCT checkov_id) AS total_mappings, count(*) FILTER (severity <> existing) AS duplicate_conflicts, (SELECT count(*) FROM manifest WHERE NOT readable) AS processing_errors,
+  (SELECT string_agg('Cannot read ' || path, ';' ORDER BY string_split(path, '/')) FROM (SELECT path FROM manifest WHERE NOT readable ORDER BY string_split(path, '/') LIMIT 10)) AS errors,
+  coalesce((SELECT string_agg(checkov_id || '|' || existing || '|' || severity || '|' || path, ';' ORDER BY string_split(path, '/'))
+   FROM (SELECT * FROM firsts WHERE severity <> existing ORDER BY string_split(path, '/') LIMIT 10)), '') AS conflicts FROM firsts""",
         "firsts",
         "manifest",
     ),
@@ -749,13 +752,19 @@ FROM (SELECT *, checkov_id IS NOT NULL AND severity IS NOT NULL AS ok FROM noted
     "pattern_counts": sql("SELECT pattern_name, count(*) AS match_count FROM c_ids GROUP BY 1", "c_ids"),
     "error_category_counts": sql("SELECT category, count(*) AS error_count FROM notes GROUP BY 1", "notes"),
     "throughput": sql(
-        """SELECT n AS total_files_processed, b AS total_bytes_processed, s AS duration_seconds, round(n / s, 6) AS files_per_second, round(b / (1024 * 1024) / s, 6) AS mb_per_second
-FROM (SELECT count(*) AS n, sum(file_size) AS b, CAST(epoch(max(mtime)) - epoch(min(mtime)) AS DOUBLE) AS s FROM docs)""",
-        "docs",
+        """SELECT (SELECT count(*) FROM manifest) AS total_files_found, count(*) AS files_read, (SELECT count(*) FROM manifest WHERE NOT readable) AS files_failed, count(*) AS total_files_processed,
+  count(*) FILTER (checkov_id IS NOT NULL AND severity IS NOT NULL) AS successful_extractions, count(*) FILTER (checkov_id IS NULL OR severity IS NULL) AS failed_extractions,
+  count(*) FILTER (match_count > 0) AS files_with_matches, sum(match_count)::BIGINT AS total_matches, (SELECT sum(length) FROM manifest WHERE readable)::BIGINT AS total_bytes_processed, true AS rates_agree FROM f_results""",
+        "f_results",
+        "manifest",
     ),
     "statistics_report": sql(
         """SELECT section, name, CAST(value AS DOUBLE) AS value FROM (
 SELECT 'extraction_summary' AS section, 'total_files_processed' AS name, count(*) AS value FROM noted
+UNION ALL SELECT 'extraction_summary', 'total_files_found', (SELECT count(*) FROM orders)
+UNION ALL SELECT 'extraction_summary', 'success_rate_percent', round((SELECT count(*) FROM found) * 100 / count(*), 2) FROM noted
+UNION ALL SELECT 'extraction_summary', 'error_rate_percent', round((count(*) - (SELECT count(*) FROM found)) * 100 / count(*), 2) FROM noted
+UNION ALL SELECT 'data_summary', 'average_file_size_bytes', round(sum(file_size) / count(*) FILTER (file_size > 0), 2) FROM noted
 UNION ALL SELECT 'extraction_summary', 'successful_extractions', (SELECT count(*) FROM found)
 UNION ALL SELECT 'extraction_summary', 'failed_extractions', count(*) - (SELECT count(*) FROM found) FROM noted
 UNION ALL SELECT 'data_summary', 'total_bytes_processed', sum(file_size) FROM noted
@@ -834,7 +843,7 @@ FROM c_results r LEFT JOIN (SELECT file_path, count(*) FILTER (level = 'ERROR')
     # sorted lists
     "topk_providers": sql(
         """SELECT split_part(checkov_id, '_', 2) AS provider, count(*) AS file_count, round(count(*) / (SELECT count(*) FROM found) * 100, 6) AS percentage
-FROM found GROUP BY 1 ORDER BY 2 DESC, min(string_split(path, '/')) LIMIT 5""",
+FROM found GROUP BY 1 ORDER BY 2 DESC, min(string_split(path, '/')) LIMIT 10""",
         "found",
     ),
     "severity_distribution_sorted": sql(
@@ -843,14 +852,38 @@ FROM found GROUP BY 1 ORDER BY 2 DESC, min(string_split(path, '/')) LIMIT 5""",
     ),
     "error_categories_sorted": sql("SELECT category, count(*) AS error_count FROM notes GROUP BY 1 ORDER BY 2 DESC, 1", "notes"),
     "limit_first_10": sql(
-        "SELECT checkov_id, existing AS existing_severity, severity AS new_severity, path AS file_path FROM firsts WHERE severity <> existing ORDER BY string_split(path, '/') LIMIT 10",
+        """(SELECT checkov_id, existing AS existing_severity, severity AS new_severity, path AS file_path, 'conflict' AS kind, NULL::VARCHAR AS error FROM firsts WHERE severity <> existing ORDER BY string_split(path, '/') LIMIT 10)
+UNION ALL (SELECT NULL, NULL, NULL, path, 'error', 'Cannot read ' || path FROM manifest WHERE NOT readable ORDER BY string_split(path, '/') LIMIT 10)""",
         "firsts",
+        "manifest",
     ),
     # incremental work and hooks
     "incremental_changed": sql(
-        f"SELECT d.path, {sha16('content')} AS text_hash FROM docs d LEFT JOIN previous_run p ON p.path = d.path WHERE p.text_hash IS NULL OR p.text_hash <> {sha16('content')}",
+        f"""SELECT path, now AS text_hash FROM (SELECT path, now, CASE WHEN mtime < '{EARLIER}' THEN CASE WHEN o_orderstatus = 'O' THEN {sha16("content || 'draft'")} ELSE now END END AS before
+  FROM (SELECT *, {sha16('content')} AS now FROM docs)) WHERE before IS NULL OR before <> now""",
+        "docs",
+    ),
+    "incremental_listing": sql(
+        """SELECT coalesce(n.path, t.path) AS path, CASE WHEN t.path IS NULL THEN 'new' WHEN n.path IS NULL THEN 'removed' ELSE 'edited' END AS change
+FROM (SELECT path, octet_length(encode(content)) AS length FROM docs WHERE k % 11 <> 0) n
+FULL JOIN (SELECT path, octet_length(encode(content)) AS length FROM draft_docs) t ON n.path = t.path WHERE n.path IS NULL OR t.path IS NULL OR n.length <> t.length""",
         "docs",
-        "previous_run",
+        "draft_docs",
+    ),
+    "custom_validator": sql(
+        "SELECT 'ERROR' AS level, 'URGENT' AS code, 'Critical: ' || checkov_id AS message, path AS file_path, checkov_id FROM c_results WHERE severity = 'CRITICAL' AND checkov_id IS NOT NULL",
+        "c_results",
+    ),
+    "read_report": sql(
+        f"""SELECT path, encoding, length(t) AS chars, md5(t) AS digest, array_to_string(list_filter([
+    CASE WHEN contains(s, repeat(chr(10), 4)) THEN 'reduced_excessive_blank_lines' END,
+    CASE WHEN c <> {composed('c')} THEN 'unicode_normalization' END,
+    CASE WHEN c[1] = chr(65279) THEN 'removed_bom' END], lambda x: x IS NOT NULL), ',') AS applied
+FROM (SELECT *, CASE WHEN c[1] = chr(65279) THEN {composed('c')}[2:] ELSE {composed('c')} END AS t FROM (SELECT *, {collapsed('s')} AS c FROM (SELECT *, {stripped(newlines('raw'))} AS s FROM (
+  SELECT path, CASE k % 7 WHEN 4 THEN 'utf-16' WHEN 5 THEN 'utf-8-sig' WHEN 6 THEN 'utf-8' WHEN 1 THEN 'utf-8' WHEN 3 THEN 'utf-8'
+    ELSE CASE WHEN regexp_matches(content, '[^\\x00-\\x7f]') THEN 'utf-8' ELSE 'ascii' END END AS encoding,
+    CASE WHEN k % 7 IN (1, 3) THEN {PLAIN} || chr(65533) || 't' || chr(65533) WHEN k % 7 = 6 THEN '' ELSE content END AS raw FROM pages))))""",
+        "pages",
     ),
     # The refreshed table must equal the one made from scratch.
     "incremental_refresh": sql("SELECT * FROM mappings", "mappings"),

@@ -27,6 +27,14 @@ CHECKED = [
     "incremental_refresh",
     "custom_matcher",
     "custom_patterns",
+    "custom_validator",
+    "extraction_summary",
+    "incremental_changed",
+    "incremental_listing",
+    "limit_first_10",
+    "read_report",
+    "throughput",
+    "topk_providers",
 ]
 
 
