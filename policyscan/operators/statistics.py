@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from policyscan import fixed
 from policyscan.functions.ids import error_category
 from policyscan.functions.paths import path_key
+from policyscan.session import stage
 
 
 def has_matches() -> Column:
@@ -206,7 +207,8 @@ def statistics_report(
         "errors", lambda e: counter("error_categories", error_category(e), one)
     )
     counters = results.select(F.inline(F.concat(single, grouped, patterns, errors)))
-    sums = counters.groupBy("section", "name").agg(F.sum("value").alias("value"))
+    # Written once: the sums are listed, and the derived figures are made from them.
+    sums = stage(counters.groupBy("section", "name").agg(F.sum("value").alias("value")), "report-sums")
 
     def total(name: str) -> Column:
         return F.coalesce(F.max(F.when(F.col("name") == name, F.col("value"))), F.lit(0.0))

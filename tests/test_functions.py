@@ -58,10 +58,10 @@ def test_collapse_blank_lines(spark):
 @pytest.mark.parametrize(
     "value, parts",
     [
-        ("CKV_AWS_123", ("CKV_AWS_123", "CKV", "AWS", "123")),
+        ("CKV_IBM_58", ("CKV_IBM_58", "CKV", "IBM", "58")),
         ("ckv_k8s_40", ("CKV_K8S_40", "CKV", "K8S", "40")),
-        ("CKV2_GCP_45", ("CKV2_GCP_45", "CKV2", "GCP", "45")),
-        ("CKV3_SAST_96", ("CKV3_SAST_96", "CKV3", "SAST", "96")),
+        ("CKV2_OCI_7", ("CKV2_OCI_7", "CKV2", "OCI", "7")),
+        ("CKV3_TF_181", ("CKV3_TF_181", "CKV3", "TF", "181")),
         (" BC_LIC_3\n", ("BC_LIC_3", "BC", "LIC", "3")),
         ("CKV_AWS_1_2", ("CKV_AWS_1_2", "CKV", "AWS", "1_2")),
         ("CKV_3A_1", ("CKV_3A_1", "CKV", "3A", "1")),
