@@ -19,6 +19,9 @@ Defined results
     pipeline's ``clean``) rows of one site with equal texts count as one page, in the
     line counts and in the site's total, so copies do not make each other boilerplate
     lines in fewer than ``min_pages`` pages of a site stay
+    near copies (``copy_share``, in the pipeline's ``clean``): a page of whose worded lines
+    that share or more is frequent is a copy of other pages rather than their frame, and
+    comes back as it is; the near-dup stage then keeps one of the group
     extra input columns: kept apart from the working columns, whatever their names
 """
 
@@ -31,6 +34,7 @@ from policyscan.session import stage
 
 BOILERPLATE_RATIO = 0.05
 MIN_PAGES = 3
+COPY_SHARE = 0.8
 
 SPACES = r"' \t\n\u000B\u000C\r'"
 
@@ -75,6 +79,7 @@ def dedup(
     ratio: float = BOILERPLATE_RATIO,
     min_pages: int = MIN_PAGES,
     copies_once: bool = False,
+    copy_share: float | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: ``row`` (a struct of its columns), n_lines, n_dropped, clean_text."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
@@ -95,6 +100,10 @@ def dedup(
             f" ELSE filter(lines, l -> NOT ({_has_word('l')} AND array_contains(frequent, {_key('l')}))) END"
         ),
     )
+    if copy_share is not None:
+        worded = f"size(filter(lines, l -> {_has_word('l')}))"
+        copied = f"size(lines) - size(stay) >= {float(copy_share)!r}D * {worded}"
+        judged = judged.withColumn("stay", F.expr(f"CASE WHEN {copied} THEN lines ELSE stay END"))
     return judged.select(
         "row",
         F.expr(f"CAST(size(filter(lines, l -> {_has_word('l')})) AS bigint)").alias("n_lines"),
@@ -106,9 +115,9 @@ def dedup(
 def clean(docs: DataFrame, site_col: str = "source", text_col: str = "text", **settings) -> DataFrame:
     """``docs`` with boilerplate lines removed; ``n_chars`` is brought up to date.
 
-    Rows of one site with equal texts count as one page.
+    Rows of one site with equal texts count as one page, and near copies stay whole.
     """
-    judged = dedup(docs, site_col, text_col, **({"copies_once": True} | settings))
+    judged = dedup(docs, site_col, text_col, **({"copies_once": True, "copy_share": COPY_SHARE} | settings))
     values = {c: F.col("row")[c] for c in docs.columns}
     values[text_col] = F.col("clean_text")
     if "n_chars" in values:

@@ -6,8 +6,9 @@ words; the excess is shared by weight among the others until none is above.
 
 Quotas: the documents of a source are put in hash order, laid end to end by their words,
 and cut into blocks of about ``block_words``; a document belongs to the block in which it
-begins.  The mix takes the first ``target`` words of that line, repeated; the last
-document taken may be cut.  So every source has an exact number of blocks to give.
+begins.  The mix takes the first ``target`` words of that line, repeated, in whole
+documents: the one that straddles the end is in if at least half of it is.  So every source
+has an exact number of blocks to give, and misses its target by half a document at most.
 
 Splitting tree: the root holds the quota of every source.  A node splits its shards in
 two halves and draws the left half's share of every source from the multivariate
@@ -170,8 +171,8 @@ def draw(
     """One row per row of ``docs``.
 
     Columns: row (struct of the ``carried`` columns, all by default), size, source_size,
-    target, draws: one struct per epoch that takes words, with epoch, words (from the
-    beginning of the text), shard and order_key (order of the rows within the shard).
+    target, draws: one struct per epoch that takes the document, with epoch, words (its
+    size), shard and order_key (order of the rows within the shard).
     """
     carried = docs.columns if carried is None else carried
     rows = docs.select(
@@ -198,7 +199,7 @@ def draw(
     lined = prefix.running(placed, "group", ["key", "tie", "size"], {"start": "size"}, prefix.buckets(n_rows))
     draws = []
     for epoch in range(max_epochs):
-        taken = f"greatest(0L, least(size, goal - {epoch}L * source_size - start))"
+        taken = f"CASE WHEN 2L * (goal - {epoch}L * source_size - start) >= size THEN size ELSE 0L END"
         block = f"{epoch}L * ceil(source_size / {block_words}D) + start div {block_words}L"
         mine = plan.select(
             F.col("rank").alias("group"), F.col("block").alias(f"b{epoch}"), F.col("shard").alias(f"s{epoch}")
@@ -219,22 +220,10 @@ def draw(
 
 
 def mixed(docs: DataFrame, source_col: str = "source", text_col: str = "text", **settings) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as it is taken, dealt and shuffled.
-
-    A document of which not all words are taken keeps the text up to the last taken word.
-    """
-    drawn = draw(docs, source_col, text_col, **settings).select("row", "size", F.explode("draws").alias("d"))
-    values = {c: F.col("row")[c] for c in docs.columns}
-    cut = F.expr(
-        f"CASE WHEN d.words < size THEN array_join(slice(regexp_extract_all(row.`{text_col}`,"
-        " r'[ \\t-\\r]*[^ \\t-\\r]+', 0), 1, CAST(d.words AS INT)), '') ELSE"
-        f" row.`{text_col}` END"
-    )
-    values[text_col] = cut
-    if "n_chars" in values:
-        values["n_chars"] = F.length(cut).cast(docs.schema["n_chars"].dataType)
+    """The mix itself: the rows of ``docs``, each as often as it is taken, dealt and shuffled."""
+    drawn = draw(docs, source_col, text_col, **settings).select("row", F.explode("draws").alias("d"))
     dealt = drawn.repartition("d.shard").sortWithinPartitions("d.shard", "d.order_key")
-    return dealt.select(*[v.alias(c) for c, v in values.items()])
+    return dealt.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -35,3 +35,24 @@ def test_copies_count_once_in_lines_and_total(spark):
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
     got = {r.doc_id: r.text for r in line_dedup.clean(docs).collect()}
     assert got == {0: "y", 1: "y", 2: "y", 10: "own 0", 11: "own 1"} | {20 + i: "z" for i in range(5)}
+
+
+def test_one_of_a_hot_group_of_near_copies_reaches_the_last_stage(spark):
+    rng = random.Random(4)
+    common = page(rng, 19).split("\n")
+    rows = []
+    for i in range(40):
+        near = list(common)
+        near[7] = page(rng, 1)
+        rows.append((i, "a", "en", "\n".join(near)))
+    rows += [(100 + i, "a", "en", "Menu\n" + page(rng)) for i in range(100)]
+    docs = spark.createDataFrame([(*r, len(r[-1])) for r in rows], "doc_id long, source string, lang string, text string, n_chars int")
+    given = {r[0]: r[3] for r in rows}
+    cleaned = {r.doc_id: r.text for r in line_dedup.clean(docs).collect()}
+    assert all(cleaned[i] == given[i] for i in range(40)) and not any("Menu" in t for t in cleaned.values())
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        docs = stage(spark, docs, "")
+        if name == "minhash_near_dedup":
+            left = {r.doc_id for r in docs.collect() if r.doc_id < 100}
+            assert len(left) == 1
+    assert {r.doc_id for r in docs.collect() if r.doc_id < 100} <= left

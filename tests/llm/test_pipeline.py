@@ -56,6 +56,10 @@ def test_line_dedup(stages):
             if not (n := counts[r.source, x.strip(" \t\n\v\f\r")]) >= line_dedup.MIN_PAGES
             or n <= line_dedup.BOILERPLATE_RATIO * pages[r.source]
         ]
+        all_lines = r.text.split("\n")
+        worded = sum(1 for x in all_lines if x.strip(" \t\n\v\f\r"))
+        if len(all_lines) - len(stay) >= line_dedup.COPY_SHARE * worded:
+            stay = all_lines  # a copy, not boilerplate
         assert after[r.doc_id] == "\n".join(stay)
 
 
@@ -71,10 +75,13 @@ def test_mix(stages):
     total, taken = sum(len(r.text.split()) for r in before.values()), 0
     times = collections.Counter()
     for r in stages["mixing"].collect():
-        assert before[r.doc_id].text.startswith(r.text)
+        assert before[r.doc_id].text == r.text
         times[r.doc_id] += 1
         taken += len(r.text.split())
-    assert max(times.values()) <= 2 and abs(taken - 1.5 * total) <= 20
+    halves = {}
+    for r in before.values():
+        halves[r.source] = max(halves.get(r.source, 0), len(r.text.split()) / 2)
+    assert max(times.values()) <= 2 and abs(taken - 1.5 * total) <= sum(halves.values()) + len(halves)
 
 
 def test_ids(stages):
