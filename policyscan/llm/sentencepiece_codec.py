@@ -18,6 +18,12 @@ by rank again gives the same two pieces), so a start is scored 1 when its piece
 after the last piece of the best path to that start, else 0.  Ties go to the longer piece.
 The result equals the ids of the model's own library.
 
+Words are found and told apart in the bytes of a whole chunk of texts, by 64-bit hashes from
+differences of prefix sums; only words not met before become strings.  A long word (a text
+without blanks) is first cut where two neighbouring characters stand side by side in no
+piece: nothing merges across such a border, so its parts are encoded apart, each distinct
+part once.
+
 Marks before a word merge after everything else, so a run of marks is encoded by its
 length.  Characters outside the pieces become byte pieces (or the unknown id, for models
 without them).  Work is narrow: one row of ids per text, no shuffle.
@@ -25,7 +31,7 @@ without them).  Work is narrow: one row of ids per text, no shuffle.
 Defined results
     null text: null ids; empty text: no ids
     a text that holds the word mark itself decodes with blanks in its place
-    very long words: one word at a time, linear in their length
+    very long words: in parts; what no border cuts advances by itself, linear in its length
     ids out of range: an error; control ids decode to nothing
     extra input columns: passed through
 """
@@ -34,7 +40,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,12 +47,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
+from policyscan.llm.shingles import _BYTES, _power_tables, mix
+
 _U = np.uint64
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-_CHUNK_BYTES = 1 << 20
+_CHUNK_BYTES = 900_000
 _CHUNK_IDS = 1 << 19
-_CACHE_WORDS = 100_000
+_CACHE_WORDS = 250_000
+_TABLE_BITS = 18
+_LONG = 48  # characters from which a word is cut where no piece spans two neighbours
 _UNITS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _BASE = _U(0x9E3779B97F4A7C15)
 
@@ -81,6 +90,10 @@ class Model:
         if len(np.unique(keys)) < len(keys):
             raise ValueError("two pieces share a key")
         self.lookup = {self.text[i]: i for i in plain}
+        # Characters that stand side by side in some piece.
+        codes = [_codes(self.text[i]).astype(np.int64) for i in plain]
+        self.neighbours = np.unique(np.concatenate([np.zeros(0, np.int64), *((c[:-1] << 21) + c[1:] for c in codes)]))
+        self.met = self.met_ok = None  # made by the worker that uses them
         self.runs: dict[int, list[int]] = {}  # bounded: cleared with the words
         if kind == "bpe":
             self._split_pieces()
@@ -192,6 +205,27 @@ class Model:
             b[live] = np.where(undo_right, self.left[y], y)
         return ok
 
+    def stay_apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``stable`` from a table of the pairs met so far: one slot per hash, the last pair stays in it."""
+        if self.met is None:
+            self.met, self.met_ok = np.full(1 << _TABLE_BITS, -1, np.int64), np.zeros(1 << _TABLE_BITS, bool)
+        width = len(self.text) + 1
+        pairs = (a + 1) * width + b + 1
+
+        def slots(keys: np.ndarray) -> np.ndarray:
+            return ((keys.astype(_U) * _BASE) >> _U(64 - _TABLE_BITS)).astype(np.int64)
+
+        place = slots(pairs)
+        ok = self.met_ok[place]
+        missed = np.flatnonzero(self.met[place] != pairs)
+        if len(missed):
+            fresh, back = np.unique(pairs[missed], return_inverse=True)
+            answers = self.stable(fresh // width - 1, fresh % width - 1)
+            ok[missed] = answers[back]
+            place = slots(fresh)
+            self.met[place], self.met_ok[place] = fresh, answers
+        return ok
+
     def run(self, n: int) -> list[int]:
         """Ids of ``n`` word marks that merge with nothing else: leftmost first, in one sweep."""
         if n not in self.runs:
@@ -267,8 +301,7 @@ class Model:
                 total = np.where(known & (ids >= 0) & ~self.canonical[ids], -np.inf, np.where(known, before, -np.inf))
                 word, which = np.nonzero(np.isfinite(total))
                 previous, piece = last[word, end - sizes[which]], ids[word, which]
-                pairs, back = np.unique((previous + 1) * (len(self.text) + 1) + piece + 1, return_inverse=True)
-                ok = self.stable(pairs // (len(self.text) + 1) - 1, pairs % (len(self.text) + 1) - 1)[back]
+                ok = self.stay_apart(previous, piece)
                 total[word[~ok], which[~ok]] = -np.inf
             pick = total.argmax(axis=1)
             rows = np.arange(n)
@@ -305,17 +338,49 @@ class Model:
             return []
         return _UNITS.findall((MARK if self.prefix else "") + text.replace(" ", MARK))
 
+    def parts_of(self, word: str) -> list[str]:
+        """A long word, cut at every border that no piece spans."""
+        codes = _codes(word).astype(np.int64)
+        pairs = (codes[:-1] << 21) + codes[1:]
+        at = np.minimum(np.searchsorted(self.neighbours, pairs), max(0, len(self.neighbours) - 1))
+        apart = self.neighbours[at] != pairs if len(self.neighbours) else np.ones(len(pairs), bool)
+        cuts = [0, *(np.flatnonzero(apart) + 1).tolist(), len(word)]
+        return [word[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def long_and_short(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``ragged`` with long words in parts."""
+        long = [k for k, w in enumerate(words) if len(w) > _LONG]
+        if not long:
+            return self.ragged(words)
+        parts: list[str] = []
+        first = np.zeros(len(words) + 1, np.int64)
+        done = 0
+        for k in long:
+            parts += words[done:k]
+            first[done : k + 1] = np.arange(len(parts) - (k - done), len(parts) + 1)
+            parts += self.parts_of(words[k])
+            done = k + 1
+        first[done : len(words)] = np.arange(len(parts), len(parts) + len(words) - done)
+        parts += words[done:]
+        first[-1] = len(parts)
+        distinct = {part: i for i, part in enumerate(dict.fromkeys(parts))}
+        flat, offsets = self.ragged(list(distinct))
+        which = np.array([distinct[part] for part in parts], np.int64)
+        sizes = np.diff(offsets)[which]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        return flat[gather(offsets[:-1][which], sizes)], ends[first]
+
     def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of every unit as one array with offsets."""
         if self.kind == "unigram":
-            return self.ragged(units)
+            return self.long_and_short(units)
         # Most units are one mark and a word; runs of marks are taken off the others.
         odd = [k for k, u in enumerate(units) if u[0] != MARK or u[1:2] in ("", MARK)]
         words = list(units)
         for k in odd:
             bare = units[k].lstrip(MARK)
             words[k] = (MARK if len(bare) < len(units[k]) else "") + bare if bare else ""
-        flat, offsets = self.ragged(words)
+        flat, offsets = self.long_and_short(words)
         if not odd:
             return flat, offsets
         mark, parts, counts, done = self.lookup.get(MARK), [], np.diff(offsets), 0
@@ -335,19 +400,42 @@ class Model:
 
     def encode_ragged(self, texts: list[str | None], known: "Known") -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and how many each has."""
-        split = [self.units(t) if t else [] for t in texts]
-        if len(known.slots) > _CACHE_WORDS:
+        front = b" " if self.prefix else b""
+        values = [front + t.replace(MARK, " ").encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+        buffer = np.frombuffer(b"".join(values), np.uint8)
+        ends = np.cumsum([len(v) for v in values])
+        starts = ends - [len(v) for v in values]
+        if not len(buffer):
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+        # A unit begins with each text and with each run of blanks after something else.
+        blank = buffer == 0x20
+        opens = np.zeros(len(buffer), bool)
+        opens[1:] = blank[1:] & ~blank[:-1]
+        opens[starts[starts < ends]] = True
+        begin = np.flatnonzero(opens)
+        end = np.append(begin[1:], len(buffer))
+        up, down = _power_tables(len(buffer) + 1)
+        sums = np.zeros(len(buffer) + 1, np.uint64)
+        np.cumsum(_BYTES[buffer] * up[: len(buffer)], out=sums[1:])
+        hashed = mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(_U))
+        distinct, first, which = np.unique(hashed, return_index=True, return_inverse=True)
+        if len(known.hashes) > _CACHE_WORDS:
             known.clear()
             self.runs.clear()
-        slots, before = known.slots, len(known.slots)
-        places = np.array([slots.setdefault(u, len(slots)) for units in split for u in units], np.int64)
-        if len(slots) > before:
-            known.add(*self.encode_units(list(islice(slots, before, None))))
+        new = np.flatnonzero(~known.holds(distinct))
+        if len(new):
+            data = buffer.tobytes()
+            spelled = [
+                data[a:b].decode("utf-8", "surrogatepass").replace(" ", MARK)
+                for a, b in zip(begin[first[new]].tolist(), end[first[new]].tolist(), strict=True)
+            ]
+            known.add(distinct[new], *self.encode_units(spelled))
+        places = known.places(distinct)[which]
         sizes = known.sizes[places]
         flat = known.flat[gather(known.begins[places], sizes)]
-        per_text = np.array([len(units) for units in split], np.int64)
-        ends = np.concatenate(([0], np.cumsum(sizes)))[np.cumsum(per_text)]
-        return flat, np.diff(np.concatenate(([0], ends)))
+        total = np.concatenate(([0], np.cumsum(sizes)))
+        unit = np.searchsorted(begin, np.concatenate(([0], ends)))
+        return flat, np.diff(total[unit])
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """Ids of every text."""
@@ -387,16 +475,29 @@ def gather(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class Known:
-    """Ids of the distinct units met so far, bounded by ``_CACHE_WORDS`` and one batch."""
+    """Ids of the distinct units met so far, by hash; bounded by ``_CACHE_WORDS`` and one batch."""
 
     def __init__(self):
         self.clear()
 
     def clear(self) -> None:
-        self.slots: dict[str, int] = {}
+        self.hashes, self.order = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted, and their words' places
         self.flat, self.begins, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def add(self, flat: np.ndarray, offsets: np.ndarray) -> None:
+    def _at(self, hashes: np.ndarray) -> np.ndarray:
+        return np.minimum(np.searchsorted(self.hashes, hashes), max(0, len(self.hashes) - 1))
+
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        return self.hashes[self._at(hashes)] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        return self.order[self._at(hashes)]
+
+    def add(self, hashes: np.ndarray, flat: np.ndarray, offsets: np.ndarray) -> None:
+        """Ids of words that are not held yet; ``hashes`` ascending."""
+        at = np.searchsorted(self.hashes, hashes)
+        self.order = np.insert(self.order, at, np.arange(len(hashes)) + len(self.begins))
+        self.hashes = np.insert(self.hashes, at, hashes)
         self.begins = np.concatenate((self.begins, offsets[:-1] + len(self.flat)))
         self.sizes = np.concatenate((self.sizes, np.diff(offsets)))
         self.flat = np.concatenate((self.flat, flat))

@@ -80,3 +80,17 @@ def test_frames_nulls_extra_and_clashing_columns(spark, model):
     rows = {(r.doc_id, r.text, r.decoded, None if r.ids is None else len(r.ids)) for r in coded.collect()}
     assert rows == {(1, None, None, None), (2, "", "", 0), (3, "a b", "a b", 2), (4, f"a{MARK}b", "a b", 2)}
     assert encode(docs.limit(0), model).collect() == []
+
+
+def test_texts_without_blanks(model, library):
+    import base64
+    import random
+    import time
+
+    rng = random.Random(12)
+    raw = base64.b64encode(rng.randbytes(300_000)).decode()
+    chinese = "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(200_000))
+    for text in (raw, chinese, "Thelongword" * 500, "x" * 3000, "a-b_c." * 400):
+        started = time.perf_counter()
+        assert model.encode([text])[0].tolist() == library.encode(text)
+        assert time.perf_counter() - started < 10
