@@ -2,11 +2,13 @@
 
 Base spans (email, ip, card, phone) come from four fixed patterns and always stay.
 
-More candidates come from wider patterns: spelled-out mail addresses, addresses with a
-mark around ``@``, telephone numbers without a plus sign, and card numbers with other
+More candidates come from failed base matches (a telephone number that swallowed the next
+number, card-shaped groups inside a run of digits) and from wider patterns: spelled-out mail
+addresses, addresses with a mark around ``@``, IPv6 addresses, addresses with marked dots,
+telephone numbers without a plus sign or in digit words, card numbers with other
 separators.  Labelers vote on every candidate: yes, no, or nothing.
-    regex       the strict form of the kind fits (digit counts, check sum)
-    gazetteer   a known mail host or top-level domain, country or area code form, issuer digits
+    regex       the strict form of the kind fits (digit counts, check sum, valid address)
+    gazetteer   a known top-level domain, an assigned address range, a country or area code form, issuer digits
     context     a word for this kind stands shortly before
     counter     a word for other numbers (order, version, price, ...) stands shortly before
     shape       the candidate touches letters, digits, decimal marks or operators
@@ -30,6 +32,7 @@ Defined results
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -59,8 +62,22 @@ SPELLED = re.compile(
     re.IGNORECASE,
 )
 SPELLED_MARK = re.compile(r"[\[({<]\s?(?:at|dot)\s?[\])}>]|\sdot\s|\s@|@\s", re.IGNORECASE)
-LOCAL_PHONE = re.compile(r"(?<![0-9+.(-])(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])")
-WIDE_CARD = re.compile(r"(?<![0-9])[0-9]{4}(?:[./_][0-9]{4}){3}(?![0-9])")
+LOCAL_PHONE = re.compile(
+    r"(?<![0-9+.(-])(?:1[ .-])?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])"
+)
+PREFIXED_PHONE = re.compile(r"(?<![0-9+.(-])00[1-9](?:[ .()-]{0,2}[0-9]){7,13}(?![0-9])")
+DIGIT_WORD = r"(?:zero|oh|one|two|three|four|five|six|seven|eight|nine)"
+SPOKEN_PHONE = re.compile(rf"\b{DIGIT_WORD}(?:[ ,-]{{1,2}}{DIGIT_WORD}){{6,14}}\b", re.IGNORECASE)
+_OTHER = r"(?:[./_\u2013\u2014\u00a0]|[ -]{2,3})"
+WIDE_CARD = re.compile(
+    rf"(?<![0-9])(?:[0-9]{{4}}(?:{_OTHER}[0-9]{{4}}){{3}}|3[0-9]{{3}}{_OTHER}[0-9]{{6}}{_OTHER}[0-9]{{5}})(?![0-9])"
+)
+_DOT = r"(?: ?[\[({] ?(?:\.|dot) ?[\])}] ?| \. | dot )"
+MARKED_IP = re.compile(rf"(?<![0-9.])[0-9]{{1,3}}(?:{_DOT}[0-9]{{1,3}}){{3}}(?![0-9.])", re.IGNORECASE)
+IPV6 = re.compile(r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![0-9A-Za-z:])")
+NUMBER = re.compile(r"[0-9]+")
+#: Groups of the digits of a card as it is printed.
+CARD_GROUPS = ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3))
 
 # Gazetteers and context words.
 DOMAINS = frozenset("com org net edu gov io info biz de fr es uk eu ch at it nl be pl us ca au example".split())
@@ -88,6 +105,49 @@ def digits_of(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def valid_address(text: str) -> bool:
+    """IPv6, or four parts up to 255 whatever stands between them."""
+    if ":" in text:
+        try:
+            return ipaddress.IPv6Address(text) is not None
+        except ValueError:
+            return False
+    return all(int(part) <= 255 for part in NUMBER.findall(text))
+
+
+def first_phone(run: str) -> int:
+    """End of the longest start of a failed run that ends before a blank and has 9 to 15 digits; 0: none."""
+    best = n = 0
+    for part in re.finditer(r"[^ ]+", run):
+        for digit in NUMBER.finditer(part.group()):
+            n += digit.end() - digit.start()
+            last = part.start() + digit.end()
+            if n > 15:
+                return best
+        if n >= 9:
+            best = last
+    return best
+
+
+def card_groups(run: str) -> list[tuple[int, int]]:
+    """Card-shaped groups of digits in a failed run, from the left."""
+    groups = [m.span() for m in NUMBER.finditer(run)]
+    out, k = [], 0
+    while k < len(groups):
+        step, (begin, end) = 1, groups[k]
+        if 13 <= end - begin <= 19:
+            out.append((begin, end))
+        else:
+            for shape in CARD_GROUPS:
+                some = groups[k : k + len(shape)]
+                if tuple(e - b for b, e in some) == shape and luhn(digits_of(run[begin : some[-1][1]])):
+                    out.append((begin, some[-1][1]))
+                    step = len(shape)
+                    break
+        k += step
+    return out
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Base spans by kind as listed, then start; ends are exclusive, places are code points."""
     spans = []
@@ -129,8 +189,21 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, i
                     done = hit.end()
                     break
             at = max(m.end(), done)
+    if text.count(":") > 1:
+        found += [("ip", m.start(), m.end()) for m in IPV6.finditer(text) if len(m.group()) > 2 and valid_address(m.group())]
+    found += [("ip", m.start(), m.end()) for m in MARKED_IP.finditer(text)]
     found += [("card", m.start(), m.end()) for m in WIDE_CARD.finditer(text)]
-    found += [("phone", m.start(), m.end()) for m in LOCAL_PHONE.finditer(text)]
+    whole = {(b, e) for kind, b, e in base if kind == "card"}
+    for m in CARD.finditer(text):
+        if m.end() - m.start() >= 13 and m.span() not in whole:
+            found += [("card", m.start() + b, m.start() + e) for b, e in card_groups(m.group())]
+    for pattern in (LOCAL_PHONE, PREFIXED_PHONE, SPOKEN_PHONE):
+        found += [("phone", m.start(), m.end()) for m in pattern.finditer(text)]
+    if "+" in text:
+        whole = {(b, e) for kind, b, e in base if kind == "phone"}
+        for m in PHONE.finditer(text):
+            if m.span() not in whole and (end := first_phone(m.group())):
+                found.append(("phone", m.start(), m.start() + end))
     taken = sorted((b, e) for _, b, e in base)
     out, edge, k = [], -1, 0
     for kind, begin, end in sorted(found, key=lambda s: (s[1], -s[2])):
@@ -155,10 +228,17 @@ def votes(text: str, kind: str, begin: int, end: int) -> tuple[int, ...]:
         strict = 1 if luhn(digits) else -1
         known = 1 if digits[:1] in "3456" else -1
     elif kind == "ip":
-        strict = known = 1
+        strict = 1 if valid_address(span) else -1
+        parts = NUMBER.findall(span)
+        if ":" in span:
+            known = 1 if span[0] in "23fF" and span.count(":") > 2 or span == "::1" else -1
+        else:
+            known = 1 if 9 < int(parts[0]) < 224 else -1
     else:
-        strict = 1 if 9 <= len(digits) <= 12 else -1
-        known = 1 if span.startswith("(") or re.fullmatch(r"[2-9][0-9]{2}[ .-][0-9]{3}[ .-][0-9]{4}", span) else -1
+        n = len(digits) or len(re.findall(DIGIT_WORD, span, re.IGNORECASE))
+        strict = 1 if 9 <= n <= 15 else -1
+        coded = re.match(r"[+(]|00[1-9]", span) or re.fullmatch(r"(?:1[ .-])?[2-9][0-9]{2}[ .-][0-9]{3}[ .-][0-9]{4}", span)
+        known = 1 if coded or not digits else -1
     context = 1 if before & set(CONTEXT[kind]) else 0
     counter = -1 if before & set(COUNTER) else 0
     left, right = text[begin - 1 : begin], text[end : end + 1]
@@ -266,22 +346,24 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, base counts per kind, base_sha256, spans."""
+    """One row per row of ``docs``: doc_id, base counts per kind, base_sha256, spans, n_spans (base and added)."""
     narrow = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     w = fit(stage(vote_patterns(narrow), "vote-patterns"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            counts, hashes, spans = [], [], []
+            counts, hashes, spans, totals = [], [], [], []
             for text in frame["text"]:
                 base = base_spans(text) if text else []
                 counter = Counter(k for k, _, _ in base)
                 counts.append([counter[k] for k in KINDS])
                 hashes.append(hashlib.sha256(joined(base).encode()).hexdigest())
-                spans.append(joined(base + (added_spans(text, base, w) if text else [])))
+                every = base + (added_spans(text, base, w) if text else [])
+                spans.append(joined(every))
+                totals.append(len(every))
             out = pd.DataFrame(counts, columns=[f"n_{k}" for k in KINDS], index=frame.index)
-            yield pd.concat((frame[["doc_id"]], out), axis=1).assign(base_sha256=hashes, spans=spans)
+            yield pd.concat((frame[["doc_id"]], out), axis=1).assign(base_sha256=hashes, spans=spans, n_spans=totals)
 
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string"
+    schema = f"doc_id {kind}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string, n_spans long"
     return narrow.mapInPandas(run, schema)
