@@ -65,3 +65,31 @@ def read_compact_lines(spark, path: str) -> DataFrame:
         F.get_json_object(F.concat(F.lit('{"x":'), "level", F.lit("}")), "$.x").alias("severity"),
     )
     return entries.filter(F.col("severity").isin(fixed.SEVERITIES))
+
+
+PAIR = r'"((?:[^"\\]|\\.)*+)"\s*+:\s*+"((?:[^"\\]|\\.)*+)(?:"|\z)'
+
+
+def read_compact_pieces(spark, path: str) -> DataFrame:
+    """(path, checkov_id, severity) of compact documents of one line each, read in pieces.
+
+    The files are cut after every quoted value that a comma follows, so a document is read
+    by as many tasks as it has splits and a row holds one entry.  Such a cut lies inside a
+    string only behind an escaped quote; files with such a cut are parsed whole instead.
+    Entries are not resolved: a repeated identifier is repeated, in no order.  Only entries
+    have a severity as value, so the other fields need no place in the document.
+    """
+    pieces = spark.read.text(path, lineSep='",').select(F.col("_metadata.file_path").alias("path"), "value")
+    escaped = F.length(F.regexp_extract("value", r"(\\*+)\z", 1)) % 2 == 1
+    unsafe = pieces.filter(escaped).select("path").distinct()
+    keys = F.regexp_extract_all("value", F.lit(PAIR), F.lit(1))
+    levels = F.regexp_extract_all("value", F.lit(PAIR), F.lit(2))
+    pairs = pieces.select("path", F.explode(F.arrays_zip(keys.alias("key"), levels.alias("severity"))).alias("p"))
+    entries = pairs.select("path", "p.key", "p.severity").filter(F.col("severity").isin(fixed.SEVERITIES))
+    quoted = F.concat(F.lit('{"x":"'), F.col("key"), F.lit('"}'))
+    cut = entries.join(unsafe, "path", "left_anti").select(
+        "path", F.get_json_object(quoted, "$.x").alias("checkov_id"), "severity"
+    )
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    parsed = parse_compact(whole.join(unsafe, "path", "left_semi"))
+    return cut.unionByName(compact_mappings(parsed))

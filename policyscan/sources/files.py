@@ -240,21 +240,16 @@ def decode_utf8_or_latin1(content: Column) -> Column:
     return newlines(F.coalesce(_utf8(content), F.decode(content, "ISO-8859-1")))
 
 
-def _is_utf16(content: Column, big_endian: bool) -> Column:
-    """Whole code units, and every high surrogate is followed by a low one."""
-    units = F.regexp_extract_all(F.hex(content), F.lit("[0-9A-F]{4}"), F.lit(0))
-    high_byte = 1 if big_endian else 3
-
-    def kind(unit: Column) -> Column:
-        byte = F.substring(unit, high_byte, 2)
-        return (
-            F.when(byte.between("D8", "DB"), "h").when(byte.between("DC", "DF"), "l").otherwise("")
-        )
+# One byte is one character here; possessive, so the match neither branches nor recurses.
+_UTF16 = {
+    True: r"\A(?s:[^\xd8-\xdf].|[\xd8-\xdb].[\xdc-\xdf].)*+\z",
+    False: r"\A(?s:.[^\xd8-\xdf]|.[\xd8-\xdb].[\xdc-\xdf])*+\z",
+}
 
-    surrogates = F.array_join(F.transform(units, kind), "")
-    return (F.octet_length(content) % 2 == 0) & (
-        F.replace(surrogates, F.lit("hl"), F.lit("")) == ""
-    )
+
+def _is_utf16(content: Column, big_endian: bool) -> Column:
+    """Whole code units, and every high surrogate stands right before a low one."""
+    return F.rlike(F.decode(content, "ISO-8859-1"), F.lit(_UTF16[big_endian]))
 
 
 def _decode_or_null(content: Column, encoding: Column) -> Column:
