@@ -6,6 +6,9 @@ up in a database are joins.  Database rules are aggregates.
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -337,10 +340,10 @@ def _skew_rule(severity: Column, count: Column, total: Column) -> Column:
     )
 
 
-def _level_counts(mappings: DataFrame) -> DataFrame:
-    """At most six rows: files per level, anything else counted under NULL."""
+def _level_counts(mappings: DataFrame, *keys: str) -> DataFrame:
+    """At most six rows (for each of ``keys``): files per level, anything else counted under NULL."""
     level = F.when(_is_level(F.col("severity")), F.col("severity"))
-    return mappings.groupBy(level.alias("severity")).agg(
+    return mappings.groupBy(*keys, level.alias("severity")).agg(
         F.count("*").alias("n"),
         F.count_if(~is_strict_id(F.col("checkov_id"))).alias("bad_ids"),
     )
@@ -453,36 +456,60 @@ def database_report(
     Mapping rows are only counted, never gathered: partial aggregation brings them
     down to at most six rows before the metadata and skew rules look at the totals.
     """
-    level = F.col("severity")
-    n = F.col("n")
-    totals = _level_counts(mappings).agg(
+    totals = _level_counts(mappings).agg(*_totals())
+    missing_version, mismatch = _metadata_rules(F.col("total"), version, expected_total)
+    return _counted_report(totals, [mismatch], [missing_version], bool(version) and has_timestamp)
+
+
+def part_reports(mappings: DataFrame, part: Column, version: str | None, has_timestamp: bool = True) -> DataFrame:
+    """Validate every part of a database by itself, say every provider's mappings.
+
+    The rules are those of ``database_report`` but for the stated total, which only the
+    whole database has.  At most six rows of a part are left after partial aggregation.
+    """
+    totals = _level_counts(mappings.withColumn("part", part), "part").groupBy("part").agg(*_totals())
+    missing_version = _metadata_rules(F.col("total"), version, F.col("total"))[0]
+    return _counted_report(totals, [], [missing_version], bool(version) and has_timestamp, "part")
+
+
+def _totals() -> list[Column]:
+    """Sums over the rows of ``_level_counts``."""
+    level, n = F.col("severity"), F.col("n")
+    return [
         F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
         F.coalesce(F.sum("bad_ids"), F.lit(0)).alias("bad_ids"),
         F.coalesce(F.sum(F.when(level.isNull(), n)), F.lit(0)).alias("bad_levels"),
         F.coalesce(F.sum(F.when(level.isNotNull(), n)), F.lit(0)).alias("levelled"),
         F.coalesce(F.max(F.when(level.isNotNull(), n)), F.lit(0)).alias("largest"),
-    )
-    rules = _metadata_rules(F.col("total"), version, expected_total)
-    missing_version, mismatch = (rule.isNotNull().cast("bigint") for rule in rules)
+    ]
+
+
+def _counted_report(
+    totals: DataFrame, errors: list[Column], warnings: list[Column], complete_metadata: bool, *keys: str
+) -> DataFrame:
+    """Reports from ``_totals``; of the rules in ``errors`` and ``warnings`` those count that are not NULL."""
+
+    def broken(rules: list[Column]) -> Column:
+        return reduce(operator.add, [rule.isNotNull().cast("bigint") for rule in rules], F.lit(0).cast("bigint"))
+
     skewed = F.coalesce(
         F.try_divide("largest", "levelled") > fixed.SKEW_SHARE, F.lit(False)
     ).cast("bigint")
     counted = totals.select(
+        *keys,
         "total",
-        (F.col("bad_ids") + F.col("bad_levels") + mismatch).alias("error_count"),
-        missing_version.alias("warning_count"),
+        (F.col("bad_ids") + F.col("bad_levels") + broken(errors)).alias("error_count"),
+        broken(warnings).alias("warning_count"),
         skewed.alias("info_count"),
     )
     return counted.select(
+        *keys,
         (F.col("error_count") == 0).alias("is_valid"),
         "error_count",
         "warning_count",
         "info_count",
         database_confidence(
-            F.col("error_count"),
-            F.col("warning_count"),
-            F.col("info_count"),
-            bool(version) and has_timestamp,
+            F.col("error_count"), F.col("warning_count"), F.col("info_count"), complete_metadata
         ).alias("confidence_score"),
         F.col("total").alias("total_mappings"),
     )

@@ -294,6 +294,14 @@ def read_batch(spark, sf):
     return files.batch_counts(found, files.listing(found))
 
 
+@query
+def db_read_pieces(spark, sf):
+    """Entries of compact documents that were written as files of long lines."""
+    folder = f"{staging_dir(spark)}/compact-{uuid.uuid4().hex}"
+    corpus.compact_documents(spark, sf).select("value").write.text(folder, lineSep=" ")
+    return database_json.read_compact_pieces(spark, folder).select("checkov_id", "severity")
+
+
 @query
 def db_read_compact(spark, sf):
     parsed = database_json.parse_compact(corpus.compact_documents(spark, sf))
@@ -940,17 +948,10 @@ def dq_db_skew(spark, sf):
 
 @query
 def dq_db_confidence(spark, sf):
-    """Confidence of every provider's part of the database."""
-    parsed = corpus.doubtful_mappings(spark, sf).withColumn(
-        "part", F.split("checkov_id", "_")[1]
-    )
-    bad_level = ~F.col("severity").isin(fixed.SEVERITIES)
-    counted = parsed.groupBy("part").agg(
-        F.count_if(~ids.is_strict_id(F.col("checkov_id"))).alias("errors"),
-        F.count_if(bad_level).alias("warnings"),
-    )
-    score = quality.database_confidence(F.col("errors"), F.col("warnings"), F.lit(1), True)
-    return counted.select("part", F.round(score, 6).alias("confidence_score"))
+    """Report and confidence of every provider's part of the database."""
+    provider = F.split("checkov_id", "_")[1]
+    parts = quality.part_reports(corpus.doubtful_mappings(spark, sf), provider, fixed.DATABASE_VERSION)
+    return _rounded(parts, "confidence_score")
 
 
 @query

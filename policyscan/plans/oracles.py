@@ -537,6 +537,9 @@ FROM (SELECT {EXTENSION} = '.adoc' AND length <= 10485 AND readable AS ok FROM m
   'BC_' || prov || '_' || k || '=LOW,' || id || '=' || sev AS entries FROM keyed""",
         "keyed",
     ),
+    "db_read_pieces": sql(
+        "SELECT 'BC_' || prov || '_' || k AS checkov_id, 'LOW' AS severity FROM keyed UNION ALL SELECT id, sev FROM keyed", "keyed"
+    ),
     # sinks
     "sink_database_json": sql(lines(DATABASE_HEAD, ENTRIES, "}}"), "mappings", "agreeing"),
     "sink_compact_json": sql(lines(COMPACT_HEAD, ENTRIES, "}}"), "mappings"),
@@ -814,8 +817,12 @@ UNION ALL SELECT 'ERROR', 'COUNT_MISMATCH', 'Metadata count mismatch: ' || (SELE
     "dq_db_mapping": sql(f"SELECT {ISSUE_COLUMNS} FROM doubt_issues WHERE code LIKE 'INVALID%'", "doubt_issues"),
     "dq_db_skew": sql(f"SELECT {ISSUE_COLUMNS} FROM doubt_issues WHERE code LIKE 'SKEWED%'", "doubt_issues"),
     "dq_db_confidence": sql(
-        f"""SELECT part, round(greatest(0, least(1, 1.0 - 0.2 * e - 0.1 * w - 0.05 + 0.1)), 6)::DOUBLE AS confidence_score
-FROM (SELECT split_part(checkov_id, '_', 2) AS part, count(*) FILTER (NOT regexp_matches(checkov_id, '{STRICT}')) AS e, count(*) FILTER (severity NOT IN ({LEVELS})) AS w FROM doubtful GROUP BY 1)""",
+        f"""SELECT part, e = 0 AS is_valid, e AS error_count, 0 AS warning_count, i AS info_count, total_mappings,
+  round(greatest(0, least(1, 1.0 - 0.2 * e - 0.05 * i + 0.1)), 6)::DOUBLE AS confidence_score
+FROM (SELECT part, (sum(bad) + coalesce(sum(n) FILTER (level IS NULL), 0))::BIGINT AS e, sum(n)::BIGINT AS total_mappings,
+    coalesce(max(n) FILTER (level IS NOT NULL) / sum(n) FILTER (level IS NOT NULL) > 0.8, false)::INT AS i
+  FROM (SELECT split_part(checkov_id, '_', 2) AS part, CASE WHEN severity IN ({LEVELS}) THEN severity END AS level, count(*) AS n,
+      count(*) FILTER (NOT regexp_matches(checkov_id, '{STRICT}')) AS bad FROM doubtful GROUP BY 1, 2) GROUP BY part)""",
         "doubtful",
     ),
     "dq_report": sql(

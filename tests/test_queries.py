@@ -28,6 +28,9 @@ CHECKED = [
     "custom_matcher",
     "custom_patterns",
     "custom_validator",
+    "db_read_pieces",
+    "dq_db_confidence",
+    "dq_db_validate",
     "extraction_summary",
     "incremental_changed",
     "incremental_listing",
