@@ -341,9 +341,8 @@ def sink_compact_size(spark, sf):
     return sinks.compact_size(mappings(spark, sf), STAMP)
 
 
-@query
-def sink_results_json(spark, sf):
-    rounded = results(spark, sf).withColumns(
+def _rounded_results(spark, sf):
+    return results(spark, sf).withColumns(
         {
             "confidence": F.round("confidence", 6),
             "matches": F.transform(
@@ -351,7 +350,18 @@ def sink_results_json(spark, sf):
             ),
         }
     )
-    return sinks.result_documents(rounded, include_raw=True)
+
+
+@query
+def sink_results_json(spark, sf):
+    return sinks.result_documents(_rounded_results(spark, sf), include_raw=True)
+
+
+@query
+def sink_results_document(spark, sf):
+    """The whole results document with its metadata and statistics."""
+    done = stage(_rounded_results(spark, sf).select("path", "confidence", "matches", "validation_issues"), "results")
+    return sinks.results_document(done, STAMP, include_raw=True)
 
 
 @query

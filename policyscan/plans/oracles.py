@@ -443,6 +443,16 @@ DATABASE_HEAD = f"""'{{"metadata":{{"version":"1.0","timestamp":"{STAMP}Z","tota
   || {N_MAPPINGS} || ',"severity_breakdown":' || {COUNTS} || ',"confidence_metrics":{{"has_metadata":true,"has_timestamps":true,"completeness_score":1.0}}}},"mappings":{{'"""
 NEW_PAIRS = """SELECT checkov_id, severity, arg_min(path, string_split(path, '/')) AS file_path FROM c_matches
 WHERE severity IS NOT NULL AND checkov_id NOT IN (SELECT checkov_id FROM existing_db) GROUP BY checkov_id, severity"""
+RESULT_LINES = """SELECT r.path, '{"file_path":' || to_json(r.path) || ',"confidence":' || to_json(round(r.confidence, 6)) || ',"matches":[' || coalesce(ms, '') || ']'
+  || CASE WHEN iss IS NULL THEN '' ELSE ',"validation_issues":[' || iss || ']' END || '}' AS value
+FROM c_results r LEFT JOIN (SELECT path, string_agg(to_json({'checkov_id': checkov_id, 'severity': severity, 'confidence': round(confidence, 6), 'pattern_name': pattern_name,
+    'start_position': start_position, 'end_position': end_position, 'context': context}), ',' ORDER BY rank) AS ms FROM c_matches GROUP BY path) m USING (path)
+LEFT JOIN (SELECT file_path AS path, string_agg(to_json({'severity': level, 'code': code, 'message': message, 'checkov_id': checkov_id}), ',' ORDER BY ord) AS iss FROM c_issues GROUP BY file_path) i USING (path)"""
+RESULTS_HEAD = f"""(SELECT '{{"metadata":{{"total_files":' || total_files || ',"successful_extractions":' || files_with_matches || ',"generated_at":"{STAMP}Z","format_version":"1.0"}},"statistics":{{"total_files":'
+  || total_files || ',"files_with_matches":' || files_with_matches || ',"total_matches":' || total_matches || ',"unique_checkov_ids":' || unique_ids
+  || ',"average_confidence":' || mean || ',"min_confidence":' || low || ',"max_confidence":' || high || '}},"extraction_results":['
+FROM (SELECT (SELECT count(*) FROM docs) AS total_files, count(*) FILTER (n > 0) AS files_with_matches, sum(n) AS total_matches, (SELECT count(DISTINCT checkov_id) FROM c_ids) AS unique_ids,
+  round(avg(round(confidence, 6)) FILTER (confidence > 0), 6) AS mean, round(min(confidence) FILTER (confidence > 0), 6) AS low, round(max(confidence), 6) AS high FROM c_docs))"""
 SUMMARY_HEAD = f"""(SELECT '{{"summary":{{"generated_at":"{STAMP}Z","database_entries":' || {N_MAPPINGS} || ',"processed_files":' || count(*) || ',"total_matches":' || sum(match_count)
   || '}},"database_summary":{{"severity_distribution":' || {COUNTS} || ',"last_updated":"{STAMP}","version":"1.0"}},"extraction_summary":{{"success_rate":'
   || round(count(*) FILTER (match_count > 0) / count(*), 6) || ',"average_confidence":' || round(avg(confidence) FILTER (match_count > 0), 6)
@@ -547,14 +557,13 @@ FROM (SELECT {EXTENSION} = '.adoc' AND length <= 10485 AND readable AS ok FROM m
         f"""SELECT octet_length(encode({COMPACT_HEAD} || (SELECT string_agg(line, ',') FROM ({ENTRIES})) || '}}}}')) AS compact_size_bytes""",
         "mappings",
     ),
-    "sink_results_json": sql(
-        """SELECT r.path, '{"file_path":' || to_json(r.path) || ',"confidence":' || to_json(round(r.confidence, 6)) || ',"matches":[' || coalesce(ms, '') || ']'
-  || CASE WHEN iss IS NULL THEN '' ELSE ',"validation_issues":[' || iss || ']' END || '}' AS value
-FROM c_results r LEFT JOIN (SELECT path, string_agg(to_json({'checkov_id': checkov_id, 'severity': severity, 'confidence': round(confidence, 6), 'pattern_name': pattern_name,
-    'start_position': start_position, 'end_position': end_position, 'context': context}), ',' ORDER BY rank) AS ms FROM c_matches GROUP BY path) m USING (path)
-LEFT JOIN (SELECT file_path AS path, string_agg(to_json({'severity': level, 'code': code, 'message': message, 'checkov_id': checkov_id}), ',' ORDER BY ord) AS iss FROM c_issues GROUP BY file_path) i USING (path)""",
+    "sink_results_json": sql(RESULT_LINES, "c_results", "c_issues"),
+    "sink_results_document": sql(
+        lines(RESULTS_HEAD, f"SELECT path AS key, value AS line FROM ({RESULT_LINES})", "]}"),
         "c_results",
         "c_issues",
+        "docs",
+        "c_docs",
     ),
     "sink_summary_json": sql(
         lines(

@@ -7,12 +7,14 @@ read in order are the JSON document.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from policyscan import fixed
 from policyscan.operators.quality import count_level
-from policyscan.operators.statistics import has_matches
+from policyscan.operators.statistics import has_matches, result_statistics
 
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
@@ -202,6 +204,35 @@ def result_documents(results: DataFrame, include_raw: bool = False) -> DataFrame
     )
 
 
+def results_document(results: DataFrame, generated_at: str, include_raw: bool = False) -> DataFrame:
+    """Lines of the whole results document: metadata, statistics, and one line per result.
+
+    ``results`` is read several times and should be a written table.
+    """
+    totals = result_statistics(results)
+    metadata = to_json(
+        F.struct(
+            "total_files",
+            F.col("files_with_matches").alias("successful_extractions"),
+            F.lit(_zulu(generated_at)).alias("generated_at"),
+            F.lit(fixed.FORMAT_VERSION).alias("format_version"),
+        )
+    )
+    scores = [F.round(name, 6).alias(name) for name in ("average_confidence", "min_confidence", "max_confidence")]
+    counts = ["total_files", "files_with_matches", "total_matches", "unique_checkov_ids"]
+    head = totals.select(
+        F.concat(
+            F.lit('{"metadata":'),
+            metadata,
+            F.lit(',"statistics":'),
+            to_json(F.struct(*counts, *scores)),
+            F.lit(',"extraction_results":['),
+        ).alias("line")
+    )
+    entries = result_documents(results, include_raw).select(F.col("path").alias("key"), F.col("value").alias("line"))
+    return document_lines(head, entries, "]}")
+
+
 def result_records(results: DataFrame) -> DataFrame:
     """The slim record of every result."""
     return results.select(
@@ -220,8 +251,12 @@ def summary_document(
     new_mappings: DataFrame,
     timestamp: str,
     generated_at: str,
+    processing_statistics: dict[str, float] | None = None,
 ) -> DataFrame:
-    """Lines of the summary document; its list of new mappings is written line by line."""
+    """Lines of the summary document; its list of new mappings is written line by line.
+
+    ``processing_statistics`` are those of a measured run (``runs.Measured.row``).
+    """
     per_result = results.select(
         "confidence",
         F.size("matches").alias("n"),
@@ -286,7 +321,8 @@ def summary_document(
         F.concat_ws("/", "file_path", "checkov_id", "severity").alias("key"),
         to_json(F.struct("checkov_id", "severity", "file_path")).alias("line"),
     )
-    return document_lines(head, entries, "]}}")
+    run = f',"processing_statistics":{json.dumps(processing_statistics)}' if processing_statistics else ""
+    return document_lines(head, entries, "]}" + run + "}")
 
 
 def quality_document(

@@ -21,6 +21,8 @@ CHECKED = [
     "dq_quality_report",
     "result_statistics",
     "statistics_report",
+    "sink_results_document",
+    "sink_results_json",
     "sink_summary_json",
     "read_with_encoding",
     "text_preprocess",
