@@ -4,11 +4,12 @@ Cells: unit centroids are fitted by spherical k-means on a bounded sample of the
 (``SAMPLE_ROWS``); every vector is assigned to the centroid of largest cosine.  Vectors of
 different labels never share a cell.
 
-No link is lost at the borders: a vector is also sent, as a guest, to every cell in which
-a vector within the link angle could be at home.  Between its home centroid h and another
-centroid c that is the case exactly if x.(h - c) <= sin(angle) * |h - c|, the angular
-distance to the border of the two cells.  So the sample and the number of cells change
-the work, not the result.
+No link is lost at the borders: a vector is also sent, as a guest, to every later cell in
+which a vector within the link angle could be at home.  Between its home centroid h and
+another centroid c that is the case exactly if x.(h - c) <= sin(angle) * |h - c|, the
+angular distance to the border of the two cells.  A link across cells is found once, in
+the later cell, and counted for both its ends.  So the sample and the number of cells
+change the work, not the result.
 
 Links: a cell's vectors are dealt by hash into blocks, and each pair of a home block and a
 block of members or guests is one double-precision matrix product.  A pair of blocks
@@ -64,7 +65,7 @@ def fit(sample: np.ndarray, cells: int, seed: int = 7) -> np.ndarray:
 
 
 def places(vectors: np.ndarray, centers: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, cell and whether at home, for the home of every unit vector and the cells it is a guest of."""
+    """Row, cell and whether at home, for the home of every unit vector and the cells it could be a guest of."""
     products = vectors @ centers.T
     home = products.argmax(axis=1)
     apart = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * centers @ centers.T))
@@ -74,6 +75,14 @@ def places(vectors: np.ndarray, centers: np.ndarray, least: float) -> tuple[np.n
     return row, cell, cell == home[row]
 
 
+def one_way(row: np.ndarray, cell: np.ndarray, home: np.ndarray) -> np.ndarray:
+    """The places to send: every home, and guests to cells later than their home.
+
+    Both ends of a link reach each other's cell, so the later of the two cells sees it.
+    """
+    return cell >= cell[home][row]
+
+
 def local_roots(row: np.ndarray, other: np.ndarray, ids: np.ndarray, other_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Smallest id reachable from every row and every other, over the links of one pair of blocks."""
     mine, theirs = ids.copy(), other_ids.copy()
@@ -109,7 +118,8 @@ def links(vectors: DataFrame, least: float = COSINE) -> tuple[DataFrame, DataFra
             for dims, part in frame.groupby("dims"):
                 x = unit(np.array(part["vector"].tolist(), np.float64))
                 row, cell, home = places(x, dims_centers[dims], least)
-                yield part.iloc[row].assign(cell=cell, home=home)
+                sent = one_way(row, cell, home)
+                yield part.iloc[row[sent]].assign(cell=cell[sent], home=home[sent])
 
     schema = "id long, label int, dims int, weight long, vector array<float>, cell int, home boolean"
     kind = vectors.schema["vector"].dataType.simpleString()
@@ -124,11 +134,11 @@ def links(vectors: DataFrame, least: float = COSINE) -> tuple[DataFrame, DataFra
     blocks = stage(blocks.filter("home_blocks > 0"), "cell-blocks")
     dealt = members.join(blocks, key)
     left = dealt.filter("home").select(
-        *key, "id", "weight", "vector", F.lit(True).alias("left"),
+        *key, "id", "weight", "vector", "home", F.lit(True).alias("left"),
         F.expr("pmod(xxhash64(id, 1), home_blocks)").alias("i"), F.explode(F.expr("sequence(0L, all_blocks - 1)")).alias("j"),
     )
     right = dealt.select(
-        *key, "id", "weight", "vector", F.lit(False).alias("left"),
+        *key, "id", "weight", "vector", "home", F.lit(False).alias("left"),
         F.explode(F.expr("sequence(0L, home_blocks - 1)")).alias("i"), F.expr("pmod(xxhash64(id, 2), all_blocks)").alias("j"),
     )
 
@@ -142,13 +152,17 @@ def links(vectors: DataFrame, least: float = COSINE) -> tuple[DataFrame, DataFra
         differ = ids[row] != other_ids[other]
         row, other = row[differ], other[differ]
         n = np.bincount(row, weights=b["weight"].to_numpy(np.float64)[other], minlength=len(a)).astype(np.int64)
+        # Members at home stand on both sides; a guest's links are seen from here alone.
+        guest = ~b["home"].to_numpy(bool)[other]
+        weights = a["weight"].to_numpy(np.float64)[row[guest]]
+        n_other = np.bincount(other[guest], weights=weights, minlength=len(b)).astype(np.int64)
         mine, theirs = local_roots(row, other, ids, other_ids)
         linked = np.unique(other)
         found = np.flatnonzero(n)
         return pd.DataFrame(
             {
                 "id": np.concatenate((ids[found], other_ids[linked])),
-                "n": np.concatenate((n[found], np.zeros(len(linked), np.int64))),
+                "n": np.concatenate((n[found], n_other[linked])),
                 "root": np.concatenate((mine[found], theirs[linked])),
             }
         )
