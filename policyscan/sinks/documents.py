@@ -2,13 +2,21 @@
 
 Large lists are never gathered into one row: a document is a table of lines (head,
 one line per entry, tail) that is sorted and written as text, so its part files
-read in order are the JSON document.
+read in order are the JSON document.  ``write_single`` joins them to one file.
+
+Defined results
+    entries with equal keys: all stay in a list, ordered by their text; of a mapping's
+    repeated identifiers, whose key may occur once, the least severity by code point stays
+    null key: sorted as the empty string; a null identifier has no place in a mapping
+    no entries: an empty list or mapping
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,29 +40,98 @@ def _json_string(text: Column) -> Column:
 def document_lines(head: DataFrame, entries: DataFrame, tail: str) -> DataFrame:
     """Lines (section, key, line) of a document.
 
-    ``head`` is one row (line), ``entries`` is (key, line) with distinct keys.
+    ``head`` is one row (line), ``entries`` is (key, line).  One entry, the first, has no
+    comma before it; of entries that share the first key, equal lines are told apart by
+    number.
     """
-    first = entries.select(F.min("key")).scalar()
-    comma = F.when(F.col("key") == first, F.lit("")).otherwise(F.lit(","))
-    body = entries.select(
-        F.lit(1).alias("section"), "key", F.concat(comma, F.col("line")).alias("line")
+    keyed = entries.withColumn("key", F.coalesce("key", F.lit("")))
+    first = F.col("key") == keyed.select(F.min("key")).scalar()
+    lead = keyed.filter(first).groupBy("key", "line").agg(F.count("*").alias("copies"))
+    least = lead.select(F.min("line")).scalar()
+    lead = lead.select("key", "line", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    bare = (F.col("copy") == 1) & (F.col("line") == least)
+    comma = F.concat(F.lit(","), F.col("line"))
+    body = [F.lit(1).alias("section"), "key"]
+    return (
+        head.select(F.lit(0).alias("section"), F.lit("").alias("key"), "line")
+        .unionByName(lead.select(*body, F.when(bare, F.col("line")).otherwise(comma).alias("line")))
+        .unionByName(keyed.filter(~first).select(*body, comma.alias("line")))
+        .unionByName(head.select(F.lit(2).alias("section"), F.lit("").alias("key"), F.lit(tail).alias("line")))
     )
-    opening = head.select(F.lit(0).alias("section"), F.lit("").alias("key"), "line")
-    closing = head.select(F.lit(2).alias("section"), F.lit("").alias("key"), F.lit(tail).alias("line"))
-    return opening.unionByName(body).unionByName(closing)
 
 
 def write_document(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write lines in order; the part files together are the document."""
-    lines.orderBy("section", "key").select("line").write.mode(mode).text(path)
+    has_comma = F.startswith("line", F.lit(","))
+    lines.orderBy("section", "key", has_comma, "line").select("line").write.mode(mode).text(path)
+
+
+_COPY_BYTES = 1 << 20
+
+
+def write_single(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Write a document as one file.
+
+    Tasks write its parts in order into a folder beside ``path``; these are joined by the
+    file system itself where it can (HDFS), else streamed through one small buffer, which
+    is as serial as the one file asked for.  The file appears at ``path`` whole, by renaming.
+    """
+    if mode not in ("errorifexists", "overwrite"):
+        raise ValueError(f"mode {mode!r}: a single file is written anew or not at all")
+    spark = lines.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    target = hadoop.fs.Path(path)
+    system = target.getFileSystem(conf)
+    if mode == "errorifexists" and system.exists(target):
+        raise AnalysisException(f"{path} exists")
+    parts_folder = hadoop.fs.Path(f"{path}.parts-{uuid.uuid4().hex}")
+    try:
+        write_document(lines, parts_folder.toString())
+        written = [s for s in system.listStatus(parts_folder) if s.getPath().getName().startswith("part-")]
+        # By number: names are longer, and sort otherwise, from part 100,000 on.
+        written.sort(key=lambda s: int(s.getPath().getName().split("-")[1]))
+        joined = _joined(spark, system, [s.getPath() for s in written if s.getLen()], parts_folder)
+        if mode == "overwrite":
+            system.delete(target, False)
+        if not system.rename(joined, target):
+            raise OSError(f"cannot rename {joined.toString()} to {path}")
+    finally:
+        system.delete(parts_folder, True)
+
+
+def _joined(spark, system, parts: list, folder):
+    """One file with the bytes of all parts, in their folder."""
+    hadoop = spark._jvm.org.apache.hadoop
+    if system.getScheme() == "hdfs":
+        others = spark.sparkContext._gateway.new_array(hadoop.fs.Path, len(parts) - 1)
+        for k, part in enumerate(parts[1:]):
+            others[k] = part
+        if len(parts) > 1:
+            system.concat(parts[0], others)
+        return parts[0]
+    whole = hadoop.fs.Path(folder, "document")
+    out = system.create(whole)
+    try:
+        for part in parts:
+            source = system.open(part)
+            try:
+                hadoop.io.IOUtils.copyBytes(source, out, _COPY_BYTES, False)
+            finally:
+                source.close()
+    finally:
+        out.close()
+    return whole
 
 
 def mapping_entries(mappings: DataFrame) -> DataFrame:
-    """Lines ``"id":"severity"``."""
+    """Lines ``"id":"severity"``, one per identifier."""
     identifier, severity = F.col("checkov_id"), F.col("severity")
-    return mappings.select(
+    single = mappings.filter(identifier.isNotNull()).groupBy("checkov_id").agg(F.min("severity").alias("severity"))
+    level = F.when(severity.isNull(), F.lit("null")).otherwise(_json_string(severity))
+    return single.select(
         identifier.alias("key"),
-        F.concat(_json_string(identifier), F.lit(":"), _json_string(severity)).alias("line"),
+        F.concat(_json_string(identifier), F.lit(":"), level).alias("line"),
     )
 
 
