@@ -13,9 +13,10 @@ has an exact number of blocks to give, and misses its target by half a document
 Splitting tree: the root holds the quota of every source.  A node splits its shards in
 two halves and draws the left half's share of every source from the multivariate
 hypergeometric distribution; so all shards have equal numbers of blocks, each shard's
-sources vary as a random draw would, and the quotas hold exactly.  Each shard walks its
-own path from the root (random numbers come from the node, so all shards agree), which
-needs no exchange.  Shards take disjoint runs of a permutation of each source's blocks
+sources vary as a random draw would, and the quotas hold exactly.  A task walks from the
+root into its own run of shards (random numbers come from the node, so all tasks agree),
+which needs no exchange.  Blocks grow where the mix would have more than ``MAX_BLOCKS``.
+Shards take disjoint runs of a permutation of each source's blocks
 and are shuffled by the order key of their rows.
 
 Words are counted next to the texts; running totals go by buckets of rows, so no source,
@@ -52,6 +53,9 @@ MAX_EPOCHS = 2
 BLOCK_WORDS = 16_384
 SHARD_WORDS = 4_000_000  # words of one output shard, unless a number of shards is given
 SEED = 20
+MAX_BLOCKS = 500_000_000  # numpy draws from fewer than 10^9; every source rounds up by a block or two
+BLOCKS_PER_TASK = 20_000
+MAX_TASKS = 10_000
 
 _POSITIVE = (1 << 63) - 1
 _CHUNK_BYTES = 4 << 20
@@ -113,23 +117,47 @@ def quota(goal: int, size: int, block_words: int) -> int:
     return full * -(-size // block_words) + -(-rest // block_words)
 
 
-def path_draws(quotas: np.ndarray, shards: int, shard: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where a shard's blocks begin in every source's permuted line, and how many they are."""
+def run_draws(
+    quotas: np.ndarray, shards: int, first: int, last: int, seed: int
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of every shard from ``first`` up to ``last``: its sources, where its blocks begin in each, how many.
+
+    Walks the tree from the root into this run of shards alone; a node hands on only the
+    sources it holds blocks of, so far down the work follows the blocks, not the sources.
+    """
     total = int(quotas.sum())
 
     def upto(i: int) -> int:
         return i * total // shards
 
-    low, high, offsets, mine = 0, shards, np.zeros(len(quotas), np.int64), quotas.astype(np.int64)
-    while high - low > 1:
+    present = np.flatnonzero(quotas)
+    todo = [(0, shards, present, np.zeros(len(present), np.int64), quotas[present].astype(np.int64))]
+    while todo:
+        low, high, ranks, offsets, mine = todo.pop()
+        if high <= first or low >= last or not len(ranks):
+            continue
+        if high - low == 1:
+            yield low, ranks, offsets, mine
+            continue
         middle = (low + high) // 2
         rng = np.random.default_rng([seed, low, high])
         left = rng.multivariate_hypergeometric(mine, upto(middle) - upto(low), method="marginals")
-        if shard < middle:
-            high, mine = middle, left
-        else:
-            low, offsets, mine = middle, offsets + left, mine - left
-    return offsets, mine
+        for edges, begin, part in (((middle, high), offsets + left, mine - left), ((low, middle), offsets, left)):
+            held = np.flatnonzero(part)
+            todo.append((*edges, ranks[held], begin[held], part[held]))
+
+
+def path_draws(quotas: np.ndarray, shards: int, shard: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where a shard's blocks begin in every source's permuted line, and how many they are."""
+    begins, counts = np.zeros(len(quotas), np.int64), np.zeros(len(quotas), np.int64)
+    for _, ranks, offsets, mine in run_draws(quotas, shards, shard, shard + 1, seed):
+        begins[ranks], counts[ranks] = offsets, mine
+    return begins, counts
+
+
+def fitting_block(words: int, block_words: int) -> int:
+    """Words of a block: ``block_words``, or more where the mix would have over ``MAX_BLOCKS`` blocks."""
+    return max(block_words, -(-words // MAX_BLOCKS))
 
 
 def permuted(position: np.ndarray, n: int, seed: int) -> np.ndarray:
@@ -146,13 +174,19 @@ def block_plan(docs: DataFrame, quotas: list[int], shards: int, seed: int) -> Da
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for shard in frame["id"]:
-                offsets, counts = path_draws(held, shards, int(shard), seed)
-                for rank in np.flatnonzero(counts):
-                    at = np.arange(offsets[rank], offsets[rank] + counts[rank])
-                    yield pd.DataFrame({"rank": rank, "block": permuted(at, int(held[rank]), seed), "shard": int(shard)})
+            if not len(frame):
+                continue
+            # A partition of the range is a run of shards without gaps.
+            first, last = int(frame["id"].iloc[0]), int(frame["id"].iloc[-1]) + 1
+            for shard, ranks, offsets, counts in run_draws(held, shards, first, last, seed):
+                blocks = [
+                    permuted(np.arange(offsets[k], offsets[k] + counts[k]), int(held[rank]), seed)
+                    for k, rank in enumerate(ranks)
+                ]
+                yield pd.DataFrame({"rank": np.repeat(ranks, counts), "block": np.concatenate(blocks), "shard": shard})
 
-    return docs.sparkSession.range(shards).mapInPandas(run, "rank int, block long, shard int")
+    tasks = max(1, min(shards, MAX_TASKS, -(-int(held.sum()) // BLOCKS_PER_TASK)))
+    return docs.sparkSession.range(0, shards, 1, tasks).mapInPandas(run, "rank int, block long, shard int")
 
 
 def draw(
@@ -189,8 +223,10 @@ def draw(
     aimed = targets(counted.select("source", "source_size"), share, weights, max_epochs)
     aimed = stage(aimed.withColumn("goal", F.round("target").cast("long")), "targets")
     held = aimed.orderBy("rank").select("goal", "source_size").collect()  # one row per source
+    words = sum(r.goal for r in held)
+    block_words = fitting_block(words, block_words)
     quotas = [quota(r.goal, r.source_size, block_words) for r in held]
-    shards = shards or max(1, -(-sum(r.goal for r in held) // SHARD_WORDS))
+    shards = shards or max(1, -(-words // SHARD_WORDS))
     plan = stage(block_plan(docs, quotas, shards, seed), "block-plan")
 
     known = aimed.select(F.col("source").alias("_source"), "source_size", "target", "goal", F.col("rank").alias("group"))
