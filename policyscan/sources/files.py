@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -235,9 +236,27 @@ def _utf8(content: Column) -> Column:
     return F.try_validate_utf8(content.cast("string"))
 
 
+def _is_utf8_udf():
+    # Nested so that workers get it by value and need no installed package.
+    @F.arrow_udf("boolean")
+    def is_utf8(contents: pa.Array) -> pa.Array:
+        def valid(value: bytes | None) -> bool:
+            try:
+                return value is not None and (value.isascii() or value.decode("utf-8") is not None)
+            except UnicodeDecodeError:
+                return False
+
+        return pa.array([valid(v) for v in contents.cast(pa.binary()).to_pylist()], pa.bool_())
+
+    return is_utf8
+
+
 def decode_utf8_or_latin1(content: Column) -> Column:
-    """UTF-8, or Latin-1 when the bytes are not UTF-8; newlines become ``\\n``."""
-    return newlines(F.coalesce(_utf8(content), F.decode(content, "ISO-8859-1")))
+    """UTF-8, or Latin-1 when the bytes are not UTF-8; newlines become ``\\n``.
+
+    The bytes are judged in batches: Spark's own check takes several times longer a byte.
+    """
+    return newlines(F.when(_is_utf8_udf()(content), content.cast("string")).otherwise(F.decode(content, "ISO-8859-1")))
 
 
 # One byte is one character here; possessive, so the match neither branches nor recurses.
