@@ -236,27 +236,39 @@ def _utf8(content: Column) -> Column:
     return F.try_validate_utf8(content.cast("string"))
 
 
-def _is_utf8_udf():
+_OTHER, _UTF8, _UTF8_RETURNS = range(3)
+
+
+def _judged_udf():
     # Nested so that workers get it by value and need no installed package.
-    @F.arrow_udf("boolean")
-    def is_utf8(contents: pa.Array) -> pa.Array:
-        def valid(value: bytes | None) -> bool:
+    other, plain, returns = _OTHER, _UTF8, _UTF8_RETURNS
+
+    @F.arrow_udf("int")
+    def judged(contents: pa.Array) -> pa.Array:
+        def kind(value: bytes | None) -> int:
             try:
-                return value is not None and (value.isascii() or value.decode("utf-8") is not None)
+                fits = value is not None and (value.isascii() or value.decode("utf-8") is not None)
             except UnicodeDecodeError:
-                return False
+                fits = False
+            return (returns if b"\r" in value else plain) if fits else other
 
-        return pa.array([valid(v) for v in contents.cast(pa.binary()).to_pylist()], pa.bool_())
+        return pa.array([kind(v) for v in contents.cast(pa.binary()).to_pylist()], pa.int32())
 
-    return is_utf8
+    return judged
 
 
 def decode_utf8_or_latin1(content: Column) -> Column:
     """UTF-8, or Latin-1 when the bytes are not UTF-8; newlines become ``\\n``.
 
-    The bytes are judged in batches: Spark's own check takes several times longer a byte.
+    The bytes are judged in batches, and carriage returns sought there: Spark's own checks
+    take several times longer a byte.
     """
-    return newlines(F.when(_is_utf8_udf()(content), content.cast("string")).otherwise(F.decode(content, "ISO-8859-1")))
+    kind, text = _judged_udf()(content), content.cast("string")
+    return (
+        F.when(kind == _UTF8, text)
+        .when(kind == _UTF8_RETURNS, newlines(text))
+        .otherwise(newlines(F.decode(content, "ISO-8859-1")))
+    )
 
 
 # One byte is one character here; possessive, so the match neither branches nor recurses.
